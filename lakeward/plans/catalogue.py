@@ -8,7 +8,6 @@ results compare across engines.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,9 +37,8 @@ from lakeward.operators.dedup import (
     upsert,
 )
 from lakeward.operators.keys import flag_orphans, orphans, require_fk
-from lakeward.operators.rollup import dq_rollup
 from lakeward.plans import entities as ent
-from lakeward.plans import kpi, reports, shapes, star
+from lakeward.plans import kpi, reports
 from lakeward.plans.exercises import (
     csv_drift_table,
     incremental_table,
@@ -48,10 +46,9 @@ from lakeward.plans.exercises import (
     stream_dedup_table,
     stream_split_table,
 )
+from lakeward.plans.layers import AS_OF, RUN_TS, Layers
 
-AS_OF = "2003-01-01"
 MODEL = "offline-template"
-RUN_TS = "2024-01-31 00:00:00"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -72,67 +69,6 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*columns)
 
 
-class Layers:
-    """The medallion layers over one set of test tables, as lazy plans."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
-
-    def table(self, name: str) -> DataFrame:
-        return shapes.table(self.spark, self.sf_dir, name)
-
-    def raw(self, name: str) -> DataFrame:
-        return getattr(shapes, f"raw_{name}")(self.spark, self.sf_dir)
-
-    def cleaned(self, name: str) -> DataFrame:
-        return ent.ENTITIES[name].clean(self.raw(name))
-
-    def refs(self, name: str) -> dict[str, DataFrame]:
-        return {r.table: self.valid(r.table) for r in ent.ENTITIES[name].references}
-
-    def checked(self, name: str) -> DataFrame:
-        return ent.checked(ent.ENTITIES[name], self.raw(name), self.refs(name))
-
-    def valid(self, name: str) -> DataFrame:
-        return ent.valid(ent.ENTITIES[name], self.raw(name), self.refs(name))
-
-    def quarantined(self, name: str) -> DataFrame:
-        return ent.quarantined(ent.ENTITIES[name], self.raw(name), self.refs(name))
-
-    @cached_property
-    def dim_customers(self) -> DataFrame:
-        return star.dim_customers(self.valid("customers"))
-
-    @cached_property
-    def dim_policy(self) -> DataFrame:
-        return star.dim_policy(self.valid("policy"))
-
-    @cached_property
-    def dim_cars(self) -> DataFrame:
-        return star.dim_cars(self.valid("cars"))
-
-    @cached_property
-    def fact_claims(self) -> DataFrame:
-        return star.fact_claims(self.valid("claims"), self.valid("policy"))
-
-    @cached_property
-    def fact_sales(self) -> DataFrame:
-        return star.fact_sales(self.valid("sales"), self.valid("policy"), AS_OF)
-
-    @cached_property
-    def scored(self) -> DataFrame:
-        return anomaly.score_claims(self.valid("claims"))
-
-    @cached_property
-    def issues(self) -> DataFrame:
-        return dq_rollup({name: self.quarantined(name) for name in ent.ENTITIES})
-
-    @cached_property
-    def audit(self) -> DataFrame:
-        log = shapes.event_log(self.spark, self.sf_dir)
-        return audit.audit_metrics(log, F.lit(RUN_TS).cast("timestamp"))
-
-
 def query(name: str) -> Callable[[Callable[[Layers], DataFrame]], Query]:
     """Register a query under ``name``."""
 
@@ -285,7 +221,7 @@ def _(layers: Layers) -> DataFrame:
 
 @query("policy_age")
 def _(layers: Layers) -> DataFrame:
-    return ent.with_policy_age(layers.valid("policy"), AS_OF).select(
+    return ent.with_policy_age(layers.silver("policy"), AS_OF).select(
         "policy_number", "policy_bind_date", "policy_age_days"
     )
 
@@ -336,21 +272,21 @@ def _(layers: Layers) -> DataFrame:
 @query("fk_valid")
 def _(layers: Layers) -> DataFrame:
     policy = layers.cleaned("policy").select("policy_number", "customer_id")
-    return require_fk(policy, layers.valid("customers"), "customer_id", "CustomerID")
+    return require_fk(policy, layers.silver("customers"), "customer_id", "CustomerID")
 
 
 @query("fk_orphans")
 def _(layers: Layers) -> DataFrame:
     policy = layers.cleaned("policy").select("policy_number", "customer_id")
-    return orphans(policy, layers.valid("customers"), "customer_id", "CustomerID")
+    return orphans(policy, layers.silver("customers"), "customer_id", "CustomerID")
 
 
 @query("fk_flagged")
 def _(layers: Layers) -> DataFrame:
     policy = layers.cleaned("policy").select("policy_number", "car_id", "customer_id")
-    with_car = flag_orphans(policy, layers.valid("cars"), "car_id", "has_car")
+    with_car = flag_orphans(policy, layers.silver("cars"), "car_id", "has_car")
     return flag_orphans(
-        with_car, layers.valid("customers"), "customer_id", "has_customer", "CustomerID"
+        with_car, layers.silver("customers"), "customer_id", "has_customer", "CustomerID"
     )
 
 
@@ -381,13 +317,13 @@ def _(layers: Layers) -> DataFrame:
 @query("dedup_against_existing_nullsafe")
 def _(layers: Layers) -> DataFrame:
     cars = layers.cleaned("cars").select(*ent.CARS.columns)
-    return dedup_against(cars, layers.valid("cars"), ent.CARS.columns)
+    return dedup_against(cars, layers.silver("cars"), ent.CARS.columns)
 
 
 @query("dedup_first_version_wins")
 def _(layers: Layers) -> DataFrame:
     policy = layers.cleaned("policy").select(*ent.POLICY.columns)
-    return first_version_wins(policy, layers.valid("policy"), "policy_number")
+    return first_version_wins(policy, layers.silver("policy"), "policy_number")
 
 
 # --- dimensions, facts, KPIs --------------------------------------------------------------

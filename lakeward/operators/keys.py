@@ -1,9 +1,10 @@
 """Reference checks and lookups between tables.
 
-Lookups are reduced to one row per key first, so no join here can fan out.  No
-join carries a broadcast hint: Spark broadcasts a side only when its measured
-size is under ``spark.sql.autoBroadcastJoinThreshold`` and shuffles otherwise,
-and adaptive execution splits a hot key of the shuffled side over many tasks.
+Lookups have one row per key, so no join here can fan out.  Spark broadcasts a lookup
+by itself when its size is under ``spark.sql.autoBroadcastJoinThreshold``; larger ones
+are shuffled, and there a key that holds a large share of the rows would land in one
+task.  :func:`lookup_join` splits such keys explicitly, because adaptive execution
+cannot do it when a lookup is itself the outcome of an aggregate or a window.
 """
 
 from __future__ import annotations
@@ -13,6 +14,74 @@ from pyspark.sql import functions as F
 
 from lakeward.operators.dedup import one_per_key
 
+# A key is hot from HOT_ROWS rows on.  Only the MAX_HOT_KEYS largest are treated so: that
+# bounds the broadcast whatever the table size, and any other key holds less than one part
+# in MAX_HOT_KEYS of the rows.
+HOT_ROWS = 1_000_000
+MAX_HOT_KEYS = 10_000
+HOT_SALTS = 4096
+
+
+def key_rows(df: DataFrame, key: str) -> DataFrame:
+    """(key, _rows): rows per non-null key; reads one column and combines before the shuffle."""
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+
+
+def hottest(counts: DataFrame, hot_rows: int = HOT_ROWS, limit: int = MAX_HOT_KEYS) -> DataFrame:
+    """The rows of ``counts`` (one per key, with ``_rows``) that belong to hot keys."""
+    return counts.where(F.col("_rows") >= hot_rows).orderBy(F.desc("_rows")).limit(limit)
+
+
+def lookup_join(
+    df: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    lookup_key: str,
+    columns: list[str],
+    spread_by: list[str] | None = None,
+    hot: DataFrame | None = None,
+    hot_rows: int = HOT_ROWS,
+    salts: int = HOT_SALTS,
+) -> DataFrame:
+    """Left join to a lookup with one row per key, safe for hot and null keys.
+
+    The lookup rows of hot keys (at most ``MAX_HOT_KEYS``) are broadcast, and the rows
+    of df with a hot or null key are spread over ``salts`` partitions by the hash of the
+    ``spread_by`` columns (default: all); all other keys go through an ordinary join.
+    Every row of df is kept exactly once.  ``hot`` hands in lookup rows known to be hot.
+    """
+    slim = lookup.select(F.col(lookup_key).alias("_key"), F.struct(*columns).alias("_found"))
+    if hot is None:
+        keys = hottest(key_rows(df, key), hot_rows).select(F.col(key).alias("_hot_key"))
+        known = keys.join(slim, F.col("_hot_key") == F.col("_key"), "left")
+        hot = known.select("_hot_key", F.col("_found").alias("_hot_found"))
+    else:
+        hot = hot.select(
+            F.col(lookup_key).alias("_hot_key"), F.struct(*columns).alias("_hot_found")
+        )
+    spread = 1 + F.pmod(F.xxhash64(*(spread_by or _hashable(df))), F.lit(salts))
+    salted = df.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left").withColumn(
+        "_salt",
+        F.when(F.col("_hot_key").isNotNull() | F.col(key).isNull(), spread).otherwise(
+            F.lit(0).cast("bigint")
+        ),
+    )
+    # Always 0, but no constant: the optimizer would fold a literal away and join on the
+    # key alone, which puts hot rows back together.
+    zero = F.xxhash64("_key").bitwiseAND(F.lit(0))
+    cold = slim.withColumn("_cold_salt", zero)
+    joined = salted.join(
+        cold, (F.col(key) == F.col("_key")) & (F.col("_salt") == F.col("_cold_salt")), "left"
+    )
+    found = F.coalesce("_hot_found", "_found")
+    return joined.select(
+        *[F.col(f"`{c}`") for c in df.columns], *[found.getField(c).alias(c) for c in columns]
+    )
+
+
+def _hashable(df: DataFrame) -> list[Column]:
+    return [F.col(f"`{n}`") for n, t in df.dtypes if not t.startswith(("map", "variant"))]
+
 
 def require_fk(df: DataFrame, ref: DataFrame, key: str, ref_key: str | None = None) -> DataFrame:
     """Rows whose key exists in ``ref`` (semi join: repeats in ``ref`` do not matter)."""
@@ -33,18 +102,24 @@ def flag_orphans(
     flag: str,
     ref_key: str | None = None,
     unique: bool = False,
+    split_hot: bool = True,
+    spread_by: list[str] | None = None,
 ) -> DataFrame:
     """Keep every row and add ``flag`` (true when the key exists in ``ref``).
 
-    ``unique=True`` skips the distinct step when ``ref`` already has one row per key.
+    ``unique=True`` skips the distinct step when ``ref`` already has one row per key;
+    ``split_hot=False`` (the only choice for a stream) leaves hot keys to Spark.
     """
-    name = f"_ref_{flag}"
-    lookup = ref.select(F.col(ref_key or key).alias(name))
-    lookup = lookup.where(F.col(name).isNotNull())
+    lookup = ref.select(F.col(ref_key or key).alias("_ref_key"))
+    lookup = lookup.where(F.col("_ref_key").isNotNull())
     if not unique:
         lookup = lookup.distinct()
-    joined = df.join(lookup, F.col(key) == F.col(name), "left")
-    return joined.withColumn(flag, F.col(name).isNotNull()).drop(name)
+    if not split_hot or df.isStreaming:
+        joined = df.join(lookup, F.col(key) == F.col("_ref_key"), "left")
+        return joined.withColumn(flag, F.col("_ref_key").isNotNull()).drop("_ref_key")
+    marked = lookup.withColumn("_present", F.lit(True))
+    joined = lookup_join(df, marked, key, "_ref_key", ["_present"], spread_by)
+    return joined.withColumn(flag, F.coalesce("_present", F.lit(False))).drop("_present")
 
 
 def enrich(
@@ -54,31 +129,33 @@ def enrich(
     columns: list[str],
     lookup_key: str | None = None,
     order_by: list[Column] | None = None,
+    split_hot: bool = True,
 ) -> DataFrame:
     """Left join a fact to a lookup at one row per key, so the fact keeps its grain.
 
     ``order_by`` picks the row when a key repeats; leave it out only for a lookup
-    that is unique by construction.
+    that is unique by construction.  ``split_hot=False`` suits a fact that is already
+    summed per key, and a stream.
     """
     lookup_key = lookup_key or key
-    slim = lookup
     if order_by is not None:
-        slim = one_per_key(slim, lookup_key, order_by)
-    slim = slim.select(F.col(lookup_key).alias("_lookup_key"), *columns)
+        lookup = one_per_key(lookup, lookup_key, order_by)
+    if split_hot and not fact.isStreaming:
+        return lookup_join(fact, lookup, key, lookup_key, columns)
+    slim = lookup.select(F.col(lookup_key).alias("_lookup_key"), *columns)
     return fact.join(slim, F.col(key) == F.col("_lookup_key"), "left").drop("_lookup_key")
 
 
-def star_join(fact: DataFrame, dims: list[tuple[DataFrame, str, str, list[str]]]) -> DataFrame:
-    """Left join dimensions given as (frame, fact key, dimension key, columns)."""
-    for dim, fact_key, dim_key, columns in dims:
-        fact = enrich(fact, dim, fact_key, columns, lookup_key=dim_key)
-    return fact
-
+def star_join(
+    per_key: DataFrame, dims: list[tuple[DataFrame, str, str, list[str]]]
+) -> DataFrame:
+    """Left join dimensions given as (frame, fact key, dimension key, columns).
 
-# Keys above the first limit are at most MAX_HOT_KEYS in number, whatever the table size.
-HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 10_000
-HOT_SALTS = 4096
+    For facts already summed per key: then no key is hot.
+    """
+    for dim, fact_key, dim_key, columns in dims:
+        per_key = enrich(per_key, dim, fact_key, columns, lookup_key=dim_key, split_hot=False)
+    return per_key
 
 
 def attach_group_count(
@@ -86,50 +163,26 @@ def attach_group_count(
     key: str,
     counted: str,
     out: str,
+    spread_by: list[str] | None = None,
     hot_rows: int = HOT_ROWS,
-    max_hot_keys: int = MAX_HOT_KEYS,
-    salts: int = HOT_SALTS,
 ) -> DataFrame:
     """Add the number of non-null ``counted`` values that share the row's ``key``.
 
-    Equal to a count over an unordered window, but no task ever holds one key's
-    rows: counts are combined before the shuffle, the few keys with at least
-    ``hot_rows`` rows (the largest ``max_hot_keys`` of them, a fixed bound) reach
-    every task by broadcast, and their rows are spread over ``salts`` join keys.
-    Every other key goes through an ordinary join, so nothing is left out.
+    Equal to a count over an unordered window, but no task ever holds all rows of one
+    key: counts are combined before the shuffle and joined back by :func:`lookup_join`.
     """
     counts = df.groupBy(key).agg(F.count(counted).alias("_n"), F.count(F.lit(1)).alias("_rows"))
-    hot = (
-        counts.where(F.col("_rows") >= hot_rows)
-        .orderBy(F.desc("_rows"), F.asc(key))
-        .limit(max_hot_keys)
-        .select(F.col(key).alias("_hot_key"), F.col("_n").alias("_hot_n"))
-    )
-    rest = counts.select(
-        F.col(key).alias("_cold_key"), F.lit(0).alias("_cold_salt"), F.col("_n").alias("_cold_n")
-    )
-    # A null key matches neither lookup, so its rows are salted too and counted apart.
-    spread = 1 + F.pmod(F.xxhash64(*_hashable(df)), F.lit(salts)).cast("int")
     of_null = counts.where(F.col(key).isNull()).select("_n")
-    tagged = df.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left").withColumn(
-        "_salt",
-        F.when(F.col("_hot_key").isNotNull() | F.col(key).isNull(), spread).otherwise(F.lit(0)),
-    )
-    joined = tagged.join(
-        rest,
-        (F.col(key) == F.col("_cold_key")) & (F.col("_salt") == F.col("_cold_salt")),
-        "left",
-    )
-    count = F.coalesce(
-        F.col("_hot_n"),
-        F.col("_cold_n"),
-        F.when(F.col(key).isNull(), of_null.scalar()),
-        F.lit(0),
+    lookup = counts.where(F.col(key).isNotNull())
+    # Both columns are carried on both sides, so the two uses share one shuffle.
+    joined = lookup_join(
+        df,
+        lookup,
+        key,
+        key,
+        ["_n", "_rows"],
+        spread_by or [counted],
+        hot=hottest(lookup, hot_rows),
     )
-    return joined.withColumn(out, count).drop(
-        "_hot_key", "_hot_n", "_salt", "_cold_key", "_cold_salt", "_cold_n"
-    )
-
-
-def _hashable(df: DataFrame) -> list[Column]:
-    return [F.col(f"`{n}`") for n, t in df.dtypes if not t.startswith(("map", "variant"))]
+    null_rows = F.when(F.col(key).isNull(), of_null.scalar())
+    return joined.withColumn(out, F.coalesce("_n", null_rows, F.lit(0))).drop("_n", "_rows")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import pyarrow as pa
@@ -105,15 +105,17 @@ def top_k(
     question_id: str = "question_id",
     item_id: str = "chunk_id",
     vector: str = "embedding",
+    carry: Sequence[str] = (),
     max_question_bytes: int = MAX_QUESTION_BYTES,
 ) -> DataFrame:
-    """(question_id, item_id, score, rank): the ``k`` most similar items, exactly.
+    """(question_id, item_id, score, rank, carry...): the ``k`` most similar items, exactly.
 
     Cosine similarity, ties broken by item id.  The corpus is never moved: each
     task multiplies its blocks with the question matrix and hands on only its best
     ``k`` per question.  The question matrix is broadcast in blocks of at most
     ``max_question_bytes``; more questions take more passes over the corpus, so the
-    result is whole for any number of them.  Zero vectors score 0.
+    result is whole for any number of them.  Zero vectors score 0.  Columns named in
+    ``carry`` come along, which saves joining the result back to the corpus.
     """
     spark = corpus.sparkSession
     unit = questions.select(
@@ -124,17 +126,23 @@ def top_k(
     blocks = max(1, -(-n_questions * width * 8 * 2 // max_question_bytes))
     qid_type = unit.schema["_qid"].dataType
     item_type = corpus.schema[item_id].dataType
-    schema = (
-        f"question_id {qid_type.simpleString()}, item_id {item_type.simpleString()}, score double"
+    schema = ", ".join(
+        [
+            f"question_id {qid_type.simpleString()}",
+            f"item_id {item_type.simpleString()}",
+            "score double",
+            *[f"`{c}` {corpus.schema[c].dataType.simpleString()}" for c in carry],
+        ]
     )
-    slim = corpus.select(F.col(item_id).alias("item_id"), F.col(vector).alias("_v"))
+    slim = corpus.select(F.col(item_id).alias("item_id"), F.col(vector).alias("_v"), *carry)
     found = []
     for block in range(blocks):
         # Blocks are picked by hash, so each holds about half of the byte limit.
         part = unit.where(F.pmod(F.xxhash64("_qid"), F.lit(blocks)) == block)
         table = part.toArrow()
         matrix = spark.sparkContext.broadcast(table)
-        found.append(slim.mapInArrow(_best_per_task(matrix, k, SCORE_DIGITS), schema))
+        task = _best_per_task(matrix, k, SCORE_DIGITS, list(carry))
+        found.append(slim.mapInArrow(task, schema))
     candidates = reduce(DataFrame.union, found)
     order = [F.desc("score"), F.asc("item_id")]
     best = top_n_per_group(candidates, "question_id", order, k)
@@ -143,10 +151,11 @@ def top_k(
         F.col("item_id").alias(item_id),
         "score",
         F.col("_rank").alias("rank"),
+        *carry,
     )
 
 
-def _best_per_task(matrix, k: int, digits: int):
+def _best_per_task(matrix, k: int, digits: int, carry: list[str]):
     """Task function: running best ``k`` per question over the blocks of one partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,6 +194,7 @@ def _best_per_task(matrix, k: int, digits: int):
                     "q": arrow.array(q),
                     "item": batch.column("item_id").take(arrow.array(i)),
                     "score": arrow.array(scores[q, i]),
+                    **{f"c_{c}": batch.column(c).take(arrow.array(i)) for c in carry},
                 }
             )
             kept = found if kept is None else arrow.concat_tables([kept, found])
@@ -199,6 +209,7 @@ def _best_per_task(matrix, k: int, digits: int):
                 "question_id": ids.take(kept.column("q").combine_chunks()),
                 "item_id": kept.column("item").combine_chunks(),
                 "score": kept.column("score").combine_chunks(),
+                **{c: kept.column(f"c_{c}").combine_chunks() for c in carry},
             }
         )
         yield from out.to_batches()
@@ -206,16 +217,16 @@ def _best_per_task(matrix, k: int, digits: int):
     return run
 
 
-def retrieval_context(ranked: DataFrame, chunks: DataFrame, owner: str) -> DataFrame:
+def retrieval_context(ranked: DataFrame, owner: str) -> DataFrame:
     """Per question: context in rank order, distinct sources, mean score as confidence.
 
-    A group holds at most ``k`` rows, so collecting it is bounded.
+    ``ranked`` is the result of :func:`top_k` carrying ``owner`` and ``text``.  A group
+    holds at most ``k`` rows, so collecting it is bounded.
     """
-    placed = ranked.join(chunks.select("chunk_id", owner, "text"), "chunk_id")
     entry = fill_template(
         "\nPolicy {owner}:\n{text}\n", {"owner": F.col(owner), "text": F.col("text")}
     )
-    grouped = placed.groupBy("question_id").agg(
+    grouped = ranked.groupBy("question_id").agg(
         F.array_sort(F.collect_list(F.struct("rank", entry.alias("entry")))).alias("_entries"),
         F.array_sort(F.collect_set(F.col(owner).cast("string"))).alias("source_policies"),
         F.avg("score").alias("confidence_score"),

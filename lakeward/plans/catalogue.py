@@ -492,8 +492,8 @@ def _policy_chunks(layers: Layers) -> DataFrame:
 def _(layers: Layers) -> DataFrame:
     """Context, sources and confidence of each label's question over the policy chunks."""
     chunks = _policy_chunks(layers)
-    ranked = retrieval.top_k(_label_centroids(layers), chunks)
-    context = retrieval.retrieval_context(ranked, chunks, "policy_number")
+    ranked = retrieval.top_k(_label_centroids(layers), chunks, carry=["policy_number", "text"])
+    context = retrieval.retrieval_context(ranked, "policy_number")
     return context.withColumn("confidence_score", F.round("confidence_score", 6))
 
 

@@ -355,7 +355,15 @@ def checked(entity: Entity, raw: DataFrame, refs: dict[str, DataFrame] | None =
         if refs is None or ref.table not in refs:
             df = df.withColumn(ref.flag, F.lit(True))
         else:
-            df = flag_orphans(df, refs[ref.table], ref.key, ref.flag, ref.ref_key, ref.unique)
+            df = flag_orphans(
+                df,
+                refs[ref.table],
+                ref.key,
+                ref.flag,
+                ref.ref_key,
+                ref.unique,
+                spread_by=entity.quarantine_columns,
+            )
     return df
 
 

@@ -134,8 +134,8 @@ def answer_questions(
     ``questions``: question_id, question, embedding; ``chunks``: chunk_id, owner, text,
     embedding.  Source policies stay an array.
     """
-    ranked = top_k(questions, chunks, k)
-    context = retrieval_context(ranked, chunks, owner)
+    ranked = top_k(questions, chunks, k, carry=[owner, "text"])
+    context = retrieval_context(ranked, owner)
     prompts = questions.select("question_id", "question").join(context, "question_id")
     prompts = prompts.withColumn(
         "_prompt",

@@ -15,6 +15,10 @@ def spark(tmp_path_factory):
         .appName("lakeward-tests")
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
+        # Frames are tiny: compiling a class per plan would take most of the time.
+        .config("spark.sql.codegen.wholeStage", "false")
+        .config("spark.sql.codegen.factoryMode", "NO_CODEGEN")
+        .config("spark.sql.streaming.stateStore.rocksdb.lockAcquireTimeoutMs", "10000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "6g")

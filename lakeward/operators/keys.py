@@ -1,10 +1,10 @@
 """Reference checks and lookups between tables.
 
 Lookups have one row per key, so no join here can fan out.  Spark broadcasts a lookup
-by itself when its size is under ``spark.sql.autoBroadcastJoinThreshold``; larger ones
-are shuffled, and there a key that holds a large share of the rows would land in one
-task.  :func:`lookup_join` splits such keys explicitly, because adaptive execution
-cannot do it when a lookup is itself the outcome of an aggregate or a window.
+by itself when its estimated size is under ``spark.sql.autoBroadcastJoinThreshold``;
+larger ones are shuffled, and there a key that holds a large share of the rows would
+land in one task.  :func:`lookup_join` splits such keys explicitly, because adaptive
+execution cannot do it when a lookup is itself the outcome of an aggregate or a window.
 """
 
 from __future__ import annotations
@@ -32,6 +32,13 @@ def hottest(counts: DataFrame, hot_rows: int = HOT_ROWS, limit: int = MAX_HOT_KE
     return counts.where(F.col("_rows") >= hot_rows).orderBy(F.desc("_rows")).limit(limit)
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's own size estimate of ``df`` lets it broadcast the frame by itself."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
+
+
 def lookup_join(
     df: DataFrame,
     lookup: DataFrame,
@@ -49,8 +56,13 @@ def lookup_join(
     of df with a hot or null key are spread over ``salts`` partitions by the hash of the
     ``spread_by`` columns (default: all); all other keys go through an ordinary join.
     Every row of df is kept exactly once.  ``hot`` hands in lookup rows known to be hot.
+    A lookup that Spark broadcasts anyway needs neither the count nor the salt.
     """
     slim = lookup.select(F.col(lookup_key).alias("_key"), F.struct(*columns).alias("_found"))
+    own = [F.col(f"`{c}`") for c in df.columns]
+    if hot is None and fits_broadcast(slim):
+        joined = df.join(slim, F.col(key) == F.col("_key"), "left")
+        return joined.select(*own, *[F.col("_found").getField(c).alias(c) for c in columns])
     if hot is None:
         keys = hottest(key_rows(df, key), hot_rows).select(F.col(key).alias("_hot_key"))
         known = keys.join(slim, F.col("_hot_key") == F.col("_key"), "left")
@@ -74,9 +86,7 @@ def lookup_join(
         cold, (F.col(key) == F.col("_key")) & (F.col("_salt") == F.col("_cold_salt")), "left"
     )
     found = F.coalesce("_hot_found", "_found")
-    return joined.select(
-        *[F.col(f"`{c}`") for c in df.columns], *[found.getField(c).alias(c) for c in columns]
-    )
+    return joined.select(*own, *[found.getField(c).alias(c) for c in columns])
 
 
 def _hashable(df: DataFrame) -> list[Column]:

@@ -123,7 +123,8 @@ def top_k(
     )
     size = unit.agg(F.count(F.lit(1)), F.max(F.size("_qv"))).first()
     n_questions, width = size[0], size[1] or 1
-    blocks = max(1, -(-n_questions * width * 8 * 2 // max_question_bytes))
+    blocks = -(-n_questions * width * 8 * 2 // max_question_bytes)
+    blocks = max(1, min(blocks, n_questions))
     qid_type = unit.schema["_qid"].dataType
     item_type = corpus.schema[item_id].dataType
     schema = ", ".join(

@@ -39,9 +39,11 @@ def components(links: DataFrame) -> DataFrame:
             down.unionAll(least.select("v", F.col("low").alias("u"))).where("v <> u").distinct(),
             "links",
         )
-        total, same = small.count(), small.select("v").distinct().count()
-        stars = small.join(small.select(F.col("v").alias("u")).distinct(), "u", "left_semi")
-        if total == same and stars.isEmpty():
+        ends = small.select(F.col("v").alias("id"), F.lit(1).alias("hangs"), F.lit(0).alias("holds"))
+        ends = ends.unionAll(small.select("u", F.lit(0), F.lit(1)))
+        roles = ends.groupBy("id").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+        # Done when nothing hangs twice, and nothing that hangs holds others.
+        if roles.where("hangs > 1 OR (hangs > 0 AND holds > 0)").isEmpty():
             break
         edges = small
     members = small.select(F.col("v").alias("id"), F.col("u").alias("component"))

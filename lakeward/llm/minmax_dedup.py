@@ -20,6 +20,11 @@ from lakeward.llm.scratch import prepare, stored
 from lakeward.llm.text import Words, as_bytes, blocks, mix, runs
 
 
+GROWTH = 8
+# Shingles permuted at a time: a work space that stays in the processor's cache.
+CHUNK = 1024
+
+
 @dataclass(frozen=True)
 class Settings:
     """``bands`` (even) of ``rows`` values from ``bands * rows / 2`` permutations.
@@ -38,28 +43,38 @@ def _sets(texts: list[bytes], width: int) -> Iterator[np.ndarray]:
     """Sorted distinct shingle hashes of every text; A-Z count as a-z."""
     for start, end in blocks(texts):
         words = Words([t.lower() for t in texts[start:end]])
-        hashes, bounds = words.hashes(), words.bounds
+        hashes, bounds = words.hashes(), words.bounds.tolist()
+        full = runs(hashes, width)
         for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-            yield np.unique(runs(hashes[a:b], min(width, b - a))) if b > a else hashes[:0]
+            if 0 < b - a < width:
+                yield runs(hashes[a:b], b - a)
+                continue
+            own = np.sort(full[a : max(a, b - width + 1)])
+            new = np.ones(len(own), bool)
+            np.not_equal(own[1:], own[:-1], out=new[1:])
+            yield own[new]
 
 
 class _Signer:
     def __init__(self, settings: Settings):
         rng = np.random.default_rng(settings.seed)
         number = settings.bands * settings.rows // 2
-        draw = lambda: rng.integers(0, 2**63, number, np.int64).astype(np.uint64)
-        self.factor, self.shift = draw() * np.uint64(2) + np.uint64(1), draw()
+        # An odd factor permutes 32-bit values, which vector units multiply several at once.
+        self.factor = rng.integers(0, 2**31, (number, 1)).astype(np.uint32) * np.uint32(2) + np.uint32(1)
         self.salt = mix(np.arange(1, settings.bands + 1, dtype=np.uint64))
         self.rows = settings.rows
+        self.space = np.empty((number, CHUNK), np.uint32)
 
     def bands(self, shingles: np.ndarray) -> np.ndarray:
         low = high = None
-        for a in range(0, len(shingles), 1024):
-            part = shingles[None, a : a + 1024] * self.factor[:, None] + self.shift[:, None]
+        short = (shingles >> np.uint64(32)).astype(np.uint32)
+        for a in range(0, len(short), CHUNK):
+            some = short[a : a + CHUNK]
+            part = np.multiply(some, self.factor, out=self.space[:, : len(some)])
             least, most = part.min(axis=1), part.max(axis=1)
             low = least if low is None else np.minimum(low, least)
             high = most if high is None else np.maximum(high, most)
-        values = np.concatenate([low, high]).reshape(-1, self.rows)
+        values = np.concatenate([low, high]).reshape(-1, self.rows).astype(np.uint64)
         key = self.salt
         for column in values.T:
             key = mix(key * np.uint64(0x9E3779B97F4A7C15) + column)
@@ -128,9 +143,10 @@ def _links(members: DataFrame, texts: DataFrame, settings: Settings) -> DataFram
 
     In each turn some members of a bucket, its pivots, are compared with all members that
     aren't in their component yet; what they link becomes one component.  Turns take other
-    pivots, twice as many each time, until every bucket is one component or all its members
-    have been pivots.  So each pair that shares a bucket is compared or already connected,
-    while a large group of copies costs a few comparisons per member.
+    pivots, ``GROWTH`` times as many each time, until every bucket is one component or all its
+    members have been pivots.  So each pair that shares a bucket is compared or already
+    connected, while a large group of copies costs a few comparisons per member.  Sets whose
+    sizes alone keep them below the similarity need no comparison.
     """
     found, joined = None, members.withColumn("component", F.col("id"))
     done, pivots = 0, 1
@@ -139,16 +155,21 @@ def _links(members: DataFrame, texts: DataFrame, settings: Settings) -> DataFram
         ranked = joined.withColumn("place", F.row_number().over(order))
         chosen = ranked.where(F.col("place") <= done + pivots).where(F.col("place") > done)
         left = stored(
-            chosen.select("bucket", F.col("id").alias("p"), F.col("component").alias("c")), "pivots"
+            chosen.select(
+                "bucket", F.col("id").alias("p"), F.col("component").alias("c"), F.col("n").alias("m")
+            ),
+            "pivots",
         )
+        close = 100 * F.least("n", "m") >= settings.percent * F.greatest("n", "m")
         pairs = (
             joined.join(left, "bucket")
-            .where("component <> c")
+            .where(F.col("component") != F.col("c"))
+            .where(close)
             .select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b"))
             .distinct()
         )
         links = stored(_confirmed(stored(pairs, "pairs"), texts, settings), "confirmed")
-        done, pivots = done + pivots, 2 * pivots
+        done, pivots = done + pivots, GROWTH * pivots
         known = links if found is None else links.unionAll(
             found.select(F.col("id").alias("a"), F.col("component").alias("b"))
         )
@@ -200,10 +221,10 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         "classes",
     )
     bands = classes.where("rep IS NOT NULL").select(
-        F.col("rep").alias("id"), F.explode("bands").alias("bucket")
+        F.col("rep").alias("id"), F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket")
     )
     shared = stored(
-        bands.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"),
+        bands.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select("bucket"),
         "buckets",
     )
     members = stored(bands.join(shared, "bucket", "left_semi"), "members")

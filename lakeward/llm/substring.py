@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -47,12 +48,17 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - rest], values[rest:])
 
 
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    steps = np.full(n, base, np.uint64)
+@lru_cache(maxsize=2)
+def _power_table(base: int, bits: int) -> np.ndarray:
+    steps = np.full(1 << bits, base, np.uint64)
     steps[:1] = 1
     return np.multiply.accumulate(steps)
 
 
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    return _power_table(int(base), max(16, n.bit_length()))[:n]
+
+
 def _stretches(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: int) -> np.ndarray:
     """Hash of the words from each start to each end, the same wherever they stand."""
     n = len(hashes)
@@ -71,23 +77,24 @@ def _pieces(settings: Settings):
             texts = as_bytes(batch.column("text"))
             for a, b in blocks(texts):
                 words = Words(texts[a:b])
-                hashes = words.hashes()
-                owner, found = [], []
-                for i, (lo, hi) in enumerate(zip(words.bounds[:-1], words.bounds[1:], strict=True)):
-                    own = hashes[lo:hi]
-                    if len(own) < length:
-                        continue
-                    anchor = _least(runs(own, gram), length - gram + 1)
-                    turn = np.flatnonzero(anchor[1:] != anchor[:-1]) + 1
-                    first = np.concatenate([[0], turn])
-                    last = np.concatenate([turn, [len(anchor)]])
-                    digest = _stretches(own, first, last - 1 + length, 0)
-                    owner.append(np.full(len(first), a + i))
-                    found.append((anchor[first], digest, first, last - first))
-                if not owner:
+                hashes, bounds = words.hashes(), words.bounds
+                if len(hashes) < length:
+                    continue
+                least = _least(runs(hashes, gram), length - gram + 1)
+                # Window k belongs to the text of word k, unless it runs into the next text.
+                text_of = np.repeat(np.arange(b - a), np.diff(bounds))[: len(least)]
+                inside = np.arange(len(least)) + length <= bounds[1:][text_of]
+                new = inside.copy()
+                new[1:] &= (least[1:] != least[:-1]) | ~inside[:-1]
+                first = np.flatnonzero(new)
+                if not first.size:
                     continue
-                rows = pa.array(np.concatenate(owner))
-                anchor, digest, first, count = (np.concatenate(x) for x in zip(*found, strict=True))
+                # A piece ends before the next one begins, or where windows leave the text.
+                ahead = np.concatenate([first[1:], [len(least)]])
+                last = np.minimum(ahead, bounds[1:][text_of[first]] - length + 1)
+                digest = _stretches(hashes, first, last - 1 + length, 0)
+                rows, anchor, count = pa.array(a + text_of[first]), least[first], last - first
+                first = first - bounds[text_of[first]]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(anchor.view(np.int64)),

@@ -12,7 +12,7 @@ from collections.abc import Callable, Hashable, Sequence
 
 _CUT = re.compile(r" (?=\S)")
 _ODD = re.compile(r" (?:\s|\Z)")
-MAX_PIECES = 250_000
+MAX_PIECES = 200_000
 MAX_KEY = 64
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -11,11 +13,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeward.llm.pieces import PieceCache, cut
+from lakeward.llm.pieces import MAX_KEY, PieceCache, cut
 from lakeward.llm.scratch import prepare, stored
 from lakeward.llm.text import as_bytes, blocks
 from lakeward.sources.tables import optional_path
 
+MAX_WORDS = 200_000
 CACHE_SCHEMA = "digest binary, version string, n_tokens long"
 
 
@@ -26,6 +29,27 @@ def tokenizer_version(path: str) -> str:
         return hashlib.sha256(file.read()).hexdigest()
 
 
+def _plain_words(spec: dict):
+    """Splitter of printable ASCII for vocabularies that lower-case and drop white space.
+
+    For such text NFC changes nothing, bytes stand for themselves, and the file's own pattern
+    means the same in Python; None for files of another make.
+    """
+    steps = (spec.get("normalizer") or {}).get("normalizers", [])
+    parts = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    if [x["type"] for x in steps] != ["NFC", "Replace", "Lowercase"]:
+        return None
+    if [x["type"] for x in parts] != ["Split", "ByteLevel"]:
+        return None
+    split, level = parts
+    if (split["behavior"], split["invert"]) != ("Removed", True):
+        return None
+    if level["add_prefix_space"] or level["use_regex"] or steps[1]["content"] != " ":
+        return None
+    pattern = split["pattern"]["Regex"].replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9")
+    return re.compile(pattern).findall
+
+
 class FileEncoder:
     """Pieces to token ids by the library's own normaliser, splitter and merges."""
 
@@ -35,10 +59,24 @@ class FileEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.plain = _plain_words(json.loads(self.tokenizer.to_str()))
+        self.known: dict[str, list[int]] = {}
 
     def __call__(self, piece: str) -> list[int]:
         if any(token in piece for token in self.special):
             return self.tokenizer.encode(piece, add_special_tokens=False).ids
+        if self.plain and piece.isascii() and piece.replace("\n", " ").isprintable():
+            out: list[int] = []
+            for word in self.plain(piece.lower()):
+                ids = self.known.get(word)
+                if ids is None:
+                    if len(self.known) >= MAX_WORDS:
+                        self.known.clear()
+                    ids = [token.id for token in self.tokenizer.model.tokenize(word)]
+                    if len(word) <= MAX_KEY:
+                        self.known[word] = ids
+                out += ids
+            return out
         if self.tokenizer.normalizer is not None:
             piece = self.tokenizer.normalizer.normalize_str(piece)
         tokens = self.tokenizer.model.tokenize

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from lakeward.llm.pieces import PieceCache, cut
 from lakeward.llm.scratch import prepare
-from lakeward.llm.text import as_bytes, blocks
+from lakeward.llm.text import blocks
 
 MAX_PAIRS = 500_000
 
@@ -141,7 +141,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _encoder(path, pattern)
         for batch in batches:
-            texts = [t.decode() for t in as_bytes(batch.column("text"))]
+            texts = batch.column("text").fill_null("").to_pylist()
             for a, b in blocks(texts):
                 ids = [
                     np.fromiter((i for v in values for i in v), np.int32)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from lakeward.llm.pieces import PieceCache, cut
 from lakeward.llm.scratch import prepare, stored
-from lakeward.llm.text import as_bytes, blocks
+from lakeward.llm.text import blocks
 from lakeward.llm.token_counts import FileEncoder
 
 CAPACITY = 2048
@@ -29,8 +29,7 @@ _RANKS = 1 << 44
 
 @lru_cache(maxsize=2)
 def _id_cache(path: str) -> PieceCache:
-    encoder = FileEncoder(path)
-    return PieceCache(lambda pieces: [np.array(encoder(p), "<u4").tobytes() for p in pieces])
+    return PieceCache(FileEncoder(path).packed)
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
@@ -45,7 +44,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = _id_cache(path)
         for batch in batches:
-            texts = [t.decode() for t in as_bytes(batch.column("text"))]
+            texts = batch.column("text").fill_null("").to_pylist()
             for a, b in blocks(texts):
                 whole = [b"".join(v) + end_mark for v in cache.values([cut(t) for t in texts[a:b]])]
                 rows = [(i, s) for i, t in enumerate(whole) for s in range(0, len(t), 4 * capacity)]

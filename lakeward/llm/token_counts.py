@@ -9,16 +9,20 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeward.llm.pieces import MAX_KEY, PieceCache, cut
+from lakeward.llm.pieces import PieceCache, cut
 from lakeward.llm.scratch import prepare, stored
-from lakeward.llm.text import as_bytes, blocks
+from lakeward.llm.text import blocks
 from lakeward.sources.tables import optional_path
 
 MAX_WORDS = 200_000
+_MARK = b"\xff\xff\xff\xff"
+BEYOND_LATIN = "\u0250"
 CACHE_SCHEMA = "digest binary, version string, n_tokens long"
 
 
@@ -29,25 +33,28 @@ def tokenizer_version(path: str) -> str:
         return hashlib.sha256(file.read()).hexdigest()
 
 
-def _plain_words(spec: dict):
-    """Splitter of printable ASCII for vocabularies that lower-case and drop white space.
+def _splitters(spec: dict):
+    """Splitters of printable ASCII and of Latin text, for vocabularies that lower-case and drop
+    white space; (None, None) for files of another make.
 
-    For such text NFC changes nothing, bytes stand for themselves, and the file's own pattern
-    means the same in Python; None for files of another make.
+    NFC leaves every character below U+0250 alone, and the file's own pattern means the same
+    there in Python as long as white space is what Unicode says it is.
     """
     steps = (spec.get("normalizer") or {}).get("normalizers", [])
     parts = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
     if [x["type"] for x in steps] != ["NFC", "Replace", "Lowercase"]:
-        return None
+        return None, None
     if [x["type"] for x in parts] != ["Split", "ByteLevel"]:
-        return None
+        return None, None
     split, level = parts
-    if (split["behavior"], split["invert"]) != ("Removed", True):
-        return None
-    if level["add_prefix_space"] or level["use_regex"] or steps[1]["content"] != " ":
-        return None
-    pattern = split["pattern"]["Regex"].replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9")
-    return re.compile(pattern).findall
+    if (split["behavior"], split["invert"], steps[1]["content"]) != ("Removed", True, " "):
+        return None, None
+    if level["add_prefix_space"] or level["use_regex"]:
+        return None, None
+    pattern = split["pattern"]["Regex"]
+    simple = pattern.replace(r"\p{L}", "a-z").replace(r"\p{N}", "0-9")
+    latin = regex.compile("\n|" + pattern.replace(r"\s", r"\p{White_Space}"))
+    return re.compile("\n|" + simple).findall, latin.findall
 
 
 class FileEncoder:
@@ -59,30 +66,62 @@ class FileEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.plain = _plain_words(json.loads(self.tokenizer.to_str()))
-        self.known: dict[str, list[int]] = {}
+        self.odd = re.compile("|".join(["[\x00-\x08\x0e-\x1f\x7f]", *map(re.escape, self.special)]))
+        self.ascii, self.latin = _splitters(json.loads(self.tokenizer.to_str()))
+        # Bytes as the vocabulary spells them: visible ones as they are, others from U+0100 on.
+        visible = [b for b in range(256) if 33 <= b < 127 or 161 <= b < 256 and b != 173]
+        hidden = [b for b in range(256) if b not in set(visible)]
+        self.letters = {b: 256 + i for i, b in enumerate(hidden)}
+        self.known: dict[str, bytes] = {}
 
     def __call__(self, piece: str) -> list[int]:
         if any(token in piece for token in self.special):
             return self.tokenizer.encode(piece, add_special_tokens=False).ids
-        if self.plain and piece.isascii() and piece.replace("\n", " ").isprintable():
-            out: list[int] = []
-            for word in self.plain(piece.lower()):
-                ids = self.known.get(word)
-                if ids is None:
-                    if len(self.known) >= MAX_WORDS:
-                        self.known.clear()
-                    ids = [token.id for token in self.tokenizer.model.tokenize(word)]
-                    if len(word) <= MAX_KEY:
-                        self.known[word] = ids
-                out += ids
-            return out
         if self.tokenizer.normalizer is not None:
             piece = self.tokenizer.normalizer.normalize_str(piece)
         tokens = self.tokenizer.model.tokenize
         words = self.tokenizer.pre_tokenizer.pre_tokenize_str(piece)
         return [token.id for word, _ in words for token in tokens(word)]
 
+    def packed(self, pieces: list[str]) -> list[bytes]:
+        """Little-endian 32-bit ids of every piece, the same as one by one.
+
+        Where the vocabulary allows it, pieces of Latin text are split together, and merges are
+        asked for once per distinct word.
+        """
+        out: list[bytes | None] = [None] * len(pieces)
+        if self.latin:
+            plain = [i for i, p in enumerate(pieces) if p.isascii()]
+            self._together(pieces, plain, self.ascii, out)
+            wide = [i for i, p in enumerate(pieces) if not p.isascii() and max(p) < BEYOND_LATIN]
+            self._together(pieces, wide, self.latin, out)
+        for i, done in enumerate(out):
+            if done is None:
+                out[i] = np.array(self(pieces[i]), "<u4").tobytes()
+        return out
+
+    def _together(self, pieces: list[str], which: list[int], split, out: list) -> None:
+        if self.odd.search("\n".join([pieces[i] for i in which])):
+            which = [i for i in which if not self.odd.search(pieces[i])]
+        if not which:
+            return
+        # A line break ends each piece; inside a piece any white space will do.
+        text = "".join([pieces[i].replace("\n", " ") + "\n" for i in which]).lower()
+        words = split(text)
+        if len(self.known) > MAX_WORDS:
+            self.known.clear()
+        self.known["\n"] = _MARK
+        tokens, letters = self.tokenizer.model.tokenize, self.letters
+        for word in set(words).difference(self.known):
+            spelled = word.encode().decode("latin-1").translate(letters)
+            self.known[word] = np.array([t.id for t in tokens(spelled)], "<u4").tobytes()
+        ids = b"".join(map(self.known.__getitem__, words))
+        ends = np.flatnonzero(np.frombuffer(ids, "<u4") == 0xFFFFFFFF).tolist()
+        start = 0
+        for i, end in zip(which, ends, strict=True):
+            out[i] = ids[4 * start : 4 * end]
+            start = end + 1
+
 
 @lru_cache(maxsize=2)
 def _count_cache(path: str) -> PieceCache:
@@ -136,7 +175,7 @@ def token_counts(docs: DataFrame, path: str, cache: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counts = count_tokens([t.decode() for t in as_bytes(batch.column("text"))], path)
+            counts = count_tokens(batch.column("text").fill_null("").to_pylist(), path)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("digest"), pa.array([version] * len(counts)), pa.array(counts, "int64")],
                 ["digest", "version", "n_tokens"],

@@ -137,24 +137,42 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()):
     )
     sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(settings.train_rows)
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    table = (
-        texts.select("label", "text")
-        .mapInArrow(counted(settings), "label int, buckets array<int>, counts array<float>")
-        .toArrow()
+    counts = texts.select("label", "text").mapInArrow(
+        counted(settings), "label int, buckets array<int>, counts array<float>"
     )
-    labels_seen = table.column("label").to_pylist()
-    if len(set(labels_seen)) < 2:
-        share = 0.5 if not labels_seen else min(max(labels_seen[0], 1e-3), 1 - 1e-3)
-        return np.zeros(1 << settings.bits, np.float32), float(np.log(share / (1 - share)))
-    samples = [
-        (label, ids.values.to_numpy(), n.values.to_numpy(zero_copy_only=False).astype(float))
-        for label, ids, n in zip(
-            labels_seen, table.column("buckets"), table.column("counts"), strict=True
+    # The sample is bounded, so one task can hold it; the driver receives the folded weights.
+    model = counts.repartition(1).mapInArrow(trained(settings), "weights binary, common double")
+    row = model.first()
+    if row is None:
+        return np.zeros(1 << settings.bits, np.float32), 0.0
+    return np.frombuffer(row["weights"], np.float32), row["common"]
+
+
+def trained(settings: Settings):
+    """Task function: the weights learnt from all rows of the one partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        samples = []
+        for batch in batches:
+            labels, ids, n = batch.columns
+            flat_ids, flat_n = ids.flatten().to_numpy(), n.flatten().to_numpy()
+            ends = np.cumsum(ids.value_lengths().to_numpy())
+            for label, a, b in zip(labels.to_pylist(), [0, *ends[:-1]], ends, strict=True):
+                samples.append((label, flat_ids[a:b].copy(), flat_n[a:b].copy()))
+        seen = {label for label, _, _ in samples}
+        if len(seen) < 2:
+            share = 0.5 if not seen else min(max(seen.pop(), 1e-3), 1 - 1e-3)
+            weights, common = np.zeros(1 << settings.bits, np.float32), np.log(share / (1 - share))
+        else:
+            # Rows may arrive in any order; training must not depend on it.
+            samples.sort(key=lambda s: (s[0], len(s[1]), s[1].tobytes(), s[2].tobytes()))
+            weights, common = descend(samples, settings)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([weights.tobytes()], pa.binary()), pa.array([float(common)])],
+            ["weights", "common"],
         )
-    ]
-    # Tasks may return in any order; training must not depend on it.
-    samples.sort(key=lambda s: (s[0], len(s[1]), s[1].tobytes(), s[2].tobytes()))
-    return descend(samples, settings)
+
+    return run
 
 
 def scores(texts: list[bytes], weights: np.ndarray, common: float, settings: Settings):

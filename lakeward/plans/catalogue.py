@@ -480,12 +480,16 @@ def _(layers: Layers) -> DataFrame:
 
 
 def _policy_chunks(layers: Layers) -> DataFrame:
-    """Chunks of the policy documents with the given vectors, matched by number."""
-    vectors = layers.table("embeddings").select(
-        F.concat(F.lit("P"), F.col("vec_id").cast("string")).alias("_number"), "embedding"
-    )
+    """All chunks of the policy documents, each with one of the given vectors.
+
+    There are more policies than vectors, so numbers are taken modulo the number of vectors.
+    """
+    vectors = layers.table("embeddings")
+    total = vectors.agg(F.count("*")).scalar()
+    slots = vectors.select(F.col("vec_id").alias("_slot"), "embedding")
     chunks = retrieval.chunk_documents(_policy_documents(layers), "policy_number", "text")
-    return chunks.join(vectors, F.col("policy_number") == F.col("_number")).drop("_number")
+    number = F.substring("policy_number", 2, 20).cast("long")
+    return chunks.withColumn("_slot", F.pmod(number, total)).join(slots, "_slot").drop("_slot")
 
 
 @query("retrieval_context")

@@ -323,7 +323,8 @@ FROM flow_events GROUP BY ALL""",
   SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC, policy_number || '_0') AS rank
   FROM (
     SELECT label, policy_number, text, round(list_inner_product(q, e), 9) AS score
-    FROM questions, vectors JOIN policy_docs ON policy_number = 'P' || vec_id
+    FROM questions, vectors JOIN policy_docs
+      ON CAST(substr(policy_number, 2) AS BIGINT) % (SELECT count(*) FROM embeddings) = vec_id
   )
 ) WHERE rank <= 4""",
     "kpi_customer": """SELECT count(*) AS total_customers, round(avg(Balance), 2) AS avg_balance,

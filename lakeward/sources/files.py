@@ -1,8 +1,9 @@
 """Incremental file ingest with header drift, rescue and lineage.
 
-A file is new while the bronze table holds no row of it: bronze is its own
-ledger.  A file's rows are committed by one job, so after a lost executor or a
-failed run the same files are simply still new.
+A small ledger next to bronze names the files that have been read, also those
+without rows.  It is written after the rows.  A run that fails between the two
+would read its files again: bronze then holds them twice, and readers can tell
+the loads apart by their time.  No row is ever lost.
 """
 
 from __future__ import annotations
@@ -11,7 +12,6 @@ import csv
 from collections.abc import Iterator
 from functools import reduce
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,7 +22,7 @@ RESCUED = "_rescued_data"
 SOURCE = "_source_file"
 LOADED = "_load_ts"
 FILES_PER_LOAD = 10_000
-MAX_HEADERS = 1_000
+LEDGER = "_ledger"
 # Which files belong to which entity, whatever the case of their names.
 FILE_GLOBS = {
     "customers": "[cC][uU][sS][tT][oO][mM][eE][rR][sS]*.csv",
@@ -49,41 +49,42 @@ def list_files(
     return files
 
 
-def new_files(files: DataFrame, bronze: DataFrame | None) -> DataFrame:
-    """Files no row of which is stored yet."""
-    if bronze is None:
+def new_files(files: DataFrame, ledger: DataFrame | None) -> DataFrame:
+    """Files that the ledger doesn't name yet."""
+    if ledger is None:
         return files
-    return files.join(bronze.select(SOURCE).distinct(), SOURCE, "left_anti")
+    return files.join(ledger.select(SOURCE).distinct(), SOURCE, "left_anti")
 
 
-def probe_headers(files: DataFrame) -> DataFrame:
-    """Add ``header``, the first line of each file; tasks read one line per file."""
+def _enter(spark: SparkSession, bronze_path: str, files: DataFrame, run_ts: Column) -> None:
+    files.select(SOURCE, "modificationTime", run_ts.alias(LOADED)).write.mode("append").parquet(
+        _ledger_path(bronze_path)
+    )
 
-    def first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import io
 
-        import pyarrow as arrow
-        from pyarrow import fs
+def _ledger_path(bronze_path: str) -> str:
+    return f"{bronze_path.rstrip('/')}{LEDGER}"
 
-        for batch in batches:
-            headers = []
-            for path in batch.column("path").to_pylist():
-                scheme, _, rest = path.partition(":")
-                uri = "file://" + rest if scheme == "file" and not rest.startswith("//") else path
-                if scheme == "file":
-                    filesystem, inner = fs.LocalFileSystem(), uri.removeprefix("file://")
-                else:
-                    filesystem, inner = fs.FileSystem.from_uri(uri)
-                with filesystem.open_input_stream(inner, buffer_size=65536) as stream:
-                    text = io.TextIOWrapper(stream, encoding="utf-8-sig", newline="")
-                    headers.append(text.readline().rstrip("\r\n"))
-            yield arrow.RecordBatch.from_arrays(
-                [*batch.columns, arrow.array(headers, "string")],
-                names=[*batch.schema.names, "header"],
-            )
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in files.schema.fields)
-    return files.mapInArrow(first_lines, f"{fields}, header string")
+def probe_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, header): the first line with any text of each file; null when there is none.
+
+    Lines are read by Spark, so any file system that Spark knows will do.  Of each file the
+    line of the smallest offset stays, by a minimum that is combined before the shuffle.
+    """
+    lines = (
+        spark.read.text(paths)
+        .select(
+            F.regexp_replace("value", "^\uFEFF", "").alias("line"),
+            "_metadata.file_path",
+            # Rows of one block follow each other; blocks of a file are dealt out in any order.
+            F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("place"),
+        )
+        .where(F.trim(F.translate("line", "\r\t", "  ")) != "")
+    )
+    return lines.groupBy(F.col("file_path").alias("path")).agg(
+        F.min(F.struct("place", "line"))["line"].alias("header")
+    )
 
 
 def header_schema(header: str, sep: str = ",") -> T.StructType:
@@ -120,16 +121,13 @@ def read_csv_by_header(
 
     Files with equal headers are read together under that header's schema, since one
     reader over mixed headers binds by position.  Rows that do not fit their header
-    keep their text in ``_rescued_data``.  Only file names and headers reach the driver.
+    keep their text in ``_rescued_data``.  Blank lines before the header are skipped; a file
+    without any text has no rows.  Only file names and headers reach the driver, for at most
+    the files of one load.
     """
-    files = spark.createDataFrame([(p,) for p in paths], "path string")
-    slots = spark.sparkContext.defaultParallelism
     by_header: dict[str, list[str]] = {}
-    for row in probe_headers(files.repartition(min(len(paths), 4 * slots))).collect():
-        if row["header"]:
-            by_header.setdefault(row["header"], []).append(row["path"])
-    if len(by_header) > MAX_HEADERS:
-        raise ValueError(f"{len(by_header)} different headers; these files are not one table")
+    for row in probe_headers(spark, paths).collect():
+        by_header.setdefault(row["header"], []).append(row["path"])
     if not by_header:
         return None
     frames = [_read_csv(spark, group, h, run_ts, sep) for h, group in sorted(by_header.items())]
@@ -180,11 +178,17 @@ def _loads(pending: DataFrame, limit: int) -> Iterator[list[str]]:
         after = rows[-1]
 
 
+def _named(files: DataFrame, paths: list[str]) -> DataFrame:
+    """The files of one load, whose number is bounded."""
+    chosen = files.sparkSession.createDataFrame([(p,) for p in paths], "path string")
+    return files.join(F.broadcast(chosen), "path", "left_semi")
+
+
 def _pending(
     spark: SparkSession, source_dir: str, glob: str, path_word: str | None, bronze_path: str
 ) -> DataFrame:
-    bronze = optional_path(spark, bronze_path)
-    return new_files(list_files(spark, source_dir, glob, path_word), bronze)
+    ledger = optional_path(spark, _ledger_path(bronze_path))
+    return new_files(list_files(spark, source_dir, glob, path_word), ledger)
 
 
 def ingest_csv(
@@ -208,6 +212,7 @@ def ingest_csv(
         rows = read_csv_by_header(spark, paths, run_ts)
         if rows is not None:
             rows.write.mode("append").parquet(bronze_path)
+        _enter(spark, bronze_path, _named(pending, paths), run_ts)
         loaded += len(paths)
     return loaded
 
@@ -228,6 +233,7 @@ def ingest_json(
     for paths in _loads(pending, files_per_load):
         rows = read_json_rescued(spark, paths, fields, run_ts)
         rows.write.mode("append").parquet(bronze_path)
+        _enter(spark, bronze_path, _named(pending, paths), run_ts)
         loaded += len(paths)
     return loaded
 

@@ -130,8 +130,8 @@ class Step:
 
 def run_step(spark: SparkSession, step: Step, checkpoint_root: str) -> list[dict]:
     """Append everything new to the step's table; returns the progress of its batches."""
-    if spark.conf.get(STATE_PROVIDER, "").endswith("HDFSBackedStateStoreProvider"):
-        spark.conf.set(STATE_PROVIDER, ROCKSDB)
+    # State lives off the heap, whatever the session's default.
+    spark.conf.set(STATE_PROVIDER, ROCKSDB)
     writer = (
         step.build(spark)
         .writeStream.format("parquet")

@@ -6,11 +6,12 @@ import pytest
 
 import __spark_entry__ as contract
 from lakeward.operators import keys
+from lakeward.plans import catalogue, oracles
 from tests.oracle import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables not mounted")
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = catalogue.QUERIES, oracles.ORACLES
 # Checked against brute force in test_retrieval_generate: hashing has no SQL twin.
 WITHOUT_SQL = {"text_vector_topk", "question_answers"}
 

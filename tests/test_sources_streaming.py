@@ -191,3 +191,18 @@ def test_steps_run_in_order_and_log(spark, tmp_path):
     assert spark.read.parquet(bronze).count() == 2
     runs = audit.audit_metrics(spark.read.parquet(log), ts()).collect()
     assert {r["dataset_name"] for r in runs} == {"bronze", "silver"}
+
+
+def test_blank_first_lines_and_empty_files_are_read_once(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "cars_1.csv").write_text("\n  \ncar_id,name\n1,a\n2,b\n")
+    (source / "cars_2.csv").write_text("car_id,name\n")
+    (source / "cars_3.csv").write_text("\n")
+    glob, ts = files.FILE_GLOBS["cars"], F.lit("2024-01-01 00:00:00").cast("timestamp")
+    bronze = str(tmp_path / "bronze")
+    assert files.ingest_csv(spark, str(source), glob, bronze, ts) == 3
+    rows = files.read_bronze(spark, bronze).orderBy("car_id").collect()
+    assert [(r["car_id"], r["name"]) for r in rows] == [("1", "a"), ("2", "b")]
+    assert rows[0]["_source_file"].endswith("cars_1.csv")
+    assert files.ingest_csv(spark, str(source), glob, bronze, ts) == 0

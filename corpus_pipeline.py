@@ -13,11 +13,16 @@ from lakeward.llm.scratch import stored
 from lakeward.sources.tables import shared_folder
 
 
+def _boxed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, _row): other columns, whatever their names, travel inside ``_row``."""
+    return docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))
+
+
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts; it learns from the labels of ``sf_dir``."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = quality.classify(docs, labels)
-    return scored.where(F.col("_score") >= quality.THRESHOLD).select(*docs.columns)
+    scored = quality.classify(_boxed(docs), labels)
+    return scored.where(F.col("_score") >= quality.THRESHOLD).select("_row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,9 +36,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = stored(
         found.where("kept").select(F.col("doc_id").alias("_kept_id")).distinct(), "kept"
     )
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    rows = _boxed(docs).join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
     one = rows.withColumn("_text_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_text_hash"])
-    return one.select(*docs.columns)
+    return one.select("_row.*")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,18 +46,19 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     A document that loses nothing keeps its text as it is; one that loses all its words goes.
     """
-    cut = substring.remove_repeats(docs, tuple(docs.columns))
-    text = F.when(F.col("_removed") > 0, F.col("_kept")).otherwise(F.col("text"))
+    cut = substring.remove_repeats(_boxed(docs), ("_row",))
+    text = F.when(F.col("_removed") > 0, F.col("_kept")).otherwise(F.col("_row.text"))
     rows = cut.where((F.col("_removed") == 0) | (F.col("_removed") < F.col("_words")))
     return rows.select(*_with_text(docs, text, F.col("_removed") > 0))
 
 
 def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with every secret replaced by a mark; all documents stay."""
-    found = secret_scan.find_secrets(docs, tuple(docs.columns))
-    text = secret_scan.redacted(F.coalesce("text", F.lit("")), F.col("_spans"))
+    found = secret_scan.find_secrets(_boxed(docs), ("_row",))
+    text = secret_scan.redacted(F.coalesce("_row.text", F.lit("")), F.col("_spans"))
     changed = F.size("_spans") > 0
-    return found.select(*_with_text(docs, F.when(changed, text).otherwise(F.col("text")), changed))
+    text = F.when(changed, text).otherwise(F.col("_row.text"))
+    return found.select(*_with_text(docs, text, changed))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,8 +72,8 @@ def _with_text(docs: DataFrame, text, changed) -> list:
     new = {"text": text}
     if "n_chars" in docs.columns:
         length = F.length(text).cast(docs.schema["n_chars"].dataType)
-        new["n_chars"] = F.when(changed, length).otherwise(F.col("n_chars"))
-    return [new.get(c, F.col(c)).alias(c) for c in docs.columns]
+        new["n_chars"] = F.when(changed, length).otherwise(F.col("_row.n_chars"))
+    return [new.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns]
 
 
 STAGES = [

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeward.llm.scratch import prepare
 from lakeward.llm.text import Words, as_bytes, blocks
@@ -191,7 +192,7 @@ def classify(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
     """All columns of ``docs`` and ``_score``: probability of label 1 from the whole text alone.
 
     A null text counts as empty and is scored by the common feature.  Rows keep their number
-    and order; other columns, whatever their names, pass through unread.
+    and order; other columns pass through unread, so none may be called ``_score``.
     """
     prepare(docs.sparkSession)
     weights, common = fit(docs, labels, settings)
@@ -203,5 +204,4 @@ def classify(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
                 [*batch.columns, pa.array(score, pa.float64())], [*batch.schema.names, "_score"]
             )
 
-    columns = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes)
-    return docs.mapInArrow(run, f"{columns}, _score double")
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields]).add("_score", "double"))

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeward.llm.fm_index import FMIndex
 from lakeward.llm.scratch import prepare, stored
@@ -390,7 +391,7 @@ def remove_repeats(
         (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_tag")),
         "left",
     ).drop("_id", "_tag")
-    columns = ", ".join(f"`{n}` {t}" for n, t in keyed.select(*carry).dtypes)
-    return joined.mapInArrow(
-        _cut(list(carry)), f"{columns}, _words long, _removed long, _kept string"
-    )
+    schema = T.StructType([*keyed.select(*carry).schema.fields])
+    for name, kind in (("_words", "long"), ("_removed", "long"), ("_kept", "string")):
+        schema = schema.add(name, kind)
+    return joined.mapInArrow(_cut(list(carry)), schema)

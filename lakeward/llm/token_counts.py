@@ -145,7 +145,7 @@ def token_counts(docs: DataFrame, path: str, cache: str) -> DataFrame:
     and its count appended; copies, also huge groups, cost one digest each.  A second run over
     the same texts encodes nothing.  ``cache`` is a folder that all executors share; parts that
     two runs appended at the same time may repeat a digest and then agree.  Rows that repeat a
-    doc_id get a result row each, null ids included.
+    doc_id get a result row each, null ids included; equal rows may be encoded once each.
     """
     spark = prepare(docs.sparkSession)
     version = tokenizer_version(path)

@@ -12,6 +12,7 @@ from lakeward.llm import (
     block_ann,
     bpe_replay,
     exact_topk,
+    license_scan,
     minmax_dedup,
     packing,
     quality,
@@ -28,6 +29,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan_licenses(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.array_join("sentence_ids", ",").alias("sentence_ids"),
+        F.array_join("licenses", ",").alias("licenses"),
+    )
+
+
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = quality.classify(docs, _table(spark, sf_dir, "labels"))
@@ -108,6 +118,7 @@ def op10_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_license_scan,
         op2_quality_classifier,
         op3_exact_topk,
         op4_secret_scan,

@@ -1,16 +1,14 @@
 """Byte-level BPE by replaying merges over a block of the corpus, and decoding.
 
 All distinct matches of a block are laid out in one array of linked symbols.  An inverted index
-leads from the token that a pair of neighbours makes to the positions of such pairs.  Merges are
-applied in rank order, each to all its positions at once, and only the neighbours of a merged
-pair enter the index anew.
+leads from the token that a pair of neighbours makes, by slices of ranks, to the positions of such
+pairs.  Slices are taken in rank order; in a slice the lowest merge of every word is applied in
+all words at once, and only the neighbours of a merged pair enter the index anew.
 """
 
 from __future__ import annotations
 
 import base64
-import heapq
-from collections import defaultdict
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
@@ -23,7 +21,7 @@ from lakeward.llm.pieces import PieceCache, cut
 from lakeward.llm.scratch import prepare
 from lakeward.llm.text import blocks
 
-MAX_PAIRS = 500_000
+SLICES = 48
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -36,81 +34,121 @@ class Replay:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.token = {rank: token for token, rank in ranks.items()}
-        self.single = np.array([ranks[bytes([b])] for b in range(256)])
-        self.pairs: dict[int, int] = {}
-
-    def _made(self, left: int, right: int) -> int:
-        """Rank of the token that two neighbours make, -1 if they make none."""
-        key = left << 32 | right
-        made = self.pairs.get(key)
-        if made is None:
-            if len(self.pairs) >= MAX_PAIRS:
-                self.pairs.clear()
-            made = self.ranks.get(self.token[left] + self.token[right], -1)
-            self.pairs[key] = made
-        return made
-
-    def encode(self, words: Sequence[bytes]) -> list[list[int]]:
-        """Token ids of every word: the token itself if there is one, else by merges."""
+        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
+        # Every pair of tokens that makes a token, as left << 32 | right, in order.
+        made = {}
+        for token, rank in ranks.items():
+            for cut_at in range(1, len(token)):
+                left, right = ranks.get(token[:cut_at]), ranks.get(token[cut_at:])
+                if left is not None and right is not None:
+                    made[left << 32 | right] = rank
+        self.keys = np.fromiter(made, np.int64, len(made))
+        self.values = np.fromiter(made.values(), np.int32, len(made))
+        order = np.argsort(self.keys)
+        self.keys = np.append(self.keys[order], np.int64(2**62))
+        self.values = np.append(self.values[order], np.int32(-1))
+        self.edges = (max(ranks.values()) + 1) * (np.arange(1, SLICES) / SLICES) ** 2
+
+    def _made(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of the tokens that neighbours make, -1 where they make none."""
+        keys = left.astype(np.int64) << 32 | right
+        found = np.searchsorted(self.keys, keys)
+        return np.where(self.keys[found] == keys, self.values[found], np.int32(-1))
+
+    def _in_turn(self, at, pair, word, symbols, follow, ahead) -> np.ndarray:
+        """Of several places of one token in a word those to merge now, from the left: every other
+        one where places overlap, and none beyond a merge that lets a better pair appear.
+        """
+        place = np.arange(len(at))
+        chained = np.append(False, follow[at[:-1]] == at[1:])
+        began = np.maximum.accumulate(np.where(chained, 0, place))
+        at = at[(place - began) % 2 == 0]
+        token, beyond, before = pair[at], follow[follow[at]], ahead[at]
+        right = self._made(token, symbols[beyond])
+        beside = np.append(False, beyond[:-1] == at[1:])
+        left = self._made(np.where(beside, token, symbols[before]), token)
+        better = (beyond >= 0) & (right >= 0) & (right < token)
+        better |= (before >= 0) & (left >= 0) & (left < token)
+        passed = np.cumsum(better) - better
+        firsts = np.flatnonzero(np.append(True, word[at[1:]] != word[at[:-1]]))
+        return at[passed == np.repeat(passed[firsts], np.diff(np.append(firsts, len(at))))]
+
+    def encode(self, words: Sequence[bytes]) -> list[bytes]:
+        """Little-endian 32-bit ids of every word: the token itself if there is one, else by merges."""
         whole = [self.ranks.get(w) for w in words]
         apart = [w for w, token in zip(words, whole, strict=True) if token is None]
         merged = iter(self._replay(apart))
-        return [next(merged) if token is None else [token] for token in whole]
+        return [next(merged) if t is None else t.to_bytes(4, "little") for t in whole]
 
-    def _replay(self, words: list[bytes]) -> list[list[int]]:
+    def _replay(self, words: list[bytes]) -> list[bytes]:
         lengths = np.fromiter(map(len, words), np.int64, len(words))
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(words) else 0
-        symbols = self.single[np.frombuffer(b"".join(words), np.uint8)].tolist()
+        stops = np.cumsum(lengths)
+        symbols = self.single[np.frombuffer(b"".join(words), np.uint8)]
+        total = len(symbols)
+        if not total:
+            return [b""] * len(words)
+        word = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
         # After the last symbol of a word comes none, before its first neither.
+        ends = stops[lengths > 0] - 1
         follow = np.arange(1, total + 1)
-        follow[ends[lengths > 0] - 1] = -1
+        follow[ends] = -1
         ahead = np.arange(-1, total - 1)
-        ahead[(ends - lengths)[lengths > 0]] = -1
-        follow, ahead = follow.tolist(), ahead.tolist()
-
-        index: dict[int, list[int]] = defaultdict(list)
-        made = self._made
-        for at, after in enumerate(follow):
-            if after >= 0 and (token := made(symbols[at], symbols[after])) >= 0:
-                index[token].append(at)
-        queue = list(index)
-        heapq.heapify(queue)
-        while queue:
-            token = heapq.heappop(queue)
-            places = index.pop(token, None)
-            if places is None:
-                continue
-            places.sort()
-            for n, at in enumerate(places):
+        ahead[ends[:-1] + 1] = -1
+        # pair[i]: the token that symbol i makes with the next.
+        pair = np.full(total, -1, np.int32)
+        inner = np.flatnonzero(follow >= 0)
+        pair[inner] = self._made(symbols[inner], symbols[inner + 1])
+
+        # The index holds places by slices of ranks; entries that pair no longer backs are stale.
+        index: list[list[np.ndarray]] = [[] for _ in range(SLICES)]
+
+        def enter(places: np.ndarray) -> None:
+            slices = np.searchsorted(self.edges, pair[places], "right")
+            places = places[np.argsort(slices, kind="stable")]
+            bounds = np.cumsum(np.bincount(slices, minlength=SLICES)).tolist()
+            for held, start, stop in zip(index, [0, *bounds], bounds):
+                if start < stop:
+                    held.append(places[start:stop])
+
+        enter(np.flatnonzero(pair >= 0))
+        for n, edge in enumerate([*self.edges.tolist(), np.inf]):
+            open_ = np.concatenate(index[n]) if index[n] else np.zeros(0, np.int64)
+            open_, index[n] = open_[pair[open_] < edge], []
+            while open_.size:
+                open_ = np.unique(open_[pair[open_] >= 0])
+                if not open_.size:
+                    break
+                # Of every word the places of its lowest rank come first.
+                ranks, of = pair[open_], word[open_]
+                firsts = np.flatnonzero(np.append(True, of[1:] != of[:-1]))
+                group = np.repeat(np.arange(len(firsts)), np.diff(np.append(firsts, len(of))))
+                lowest = ranks == np.minimum.reduceat(ranks, firsts)[group]
+                at = open_[lowest]
+                again = word[at[1:]] == word[at[:-1]]
+                if again.any():
+                    several = np.append(again, False) | np.append(False, again)
+                    turn = self._in_turn(at[several], pair, word, symbols, follow, ahead)
+                    at = np.concatenate([at[~several], turn])
                 after = follow[at]
-                if symbols[at] < 0 or after < 0 or made(symbols[at], symbols[after]) != token:
-                    continue  # one of the two was merged with another neighbour before
-                symbols[at], symbols[after] = token, -1
-                beyond, before, lower = follow[after], ahead[at], False
+                beyond = follow[after]
+                symbols[at], symbols[after], pair[after] = pair[at], -1, -1
                 follow[at] = beyond
-                if beyond >= 0:
-                    ahead[beyond] = at
-                    if (more := made(token, symbols[beyond])) >= 0:
-                        if more not in index:
-                            heapq.heappush(queue, more)
-                        index[more].append(at)
-                        lower = more < token
-                if before >= 0 and (more := made(symbols[before], token)) >= 0:
-                    if more not in index:
-                        heapq.heappush(queue, more)
-                    index[more].append(before)
-                    lower = lower or more < token
-                if lower:  # a better merge has appeared: it goes first
-                    index[token].extend(places[n + 1 :])
-                    heapq.heappush(queue, token)
-                    break
-        out, start = [], 0
-        for end in ends.tolist():
-            out.append([s for s in symbols[start:end] if s >= 0])
-            start = end
-        return out
+                right = beyond >= 0
+                ahead[beyond[right]] = at[right]
+                # Only pairs beside a merge change.
+                pair[at] = -1
+                touched = np.concatenate([at[right], ahead[at[ahead[at] >= 0]]])
+                pair[touched] = self._made(symbols[touched], symbols[follow[touched]])
+                touched = touched[pair[touched] >= 0]
+                now = pair[touched] < edge
+                enter(touched[~now])
+                open_ = np.concatenate([open_[pair[open_] >= 0], touched[now]])
+                open_ = open_[pair[open_] < edge]
+        stays = symbols >= 0
+        ids = symbols[stays].astype("<i4").tobytes()
+        count = np.append(0, np.cumsum(stays))
+        cuts = (4 * count[np.append(0, stops)]).tolist()
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 @lru_cache(maxsize=2)
@@ -121,11 +159,11 @@ def _encoder(path: str, pattern: str) -> PieceCache:
     # White space as Unicode defines it, not with the separators that Python adds.
     match = regex.compile(pattern.replace(r"\s", r"\p{White_Space}")).findall
 
-    def encode(pieces: list[str]) -> list[list[int]]:
-        matches = [[m.encode() for m in match(p)] for p in pieces]
+    def encode(pieces: list[str]) -> list[bytes]:
+        matches = [match(p) for p in pieces]
         words = list(set().union(*matches))
-        ids = dict(zip(words, replay.encode(words), strict=True))
-        return [[i for m in found for i in ids[m]] for found in matches]
+        ids = dict(zip(words, replay.encode([w.encode() for w in words]), strict=True))
+        return [b"".join([ids[m] for m in found]) for found in matches]
 
     return PieceCache(encode)
 
@@ -144,7 +182,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             texts = batch.column("text").fill_null("").to_pylist()
             for a, b in blocks(texts):
                 ids = [
-                    np.fromiter((i for v in values for i in v), np.int32)
+                    np.frombuffer(b"".join(values), "<i4")
                     for values in cache.values([cut(t) for t in texts[a:b]])
                 ]
                 yield pa.RecordBatch.from_arrays(

@@ -247,7 +247,23 @@ def test_bpe(docs, none, texts):
 def test_replay_prefers_the_lower_rank_that_appears_later():
     ranks = {bytes([b]): b for b in range(256)} | {b"aa": 400, b"aaa": 300}
     # Left to right: a+a makes aa, and then aa+a ranks before the second a+a.
-    assert bpe_replay.Replay(ranks).encode([b"aaaa"]) == [[300, 97]]
+    encoded = bpe_replay.Replay(ranks).encode([b"aaaa"])
+    assert [np.frombuffer(e, "<i4").tolist() for e in encoded] == [[300, 97]]
+
+
+def test_replay_of_any_vocabulary_equals_the_library():
+    draw = random.Random(7)
+    for _ in range(60):
+        tokens = {bytes(draw.choices(b"ab", k=draw.randint(2, 5))) for _ in range(25)}
+        tokens = draw.sample(sorted(tokens), len(tokens))
+        ranks = {bytes([b]): b for b in range(256)} | {t: 256 + i for i, t in enumerate(tokens)}
+        library = tiktoken.Encoding(
+            "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        )
+        words = [bytes(draw.choices(b"ab", k=draw.randint(1, 60))) for _ in range(40)]
+        encoded = bpe_replay.Replay(ranks).encode(words)
+        ids = [np.frombuffer(e, "<i4").tolist() for e in encoded]
+        assert ids == [library.encode_ordinary(w.decode()) for w in words]
 
 
 def test_stages_keep_columns_and_clean_documents(spark, docs, none, tmp_path):

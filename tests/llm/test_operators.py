@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -227,8 +228,6 @@ def test_plan_fills_sequences_exactly():
 
 
 def test_bpe(docs, none, texts):
-    import tiktoken
-
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     with open(path, "rb") as file:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}

@@ -47,6 +47,7 @@ from lakeward.plans.exercises import (
     stream_split_table,
 )
 from lakeward.plans.layers import AS_OF, RUN_TS, Layers
+from lakeward.plans.star import dim_cars
 
 MODEL = "offline-template"
 
@@ -348,6 +349,19 @@ def _(layers: Layers) -> DataFrame:
 query("dim_customers")(lambda layers: layers.dim_customers)
 query("dim_policy")(lambda layers: layers.dim_policy)
 query("dim_cars")(lambda layers: layers.dim_cars)
+
+
+@query("dim_cars_two_batches")
+def _(layers: Layers) -> DataFrame:
+    """Cars after a second load that renames every petrol car: the later load's row stays."""
+
+    def loaded(cars: DataFrame, day: str) -> DataFrame:
+        return cars.withColumn("insert_timestamp", F.lit(day).cast("timestamp_ntz"))
+
+    first = layers.silver("cars")
+    petrol = first.where(F.lower("fuel") == "petrol")
+    second = petrol.withColumn("name", F.concat(F.lit("~"), "name"))
+    return dim_cars(loaded(second, "2024-01-02"), dim_cars(loaded(first, "2024-01-01")))
 query("fact_claims")(lambda layers: layers.fact_claims)
 query("fact_sales")(lambda layers: layers.fact_sales)
 

@@ -375,6 +375,7 @@ NEEDS = {
 
 _CUSTOMER_OUT = _list(CUSTOMER)
 _CAR_OUT = _list(CAR)
+_RENAMED = "CASE WHEN lower(fuel) = 'petrol' THEN '~' || name ELSE name END AS name"
 _POLICY_OUT = _shown(POLICY, days=["policy_bind_date"])
 _SALE_OUT = _shown(SALE, times=["ad_placed_on", "sold_on"])
 _CLAIM_OUT = _shown(CLAIM_ALL, times=CLAIM_TIMES)
@@ -532,6 +533,11 @@ WHERE NOT EXISTS (SELECT 1 FROM customers_valid c WHERE c.CustomerID = p.custome
     "dim_customers": _with("customers_valid") + f"SELECT {_CUSTOMER_OUT} FROM customers_valid",
     "dim_policy": _with("policy_valid") + f"SELECT {_POLICY_OUT} FROM policy_valid",
     "dim_cars": _with("cars_valid") + f"SELECT {_CAR_OUT} FROM cars_valid",
+    "dim_cars_two_batches": _with("cars_valid")
+    + f"""SELECT {', '.join(_RENAMED if c == 'name' else c for c in CAR)},
+  {_ts("CASE WHEN lower(fuel) = 'petrol' THEN TIMESTAMP '2024-01-02' ELSE TIMESTAMP '2024-01-01' END")}
+    AS insert_timestamp
+FROM cars_valid""",
     "fact_claims": _with("fact_claims")
     + f"""SELECT claim_id, policy_id AS policy_number, customer_id,
   {_shown(CLAIM_TIMES, times=CLAIM_TIMES)}, incident_state, incident_city, incident_location,

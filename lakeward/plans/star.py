@@ -44,6 +44,9 @@ FACT_SALES = [
 REJECTED_VALUES = ["yes", "y"]
 
 
+LOADED = "insert_timestamp"
+
+
 def build_dim(
     df: DataFrame,
     key: str,
@@ -53,25 +56,30 @@ def build_dim(
 ) -> DataFrame:
     """Latest row per key, added to the previous snapshot when there is one.
 
-    Differs from an appended DISTINCT: a key never repeats, later rows replace earlier ones.
+    Rows with ``insert_timestamp`` are compared by it first, and the dimension carries it;
+    ``order_by`` decides between rows of one load.  Differs from an appended DISTINCT: a key
+    never repeats, later rows replace earlier ones.
     """
     fresh = df.where(F.col(key).isNotNull())
+    if LOADED in df.columns:
+        columns, order_by = [*columns, LOADED], [F.desc(LOADED), *order_by]
     if previous is not None:
         return upsert(previous, fresh, key, order_by).select(*columns)
     return one_per_key(fresh, key, order_by).select(*columns)
 
 
-def dim_customers(customers: DataFrame) -> DataFrame:
-    return build_dim(customers, "CustomerID", DIM_CUSTOMERS, [F.asc(c) for c in DIM_CUSTOMERS[1:]])
+def dim_customers(customers: DataFrame, previous: DataFrame | None = None) -> DataFrame:
+    order_by = [F.asc(c) for c in DIM_CUSTOMERS[1:]]
+    return build_dim(customers, "CustomerID", DIM_CUSTOMERS, order_by, previous)
 
 
-def dim_policy(policy: DataFrame) -> DataFrame:
+def dim_policy(policy: DataFrame, previous: DataFrame | None = None) -> DataFrame:
     latest = [F.desc("policy_bind_date"), *[F.asc(c) for c in DIM_POLICY[2:]]]
-    return build_dim(policy, "policy_number", DIM_POLICY, latest)
+    return build_dim(policy, "policy_number", DIM_POLICY, latest, previous)
 
 
-def dim_cars(cars: DataFrame) -> DataFrame:
-    return build_dim(cars, "car_id", DIM_CARS, [F.asc(c) for c in DIM_CARS[1:]])
+def dim_cars(cars: DataFrame, previous: DataFrame | None = None) -> DataFrame:
+    return build_dim(cars, "car_id", DIM_CARS, [F.asc(c) for c in DIM_CARS[1:]], previous)
 
 
 def fact_claims(claims: DataFrame, policy: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime
 import json
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -115,6 +116,10 @@ def dedup_across_runs(
     return df.withWatermark(load_ts, delay).dropDuplicatesWithinWatermark(list(columns))
 
 
+KEPT_PROGRESS = "spark.sql.streaming.numRecentProgressUpdates"
+WRITTEN = "rows_written"
+
+
 # --- running ------------------------------------------------------------------------------
 
 
@@ -129,11 +134,18 @@ class Step:
 
 
 def run_step(spark: SparkSession, step: Step, checkpoint_root: str) -> list[dict]:
-    """Append everything new to the step's table; returns the progress of its batches."""
+    """Append everything new to the step's table; returns the progress of its batches.
+
+    The rows handed to the sink are counted, as the file sink itself reports no number.
+    """
     # State lives off the heap, whatever the session's default.
     spark.conf.set(STATE_PROVIDER, ROCKSDB)
+    # Spark forgets progress beyond this number of batches; the log wants all of a run.
+    spark.conf.set(KEPT_PROGRESS, str(2**31 - 1))
+    written = F.count(F.lit(1)).alias("rows")
     writer = (
         step.build(spark)
+        .observe(WRITTEN, written)
         .writeStream.format("parquet")
         .outputMode("append")
         .queryName(step.name)
@@ -151,9 +163,17 @@ def run_step(spark: SparkSession, step: Step, checkpoint_root: str) -> list[dict
 def run_steps(
     spark: SparkSession, steps: Sequence[Step], checkpoint_root: str, log_path: str | None = None
 ) -> None:
-    """Run steps in the given order, so each one reads what the ones before it wrote."""
+    """Run steps in the given order, so each one reads what the ones before it wrote.
+
+    A step that fails is logged as FAILED, and its error ends the run.
+    """
     for step in steps:
-        progress = run_step(spark, step, checkpoint_root)
+        try:
+            progress = run_step(spark, step, checkpoint_root)
+        except Exception:
+            if log_path:
+                failed_log(spark, step.name).write.mode("append").parquet(log_path)
+            raise
         if log_path and progress:
             run_log(spark, step.name, progress).write.mode("append").parquet(log_path)
 
@@ -169,40 +189,38 @@ LOG_SCHEMA = (
 def run_log(spark: SparkSession, flow: str, progress: Sequence[dict]) -> DataFrame:
     """Event log rows (the input of the audit) from the progress of one step's batches.
 
-    Counters collected with ``rules.observed`` become the expectations of the flow.
+    Counters collected with ``rules.observed`` become the expectations of the flow.  Dropped
+    are the rows read that were not written: by a rule, as duplicates or as late.
     """
     rows = []
     for batch in progress:
-        expectations = _expectations(flow, batch.get("observedMetrics") or {})
-        rows.append(
-            (
-                (batch["id"], flow, batch["runId"], flow),
-                "flow_progress",
-                datetime.datetime.fromisoformat(batch["timestamp"].replace("Z", "+00:00")),
-                json.dumps(
-                    {
-                        "flow_progress": {
-                            "status": "COMPLETED",
-                            "metrics": {
-                                "num_output_rows": max(
-                                    batch.get("sink", {}).get("numOutputRows", -1),
-                                    batch.get("numInputRows", 0),
-                                )
-                            },
-                            "data_quality": {
-                                "dropped_records": max(
-                                    [e["failed_records"] for e in expectations], default=0
-                                ),
-                                "expectations": expectations,
-                            },
-                        }
-                    }
-                ),
-            )
-        )
+        observed = dict(batch.get("observedMetrics") or {})
+        read = batch.get("numInputRows", 0)
+        written = (observed.pop(WRITTEN, None) or {}).get("rows", 0)
+        details = {
+            "status": "COMPLETED",
+            "metrics": {"num_output_rows": written},
+            "data_quality": {
+                "dropped_records": max(read - written, 0),
+                "expectations": _expectations(flow, observed),
+            },
+        }
+        at = datetime.datetime.fromisoformat(batch["timestamp"].replace("Z", "+00:00"))
+        rows.append(_log_row(batch["id"], flow, batch["runId"], at, details))
     return spark.createDataFrame(rows, LOG_SCHEMA)
 
 
+def failed_log(spark: SparkSession, flow: str) -> DataFrame:
+    """One event log row for a step that ended with an error."""
+    now, run = datetime.datetime.now(datetime.timezone.utc), uuid.uuid4().hex
+    return spark.createDataFrame([_log_row(None, flow, run, now, {"status": "FAILED"})], LOG_SCHEMA)
+
+
+def _log_row(pipeline: str | None, flow: str, run: str, at: datetime.datetime, details: dict):
+    origin = (pipeline, flow, run, flow)
+    return origin, "flow_progress", at, json.dumps({"flow_progress": details})
+
+
 def _expectations(flow: str, observed: dict) -> list[dict]:
     found = []
     for counters in observed.values():

@@ -225,3 +225,14 @@ def test_dim_keeps_latest_per_key(spark):
     new = spark.createDataFrame([("a", 2), ("b", 1)], "k string, v int")
     dim = star.build_dim(new, "k", ["k", "v"], [F.desc("v")], previous=old)
     assert sorted(tuple(r) for r in dim.collect()) == [("a", 2), ("b", 1)]
+
+
+def test_dim_keeps_the_later_load(spark):
+    columns = "car_id string, name string, km_driven int, insert_timestamp string"
+    rows = [("k", "Zeta", 20, "2024-01-02"), ("k", "Audi", 10, "2024-01-01")]
+    missing = [F.lit(None).cast("string").alias(c) for c in star.DIM_CARS[3:] if c != "km_driven"]
+    cars = spark.createDataFrame(rows, columns).select("*", F.lit("m").alias("model"), *missing)
+    assert [r["name"] for r in star.dim_cars(cars).collect()] == ["Zeta"]
+    later, first = (cars.where(F.col("name") == n) for n in ("Zeta", "Audi"))
+    assert [r["name"] for r in star.dim_cars(later, star.dim_cars(first)).collect()] == ["Zeta"]
+    assert [r["name"] for r in star.dim_cars(first, star.dim_cars(later)).collect()] == ["Zeta"]

@@ -191,6 +191,23 @@ def test_steps_run_in_order_and_log(spark, tmp_path):
     assert spark.read.parquet(bronze).count() == 2
     runs = audit.audit_metrics(spark.read.parquet(log), ts()).collect()
     assert {r["dataset_name"] for r in runs} == {"bronze", "silver"}
+    counts = {
+        r["origin"]["flow_name"]: json.loads(r["details"])["flow_progress"]
+        for r in spark.read.parquet(log).collect()
+    }
+    assert counts["bronze"]["metrics"]["num_output_rows"] == 2
+    assert counts["silver"]["metrics"]["num_output_rows"] == 1
+    assert counts["silver"]["data_quality"]["dropped_records"] == 1
+
+    broken = steps.Step(
+        "broken",
+        lambda s: steps.stream_table(s, bronze).select(F.raise_error(F.lit("no")).alias("x")),
+        str(tmp_path / "broken"),
+    )
+    with pytest.raises(Exception):
+        steps.run_steps(spark, [broken], str(tmp_path / "ck"), log)
+    last = [r for r in spark.read.parquet(log).collect() if r["origin"]["flow_name"] == "broken"]
+    assert [json.loads(r["details"])["flow_progress"]["status"] for r in last] == ["FAILED"]
 
 
 def test_blank_first_lines_and_empty_files_are_read_once(spark, tmp_path):

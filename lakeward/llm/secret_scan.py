@@ -1,8 +1,9 @@
 """Secrets in texts, by columns and SQL functions alone.
 
-Three patterns give the base spans.  A randomness battery adds more: long runs of letters and
-digits whose encoding can be inferred (hexadecimal, base32, base64) are tested for uniform
-symbols (chi-squared), for runs above and below the middle of the alphabet, and for serial
+Three patterns give the base spans.  A randomness battery adds more: runs of 16 letters and
+digits or more whose encoding can be inferred (hexadecimal, also with dashes, base32 and base36
+in either case, letters of both cases, base62, base64) are tested for uniform symbols
+(chi-squared), for runs above and below the middle of the alphabet, and for serial
 correlation.  The null hypothesis is "random"; rejecting it dismisses a run as ordinary.  Since
 short runs are tested with little power and long ones with much, the share of wrong dismissals
 is controlled separately per class of length (Benjamini-Hochberg), and what isn't dismissed is
@@ -27,18 +28,27 @@ ASSIGN = (
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 # A run is found at its first character, which spares trying it from every later one.
 HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"
-RUN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{24,}"
+RUN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}"
+# Dashes that only group: in hexadecimal, and between groups of one length in one case.
+DASHED = r"^(?:[0-9A-Fa-f]+(?:-[0-9A-Fa-f]+)+" + "".join(
+    rf"|(?:[{case}0-9]{{{n}}}-)+[{case}0-9]{{{n}}}" for case in ("a-z", "A-Z") for n in (4, 5, 6, 8)
+) + ")$"
 MIN_VALUE = 6
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ALPHABETS = {
     16: "0123456789abcdef",
-    32: "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
-    64: "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+    32: _UPPER + "234567",
+    36: "0123456789" + _UPPER,
+    52: _UPPER + _UPPER.lower(),
+    62: "0123456789" + _UPPER + _UPPER.lower(),
+    64: _UPPER + _UPPER.lower() + "0123456789+/",
 }
 DISMISSED_WRONGLY = 0.05
 # p-values are rounded up to steps of a tenth of a decade; the last holds all smaller ones.
 STEPS = 400
-LENGTH_CLASSES = 8
+# The first class holds runs under 24 characters, the others half octaves from there.
+LENGTH_CLASSES = 9
 _CHUNK = 64
 
 
@@ -148,38 +158,57 @@ def _upper_tail(z: Column) -> Column:
     return F.when(z >= 0, tail).otherwise(1.0 - tail)
 
 
+def _bare(token: Column) -> Column:
+    """The token without dashes that only group its symbols."""
+    return F.when(token.rlike(DASHED), F.replace(token, F.lit("-"), F.lit(""))).otherwise(token)
+
+
 def _alphabet(token: Column) -> Column:
-    """Number of symbols of the encoding a run of characters fits; null if it fits none.
+    """Number of symbols of the smallest encoding that holds a run; null if it fits none.
 
-    Letters alone or digits alone fit none: words, names and numbers look like that.
+    Letters of one case alone or digits alone fit none: words, names and numbers look like that.
     """
     digit, lower, upper = (token.rlike(p) for p in ("[0-9]", "[a-z]", "[A-Z]"))
     return (
-        F.when(token.rlike("^([0-9a-f]+|[0-9A-F]+)$") & digit & (lower | upper), 16)
-        .when(token.rlike("^[A-Z2-7]+$") & digit & upper, 32)
-        .when(digit & lower & upper, 64)
+        F.when(~(digit & (lower | upper)) & ~(lower & upper), F.lit(None).cast("int"))
+        .when(token.rlike("^[0-9A-Fa-f]+$") & digit, 16)
+        .when(token.rlike("^([a-z2-7]+|[A-Z2-7]+)$"), 32)
+        .when(token.rlike("^([a-z0-9]+|[A-Z0-9]+)$"), 36)
+        .when(token.rlike("^[A-Za-z]+$"), 52)
+        .when(token.rlike("^[A-Za-z0-9]+$"), 62)
+        .otherwise(64)
     )
 
 
 def _p_value(token: Column) -> Column:
     """Probability, under randomness, of what the worst of the three tests sees (times three)."""
 
-    def battery(size: int) -> Column:
-        plain = F.translate(token, "-_", "+/") if size == 64 else token
-        plain = F.lower(token) if size == 16 else plain
-        symbols = F.transform(
-            F.split(plain, ""), lambda c: (F.instr(F.lit(ALPHABETS[size]), c) - 1).cast("double")
+    def battery(bare: Column, size: Column) -> Column:
+        plain = (
+            F.when(size == 16, F.lower(bare))
+            .when(size <= 36, F.upper(bare))
+            .when(size == 64, F.translate(bare, "-_", "+/"))
+            .otherwise(bare)
+        )
+        alphabet = F.lit(None).cast("string")
+        for n, letters in ALPHABETS.items():
+            alphabet = F.when(size == n, F.lit(letters)).otherwise(alphabet)
+        symbols = _let(
+            alphabet,
+            lambda letters: F.transform(
+                F.split(plain, ""), lambda c: (F.instr(letters, c) - 1).cast("double")
+            ),
         )
 
         def tests(x: Column) -> Column:
             n = F.size(x).cast("double")
             counts = F.transform(
-                F.sequence(F.lit(0), F.lit(size - 1)),
+                F.sequence(F.lit(0), size - 1),
                 lambda s: F.size(F.filter(x, lambda v: v == s.cast("double"))).cast("double"),
             )
             squares = F.aggregate(counts, F.lit(0.0), lambda acc, c: acc + c * c)
-            chi, df = squares * float(size) / n - n, size - 1.0
-            uneven = (F.pow(chi / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / (2 / (9 * df)) ** 0.5
+            chi, df = squares * size / n - n, size - 1.0
+            uneven = (F.pow(chi / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
             middle = (size - 1) / 2
             above = F.size(F.filter(x, lambda v: v > middle)).cast("double")
             below = n - above
@@ -223,9 +252,12 @@ def _p_value(token: Column) -> Column:
 
         return _let(symbols, tests)
 
-    size = _alphabet(token)
-    chosen = F.when(size == 16, battery(16)).when(size == 32, battery(32))
-    return chosen.when(size == 64, battery(64))
+    return _let(
+        _bare(token),
+        lambda bare: _let(
+            _alphabet(bare), lambda size: F.when(size.isNotNull(), battery(bare, size))
+        ),
+    )
 
 
 def _step(p: Column) -> Column:
@@ -234,7 +266,8 @@ def _step(p: Column) -> Column:
 
 
 def _length_class(length: Column) -> Column:
-    return F.least(F.lit(LENGTH_CLASSES - 1), F.floor(F.log2(length / 24.0) * 2)).cast("int")
+    octaves = F.floor(F.log2(length / 24.0) * 2) + 1
+    return F.least(F.lit(LENGTH_CLASSES - 1), F.greatest(F.lit(0), octaves)).cast("int")
 
 
 def _dismissal_limits(tested: DataFrame) -> dict[int, int]:

@@ -29,16 +29,24 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: five-word shingles, similarity from 0.8.
 
     The smallest doc_id of a group stays.  Of rows that repeat a doc_id with the same text one
-    stays, of rows without doc_id those that repeat no other text.
+    stays, of rows without doc_id those that repeat no other text: the decision holds for a
+    doc_id and a text together.
     """
     settings = minmax_dedup.Settings(shingle=5)
-    found = minmax_dedup.near_duplicates(docs, settings)
+    found = minmax_dedup.near_duplicates(docs, settings, with_digest=True)
     kept = stored(
-        found.where("kept").select(F.col("doc_id").alias("_kept_id")).distinct(), "kept"
+        found.where("kept")
+        .select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha256"))
+        .distinct(),
+        "kept",
     )
-    rows = _boxed(docs).join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
-    one = rows.withColumn("_text_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_text_hash"])
-    return one.select("_row.*")
+    rows = _boxed(docs).withColumn("_sha256", F.sha2("text", 256)).join(
+        kept,
+        F.col("doc_id").eqNullSafe(F.col("_kept_id"))
+        & F.col("_sha256").eqNullSafe(F.col("_kept_sha256")),
+        "left_semi",
+    )
+    return rows.dropDuplicates(["doc_id", "_sha256"]).select("_row.*")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ similarity, so both are unbiased and half the permutations fill a signature.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -81,8 +81,8 @@ class _Signer:
         return key.view(np.int64)
 
 
-def _profile(settings: Settings):
-    """Task function: size, digest and band keys of every text's set."""
+def _profile(settings: Settings, own: Sequence[str]):
+    """Task function: the columns ``own``, and size, digest and band keys of every text's set."""
     other = np.uint64(0xA24BAED4963EE407)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,13 +96,13 @@ def _profile(settings: Settings):
                 bands.append(signer.bands(shingles) if len(shingles) else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"),
+                    *[batch.column(c) for c in own],
                     pa.array(number, pa.int64()),
                     pa.array(first, pa.int64()),
                     pa.array(second, pa.int64()),
                     pa.array(bands, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "d1", "d2", "bands"],
+                [*own, "n_shingles", "d1", "d2", "bands"],
             )
 
     return run
@@ -193,9 +193,13 @@ def _links(members: DataFrame, texts: DataFrame, settings: Settings) -> DataFram
             return found
 
 
-def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, settings: Settings = Settings(), with_digest: bool = False
+) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) per row of ``docs``.
 
+    ``with_digest`` adds ``text_sha256``, which tells rows without doc_id apart.
+
     A document's set holds the hashes (64 bits) of its distinct shingles of ``shingle`` words;
     fewer words make one shingle, no words none.  Equal sets are one class from the start, and
     only classes are banded.  Pairs that share a band are confirmed on full sets.
@@ -206,10 +210,13 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     """
     prepare(docs.sparkSession)
     slim = docs.select(F.col("doc_id").cast("long"), "text")
+    own = {"doc_id": "long", **({"text_sha256": "string"} if with_digest else {})}
+    read = slim.withColumn("text_sha256", F.sha2("text", 256)) if with_digest else slim
     profile = stored(
-        slim.mapInArrow(
-            _profile(settings),
-            "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>",
+        read.mapInArrow(
+            _profile(settings, list(own)),
+            ", ".join(f"{c} {kind}" for c, kind in own.items())
+            + ", n_shingles long, d1 long, d2 long, bands array<long>",
         ),
         "profile",
     )
@@ -242,7 +249,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         joined.select(*digest, F.coalesce("component", "rep").alias("component")), "classes"
     )
     return profile.drop("bands").join(joined, digest, "left").select(
-        "doc_id",
+        *own,
         "n_shingles",
         F.coalesce("component", "doc_id").alias("component_id"),
         F.coalesce("component", "doc_id").eqNullSafe(F.col("doc_id")).alias("kept"),

@@ -133,10 +133,13 @@ class Step:
     partition_by: list[str] = field(default_factory=list)
 
 
-def run_step(spark: SparkSession, step: Step, checkpoint_root: str) -> list[dict]:
+def run_step(
+    spark: SparkSession, step: Step, checkpoint_root: str, progress: list[dict] | None = None
+) -> list[dict]:
     """Append everything new to the step's table; returns the progress of its batches.
 
-    The rows handed to the sink are counted, as the file sink itself reports no number.
+    The rows handed to the sink are counted, as the file sink itself reports no number.  The list
+    ``progress`` gets the finished batches also when a later one fails.
     """
     # State lives off the heap, whatever the session's default.
     spark.conf.set(STATE_PROVIDER, ROCKSDB)
@@ -156,8 +159,13 @@ def run_step(spark: SparkSession, step: Step, checkpoint_root: str) -> list[dict
     if step.partition_by:
         writer = writer.partitionBy(*step.partition_by)
     running = writer.start()
-    running.awaitTermination()
-    return [json.loads(p.json) for p in running.recentProgress]
+    try:
+        running.awaitTermination()
+    finally:
+        batches = [json.loads(p.json) for p in running.recentProgress]
+        if progress is not None:
+            progress.extend(batches)
+    return batches
 
 
 def run_steps(
@@ -165,13 +173,17 @@ def run_steps(
 ) -> None:
     """Run steps in the given order, so each one reads what the ones before it wrote.
 
-    A step that fails is logged as FAILED, and its error ends the run.
+    A step that fails is logged as FAILED after the batches it had finished, and its error ends
+    the run.
     """
     for step in steps:
+        progress = []
         try:
-            progress = run_step(spark, step, checkpoint_root)
+            run_step(spark, step, checkpoint_root, progress)
         except Exception:
             if log_path:
+                if progress:
+                    run_log(spark, step.name, progress).write.mode("append").parquet(log_path)
                 failed_log(spark, step.name).write.mode("append").parquet(log_path)
             raise
         if log_path and progress:

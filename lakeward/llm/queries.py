@@ -15,10 +15,13 @@ from lakeward.llm import (
     license_scan,
     minmax_dedup,
     packing,
+    periodic_runs,
     quality,
     secret_scan,
+    sentence_pieces,
     substring,
     token_counts,
+    whitening,
 )
 from lakeward.sources.tables import shared_folder
 
@@ -115,6 +118,63 @@ def op10_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = sentence_pieces.encode(_table(spark, sf_dir, "documents"), path)
+    return sentence_pieces.decode(encoded, path).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def _tiled(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in every tenth document, by digest, the words repeat from a place on."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"([^\x20\x09-\x0D]+)"))
+
+    def tiled(w):
+        n = F.size(w).cast("long")
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        places = F.sequence(F.lit(0).cast("long"), n - 1)
+        moved = F.transform(places, lambda i: F.get(w, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")))
+        return F.when(n > 0, F.array_join(moved, " ")).otherwise("")
+
+    text = F.when(h % 10 == 0, F.transform(F.array(words), tiled)[0]).otherwise(F.col("text"))
+    return docs.select("doc_id", text.alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(_tiled(_table(spark, sf_dir, "documents")))
+    # The longest run: of several the first, then the one of the smallest period.
+    best = F.array_max(
+        F.transform("runs", lambda r: F.struct(
+            r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))
+        )
+    )
+    start, length, period = -best["s"], best["length"], -best["p"]
+    line = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    )
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor((1000 * length) / period).alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -128,5 +188,8 @@ QUERIES = {
         op8_best_fit_packing,
         op9_block_ann,
         op10_bpe_replay,
+        op11_sentence_pieces,
+        op12_whitening,
+        op13_periodic_runs,
     )
 }

@@ -110,3 +110,41 @@ def cosine(a, b):
 
 def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def periodic(w):
+    """Runs of a list of words as (start, length, period), by every period and place."""
+    n, least = len(w), {}
+    for p in range(1, n // 2 + 1):
+        i = 0
+        while i + p < n:
+            j = i
+            while j + p < n and w[j] == w[j + p]:
+                j += 1
+            if j - i >= p and j - i + p >= 12:
+                least.setdefault((i, j + p), p)
+            i = j + 1
+    return sorted(((s, e - s, p) for (s, e), p in least.items()), key=lambda r: (r[0], r[2]))
+
+
+def collapsed(w):
+    gone = {i for s, n, p in periodic(w) for i in range(s + p, s + n)}
+    return " ".join(x for i, x in enumerate(w) if i not in gone)
+
+
+def tiled(doc_id, w):
+    h = zlib.crc32(str(doc_id).encode())
+    g, n = h // 10, len(w)
+    if h % 10 or not n or doc_id is None:
+        return w
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w[i if i < a else a + (i - a) % p] for i in range(n)]
+
+
+def whitened(vectors, components=4):
+    """(x, sums, directions, eigenvalues, trace) of distinct scaled vectors, all at once."""
+    x = np.unique(np.floor(256 * np.asarray(vectors, float)).astype(np.int64), axis=0)
+    centred = x - x.mean(axis=0)
+    values, directions = np.linalg.eigh(centred.T @ centred / len(x))
+    return x, x.sum(axis=0), directions[:, ::-1][:, :components], values[::-1][:components], values.sum()

@@ -207,20 +207,20 @@ def _folded(states: DataFrame, schema: str, combine: Callable[[list[dict]], dict
     ``schema``.  Every level is stored, so a lost executor costs one task's states.
     """
 
-    def run(key, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [row for batch in batches for row in batch.to_pylist()]
-        row = combine(sorted(rows, key=lambda r: r["part"])) | {"part": key[0].as_py()}
-        yield pa.RecordBatch.from_pylist([row], schema=out)
+    types = {"part": pa.int64(), "n": pa.int64(), "sums": pa.list_(pa.string())}
+    names = ["part", *(f.split()[0] for f in schema.split(", "))]
+    out = pa.schema([(n, types.get(n, pa.binary())) for n in names])
+
+    def run(key, table):
+        rows = sorted(table.drop_columns("_group").to_pylist(), key=lambda r: r["part"])
+        row = combine(rows) | {"part": key[0].as_py()}
+        return pa.Table.from_pylist([row], schema=out)
 
-    out = None
     while True:
         states = stored(states, "states")
         top = states.agg(F.max("part")).first()[0]
         if top is None or top == 0:
             return states.collect()
-        types = {"n": pa.int64(), "sums": pa.list_(pa.string()), "numbers": pa.binary()}
-        names = [f.split()[0] for f in schema.split(", ")]
-        out = pa.schema([("part", pa.int64()), *((n, types[n]) for n in names)])
         states = (
             states.withColumn("_group", F.floor(F.col("part") / WIDTH))
             .groupBy("_group")

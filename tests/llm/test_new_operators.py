@@ -159,6 +159,23 @@ def test_whitening(spark, folder):
     assert queries.op12_whitening(spark, folder[1]).count() == 0
 
 
+def test_states_of_many_parts_are_combined_in_a_tree(spark, monkeypatch):
+    monkeypatch.setattr(whitening, "WIDTH", 2)
+    names = ["spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.coalescePartitions.enabled"]
+    for name, value in zip(names, ["600", "false"], strict=True):
+        spark.conf.set(name, value)
+    try:
+        rows = whitening.whiten(vectors(), 6).where("vec_id < 300").collect()
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+    x, _, _, values, trace = brute.whitened(NORMAL, 6)
+    assert {r["n"] for r in rows} == {len(x)} and len(rows) == 6 * 340
+    for r in rows:
+        assert abs(r["explained"] - values[r["component"] - 1] / trace) < 1e-12
+        assert r["identity_error"] < 1e-9
+
+
 @pytest.mark.parametrize("rows", [[[1.0, 2.0]], [[1.0, 2.0], [1.0, 3.0]], [[0.0, 0.0]] * 3])
 def test_whitening_without_variance(spark, rows):
     table = spark.createDataFrame(list(enumerate(rows)), "vec_id long, embedding array<double>")

@@ -120,8 +120,8 @@ def op10_bpe_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
-    encoded = sentence_pieces.encode(_table(spark, sf_dir, "documents"), path)
-    return sentence_pieces.decode(encoded, path).select(
+    docs = _table(spark, sf_dir, "documents")
+    return sentence_pieces.encode(docs, path, with_decoded=True).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),

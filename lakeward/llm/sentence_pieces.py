@@ -10,7 +10,7 @@ against the sentencepiece library.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
@@ -25,7 +25,8 @@ from lakeward.llm.text import blocks
 
 SPACE = "▁"
 UNKNOWN_SURFACE = " ⁇ ".encode()
-BLOCK = 1 << 21
+BLOCK = 1 << 20
+BLOCK_IDS = 1 << 18
 # Longest word, in characters, whose agenda is a row of an array.
 ROW = 24
 NONE = 1 << 40
@@ -84,7 +85,7 @@ class Vocabulary:
         table = np.array([*rows, (2**62, 0, NONE)], np.int64)
         self.keys, self.makes, self.rank = (np.ascontiguousarray(x) for x in table.T)
         # A symbol per character; one that no piece holds stands for itself beyond the table.
-        self.of_char = np.arange(0x110000, dtype=np.int64) + len(symbols)
+        self.of_char = np.arange(0x110000, dtype=np.int32) + len(symbols)
         for name, i in self.symbol.items():
             if len(name) == 1:
                 self.of_char[ord(name)] = i
@@ -140,7 +141,7 @@ class Vocabulary:
                 continue
             joined = "".join([texts[i] for i in which.tolist()]).encode("utf-32-le")
             chars = np.frombuffer(joined, "<u4").reshape(len(which), -1)
-            symbols = self._together(self.of_char[chars])
+            symbols = self._together(self.of_char[chars].astype(np.int64))
             known = (symbols < len(self.names)).all(axis=1)
             for i, row in zip(which[~known].tolist(), symbols[~known].tolist(), strict=True):
                 out[i] = self._packed([self._name(s) for s in row if s >= 0])
@@ -268,43 +269,63 @@ def _vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def _same(name: str, ours: Sequence, theirs: Sequence) -> None:
+def _same(name: str, ours: Iterable, theirs: Sequence) -> None:
     for own, library in zip(ours, theirs, strict=True):
         if own != library:
             raise Mismatch(f"{name}: {str(own)[:200]} here, {str(library)[:200]} by the library")
 
 
-def encode(docs: DataFrame, path: str, check: bool = True) -> DataFrame:
+def _by_text(values: np.ndarray, counts: np.ndarray) -> pa.ListArray:
+    ends = np.append(0, np.cumsum(counts)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values))
+
+
+def _check_ids(
+    vocabulary: Vocabulary, texts: list[str], ids: np.ndarray, counts: np.ndarray
+) -> list[list[int]]:
+    """The library's ids, which are ours."""
+    theirs = vocabulary.library.encode(texts, num_threads=1)
+    ends = np.cumsum(counts).tolist()
+    own = (ids[e - n : e].tolist() for e, n in zip(ends, counts.tolist(), strict=True))
+    _same("ids", own, theirs)
+    return theirs
+
+
+def _check_text(vocabulary: Vocabulary, ids: list[list[int]], texts: list[bytes]) -> None:
+    _same("text", texts, [t.encode() for t in vocabulary.library.decode(ids)])
+
+
+def encode(docs: DataFrame, path: str, check: bool = True, with_decoded: bool = False) -> DataFrame:
     """(doc_id, ids): ids of every whole text without begin or end ids, one row per row.
 
     A null or empty text has no ids; null and repeated doc_ids are carried along; other columns,
     whatever their names, are not read.  A text that is one long word is one piece of work, of
-    n log n steps.  With ``check`` a text whose ids differ from the library's ends the job with
-    ``Mismatch``; without it the library only normalises.
+    n log n steps.  ``with_decoded`` adds ``decoded``, what :func:`decode` makes of the ids, in
+    the same pass.  With ``check`` a text whose ids the library gives or decodes otherwise ends
+    the job with ``Mismatch``; without it the library only normalises.
     """
     prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(path)
         for batch in batches:
-            texts = batch.column("text").fill_null("").to_pylist()
-            for a, b in blocks(texts, BLOCK):
-                ids, counts = vocabulary.encode(texts[a:b])
-                ends = np.append(0, np.cumsum(counts)).astype(np.int32)
-                if check:
-                    theirs = vocabulary.library.encode(texts[a:b], num_threads=1)
-                    own = ids.tolist()
-                    _same("ids", [own[s:e] for s, e in zip(ends, ends[1:])], theirs)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").slice(a, b - a),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(ids)),
-                    ],
-                    ["doc_id", "ids"],
-                )
+            column = batch.column("text").fill_null("")
+            sizes = column.cast("binary").to_pylist()
+            for a, b in blocks(sizes, BLOCK):
+                texts = column.slice(a, b - a).to_pylist()
+                ids, counts = vocabulary.encode(texts)
+                out = [batch.column("doc_id").slice(a, b - a), _by_text(ids, counts)]
+                theirs = _check_ids(vocabulary, texts, ids, counts) if check else []
+                if with_decoded:
+                    decoded = vocabulary.decode(ids, counts)
+                    if check:
+                        _check_text(vocabulary, theirs, decoded)
+                    out.append(pa.array(decoded, pa.binary()))
+                yield pa.RecordBatch.from_arrays(out, ["doc_id", "ids", "decoded"][: len(out)])
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return slim.mapInArrow(run, "doc_id long, ids array<int>")
+    schema = "doc_id long, ids array<int>" + (", decoded binary" if with_decoded else "")
+    return slim.mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, path: str, check: bool = True) -> DataFrame:
@@ -318,16 +339,18 @@ def decode(encoded: DataFrame, path: str, check: bool = True) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(path)
         for batch in batches:
-            lists = batch.column("ids")
-            counts = lists.value_lengths().fill_null(0).to_numpy()
-            flat = lists.flatten().to_numpy()
-            decoded = vocabulary.decode(flat, counts)
-            if check:
-                theirs = vocabulary.library.decode([x or [] for x in lists.to_pylist()])
-                _same("text", decoded, [t.encode() for t in theirs])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), lists, pa.array(decoded, pa.binary())],
-                ["doc_id", "ids", "decoded"],
-            )
+            every = batch.column("ids").value_lengths().fill_null(0).to_numpy()
+            groups = np.cumsum(every) // BLOCK_IDS
+            edges = [*np.flatnonzero(np.diff(groups, prepend=-1)).tolist(), len(every)]
+            for a, b in zip(edges, edges[1:]):
+                lists, counts = batch.column("ids").slice(a, b - a), every[a:b]
+                flat = lists.flatten().to_numpy()
+                decoded = vocabulary.decode(flat, counts)
+                if check:
+                    _check_text(vocabulary, _by_text(flat, counts).to_pylist(), decoded)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(a, b - a), lists, pa.array(decoded, pa.binary())],
+                    ["doc_id", "ids", "decoded"],
+                )
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded binary")

@@ -48,6 +48,7 @@ from lakeward.plans.exercises import (
 )
 from lakeward.plans.layers import AS_OF, RUN_TS, Layers
 from lakeward.plans.star import dim_cars
+from lakeward.sources.files import LOADED, RESCUED, SOURCE, rescued
 
 MODEL = "offline-template"
 
@@ -89,17 +90,27 @@ def query(name: str) -> Callable[[Callable[[Layers], DataFrame]], Query]:
 
 @query("ingest_csv_header_drift")
 def _(layers: Layers) -> DataFrame:
-    """Customers written under three header variants and column orders, read back by name."""
-    return ent.clean_customers(csv_drift_table(layers.spark, layers.raw("customers"))).select(
-        *ent.CUSTOMERS.columns
+    """Customers written under three header variants, in files that URLs escape, read by name."""
+    bronze = csv_drift_table(layers.spark, layers.raw("customers"))
+    folder = F.regexp_extract(SOURCE, "customers[^/]*", 0)
+    return ent.clean_customers(bronze).select(
+        *ent.CUSTOMERS.columns, folder.alias("source_folder"), F.col(LOADED).alias("load_ts")
     )
 
 
 @query("ingest_json_multiline")
 def _(layers: Layers) -> DataFrame:
-    """Claims written as multi-line JSON arrays with undeclared keys, read back with rescue."""
+    """Claims in two loads of JSON arrays: a declared and an undeclared key change their types."""
     bronze = json_table(layers.spark, layers.raw("claims"))
-    return ent.clean_claims(bronze).select(*ent.CLAIMS.columns, "_rescued_data")
+    place = F.try_variant_get(F.try_parse_json("incident_location"), "$.place", "string")
+    claims = bronze.withColumn("incident_location", F.coalesce(place, "incident_location"))
+    return ent.clean_claims(claims).select(
+        *ent.CLAIMS.columns,
+        RESCUED,
+        rescued("Notes").alias("notes"),
+        rescued("Notes", "int").alias("notes_length"),
+        rescued("adjuster").alias("adjuster"),
+    )
 
 
 @query("ingest_incremental_replay")

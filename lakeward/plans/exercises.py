@@ -32,7 +32,10 @@ CUSTOMER_HEADERS = [
     ["Balance", "cust_id", "City", "Reg", "State", "Edu", "Job", "Marital_status", "Default",
      "HHInsurance", "CarLoan"],
 ]
-BACKFILL_DELAY = "20000 days"
+# Names that a URL escapes, one folder for each header variant.
+CUSTOMER_FOLDERS = ["customers a", "customers%20b", "customers#c é"]
+# The third variant's header goes over two lines.
+SPLIT_NAME = "Job\ntitle"
 ROWS_PER_DOCUMENT = 5_000
 
 
@@ -54,12 +57,14 @@ def _write_csv(df: DataFrame, path: str) -> None:
 def csv_drift_table(spark: SparkSession, customers: DataFrame) -> DataFrame:
     """Each customer goes to the file set whose alias column it fills."""
     landing, bronze = _new_folder(spark, "landing"), _new_folder(spark, "bronze")
-    for number, header in enumerate(CUSTOMER_HEADERS):
+    for header, folder in zip(CUSTOMER_HEADERS, CUSTOMER_FOLDERS, strict=True):
         key = next(c for c in header if c in ("CustomerID", "Customer_ID", "cust_id"))
         rows = customers.where(F.col(key).isNotNull()).select(*header)
-        _write_csv(rows, f"{landing}/customers_{number}")
+        if key == "cust_id":
+            rows = rows.withColumnRenamed("Job", SPLIT_NAME)
+        _write_csv(rows, f"{landing}/{folder}")
     ingest_csv(spark, landing, "part-*.csv", bronze, _run_ts(), path_word="customers")
-    return read_bronze(spark, bronze)
+    return read_bronze(spark, bronze).withColumn("Job", F.coalesce("Job", F.col(f"`{SPLIT_NAME}`")))
 
 
 def incremental_table(spark: SparkSession, cars: DataFrame) -> DataFrame:
@@ -80,27 +85,40 @@ def incremental_table(spark: SparkSession, cars: DataFrame) -> DataFrame:
 
 
 def json_table(spark: SparkSession, claims: DataFrame) -> DataFrame:
-    """Claims as pretty-printed JSON arrays of bounded size; two keys per row are undeclared."""
+    """Claims as pretty-printed JSON arrays of bounded size; two keys per row are undeclared.
+
+    They arrive in two loads: in the first ``incident_location`` is an object and an undeclared
+    key a number, in the second both are text.
+    """
     landing, bronze = _new_folder(spark, "landing"), _new_folder(spark, "bronze")
     fields = claims.columns
-    documents = max(1, claims.count() // ROWS_PER_DOCUMENT)
     extra = claims.withColumns(
         {
             "adjuster": F.when(F.col("property_damage") == "?", F.col("incident_city")),
             "Notes": F.when(F.col("witnesses") == "0", F.lit("none seen")),
         }
     )
+    early = F.col("bodily_injuries") == "0"
+    place = F.struct(F.col("incident_location").alias("place"))
+    first = extra.where(early).withColumns({"incident_location": place, "Notes": F.length("Notes")})
+    second = extra.where(F.coalesce(~early, F.lit(True)))
+    for number, rows in enumerate([first, second]):
+        _write_documents(rows, f"{landing}/claims {number}")
+        ingest_json(spark, landing, "part-*.txt", bronze, fields, _run_ts(), path_word="claims")
+    return read_bronze(spark, bronze)
+
+
+def _write_documents(rows: DataFrame, path: str) -> None:
+    documents = max(1, rows.count() // ROWS_PER_DOCUMENT)
     record = F.to_json(F.struct("*"), {"pretty": "true"})
     # A document is picked by the hash of the whole record, so hot claims spread evenly.
-    placed = extra.select(record.alias("r")).withColumn(
+    placed = rows.select(record.alias("r")).withColumn(
         "doc", F.pmod(F.xxhash64("r"), F.lit(documents))
     )
     arrays = placed.groupBy("doc").agg(F.collect_list("r").alias("rs"))
     arrays.select(
         F.concat(F.lit("[\n"), F.array_join("rs", ",\n"), F.lit("\n]")).alias("value"), "doc"
-    ).write.partitionBy("doc").text(f"{landing}/claims")
-    ingest_json(spark, landing, "part-*.txt", bronze, fields, _run_ts(), path_word="claims")
-    return read_bronze(spark, bronze)
+    ).write.partitionBy("doc").text(path)
 
 
 def stream_dedup_table(spark: SparkSession, claims: DataFrame) -> DataFrame:

@@ -407,12 +407,19 @@ def _domain(name: str, block: str) -> str:
 ORACLES: dict[str, str] = {
     # --- ingest ---
     "ingest_csv_header_drift": _with("customers_clean")
-    + f"SELECT {_CUSTOMER_OUT} FROM customers_clean",
+    + f"""SELECT {_CUSTOMER_OUT}, '{RUN_TS}' AS load_ts, CASE k % 3 WHEN 0 THEN 'customers%20a'
+  WHEN 1 THEN 'customers%2520b' ELSE 'customers%23c%20é' END AS source_folder
+FROM customers_clean""",
     "ingest_json_multiline": _with("claims_clean")
     + f"""SELECT {_CLAIM_OUT}, '{{' || nullif(concat_ws(',',
-  CASE WHEN witnesses = 0 THEN '"Notes":"none seen"' END,
-  CASE WHEN property_damage = 'UNKNOWN' THEN '"adjuster":"CITY ' || lower(incident_city[6:]) || '"'
-  END), '') || '}}' AS _rescued_data FROM claims_clean""",
+  '"adjuster":"' || adjuster || '"', '"Notes":' || if(early, notes, '"' || notes || '"')), '')
+  || '}}' AS _rescued_data, notes, if(early, notes::INTEGER, NULL) AS notes_length, adjuster
+FROM (
+  SELECT *, bodily_injuries = 0 AS early, CASE WHEN witnesses = 0 THEN
+      if(bodily_injuries = 0, '9', 'none seen') END AS notes,
+    CASE WHEN property_damage = 'UNKNOWN' THEN 'CITY ' || lower(incident_city[6:]) END AS adjuster
+  FROM claims_clean
+)""",
     "ingest_incremental_replay": _with("cars_clean") + f"SELECT {_CAR_OUT} FROM cars_clean",
     # --- column functions ---
     "clean_text_columns": f"""SELECT doc_id, md5(trim(text, ' ')) AS trimmed_md5,

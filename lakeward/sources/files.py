@@ -1,18 +1,23 @@
 """Incremental file ingest with header drift, rescue and lineage.
 
-A small ledger next to bronze names the files that have been read, also those
-without rows.  It is written after the rows.  A run that fails between the two
-would read its files again: bronze then holds them twice, and readers can tell
-the loads apart by their time.  No row is ever lost.
+A small ledger next to bronze names the files that have been read, also those without rows.
+Every load has a number, one more than the ledger's last, and its rows and its ledger entries are
+a partition of that number each.  The ledger is written after the rows: a run that fails between
+the two leaves rows of a load that the ledger does not know, and the next run has the same
+number and writes that partition anew.  No row is lost or doubled.
 """
 
 from __future__ import annotations
 
 import csv
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from itertools import groupby
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,7 +27,14 @@ RESCUED = "_rescued_data"
 SOURCE = "_source_file"
 LOADED = "_load_ts"
 FILES_PER_LOAD = 10_000
+LOAD = "_load_id"
 LEDGER = "_ledger"
+# A file of more bytes is not read whole for its header, but some lines at a time.
+PROBE_BYTES = 1 << 19
+PROBE_LINES = 64
+# Files whose first lines are read at the same time.
+PROBES = 16
+LONGEST_HEADER = 1 << 20
 # Which files belong to which entity, whatever the case of their names.
 FILE_GLOBS = {
     "customers": "[cC][uU][sS][tT][oO][mM][eE][rR][sS]*.csv",
@@ -36,13 +48,15 @@ FILE_GLOBS = {
 def list_files(
     spark: SparkSession, source_dir: str, glob: str, path_word: str | None = None
 ) -> DataFrame:
-    """(path, _source_file, modificationTime) of matching files at any depth; no content is read."""
+    """(path, _source_file, modificationTime, length) of matching files at any depth; no content
+    is read.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True)
         .load(source_dir)
-        .select("path", F.col("_metadata.file_path").alias(SOURCE), "modificationTime")
+        .select("path", F.col("_metadata.file_path").alias(SOURCE), "modificationTime", "length")
     )
     if path_word:
         files = files.where(F.lower(SOURCE).contains(path_word.lower()))
@@ -56,35 +70,109 @@ def new_files(files: DataFrame, ledger: DataFrame | None) -> DataFrame:
     return files.join(ledger.select(SOURCE).distinct(), SOURCE, "left_anti")
 
 
-def _enter(spark: SparkSession, bronze_path: str, files: DataFrame, run_ts: Column) -> None:
-    files.select(SOURCE, "modificationTime", run_ts.alias(LOADED)).write.mode("append").parquet(
-        _ledger_path(bronze_path)
-    )
-
-
 def _ledger_path(bronze_path: str) -> str:
     return f"{bronze_path.rstrip('/')}{LEDGER}"
 
 
-def probe_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(path, header): the first line with any text of each file; null when there is none.
+def _next_load(ledger: DataFrame | None) -> int:
+    """The number of the next load: that of a load which the ledger does not know, if one failed."""
+    last = ledger.agg(F.max(LOAD)).first()[0] if ledger is not None else None
+    return 1 if last is None else last + 1
+
+
+def _write_load(rows: DataFrame, path: str, load: int) -> None:
+    """The partition of one load; written again, it replaces itself."""
+    rows.write.mode("overwrite").parquet(f"{path}/{LOAD}={load}")
+
+
+def _literal(path: str) -> str:
+    """A path that Spark's readers take as it is, not as a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
+def _quote_is_open(text: str, sep: str) -> bool:
+    """Whether a quoted name has not ended; quotes inside an unquoted name are letters."""
+    quoted, begins, closed = False, True, False
+    for letter in text:
+        if quoted:
+            quoted, closed = letter != '"', letter == '"'
+        elif letter == '"' and (begins or closed):
+            quoted = True
+        else:
+            closed = False
+        begins = not quoted and not closed and letter == sep
+    return quoted
+
 
-    Lines are read by Spark, so any file system that Spark knows will do.  Of each file the
-    line of the smallest offset stays, by a minimum that is combined before the shuffle.
+def _first_record(lines: Iterator[str], sep: str) -> str | None:
+    """The first line with any text, and what follows until its quotes are closed.
+
+    A quote that stays open for ``LONGEST_HEADER`` characters is a letter of the first line.
     """
-    lines = (
-        spark.read.text(paths)
-        .select(
-            F.regexp_replace("value", "^\uFEFF", "").alias("line"),
-            "_metadata.file_path",
-            # Rows of one block follow each other; blocks of a file are dealt out in any order.
-            F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("place"),
-        )
-        .where(F.trim(F.translate("line", "\r\t", "  ")) != "")
+    lines = (line.removeprefix("\ufeff") for line in lines)
+    first = next((line for line in lines if line.strip()), None)
+    record = first
+    while record is not None and _quote_is_open(record, sep):
+        more = next(lines, None)
+        if more is None or len(record) + len(more) > LONGEST_HEADER:
+            return first
+        record += "\n" + more
+    return record
+
+
+def _headers(batches: Iterator[pa.RecordBatch], sep: str) -> Iterator[pa.RecordBatch]:
+    """(file, start, header) of every split of a task."""
+    lines = (row for batch in batches for row in zip(*map(pa.Array.to_pylist, batch.columns)))
+    for (file, start), own in groupby(lines, key=lambda row: row[1:]):
+        header = _first_record((line for line, *_ in own), sep)
+        yield pa.RecordBatch.from_pydict({"file": [file], "start": [start], "header": [header]})
+
+
+def _small_headers(spark: SparkSession, files: dict[str, str], sep: str) -> dict[str, str]:
+    """Headers of files that are read whole, in one job."""
+    lines = spark.read.text([_literal(p) for p in files.values()]).select(
+        "value", "_metadata.file_path", "_metadata.file_block_start"
     )
-    return lines.groupBy(F.col("file_path").alias("path")).agg(
-        F.min(F.struct("place", "line"))["line"].alias("header")
+    found = lines.mapInArrow(
+        lambda batches: _headers(batches, sep), "file string, start long, header string"
     )
+    first: dict[str, tuple[int, str]] = {}
+    for row in found.where("header IS NOT NULL").collect():
+        own = (row["start"], row["header"])
+        first[row["file"]] = min(own, first.get(row["file"], own))
+    return {files[file]: header for file, (_, header) in first.items()}
+
+
+def _large_header(spark: SparkSession, path: str, sep: str) -> str | None:
+    """The header of one file: a limit stops its first task after some lines."""
+    lines = spark.read.text(_literal(path)).where("_metadata.file_block_start = 0").select("value")
+    wanted = PROBE_LINES
+    while True:
+        found = [row["value"] for row in lines.limit(wanted).collect()]
+        header = _first_record(iter(found), sep)
+        if len(found) < wanted or (header is not None and not _quote_is_open(header, sep)):
+            return header
+        wanted *= 16
+
+
+def probe_headers(
+    spark: SparkSession, files: DataFrame | Sequence[Row], sep: str = ","
+) -> dict[str, str]:
+    """{path: header} of those ``files`` (rows of :func:`list_files`) that have any text.
+
+    A header is the first record: a quoted name may hold line breaks.  Files of up to
+    ``PROBE_BYTES`` are read in one job; of a larger one a task reads some lines and stops, so no
+    file costs more than that, whatever its size.  Lines are read by Spark, so any file system
+    that Spark knows will do.
+    """
+    rows = files.collect() if isinstance(files, DataFrame) else files
+    small = {r[SOURCE]: r["path"] for r in rows if r["length"] <= PROBE_BYTES}
+    large = [r["path"] for r in rows if r["length"] > PROBE_BYTES]
+    found = _small_headers(spark, small, sep) if small else {}
+    with ThreadPoolExecutor(PROBES) as pool:
+        headers = pool.map(lambda path: _large_header(spark, path, sep), large)
+        found |= {p: h for p, h in zip(large, headers, strict=True) if h is not None}
+    return found
 
 
 def header_schema(header: str, sep: str = ",") -> T.StructType:
@@ -108,16 +196,18 @@ def _read_csv(spark: SparkSession, paths: list[str], header: str, run_ts: Column
         .option("header", True)
         .option("sep", sep)
         .option("mode", "PERMISSIVE")
+        # A file whose header goes over lines cannot be split at lines.
+        .option("multiLine", "\n" in header)
         .option("columnNameOfCorruptRecord", RESCUED)
-        .csv(paths)
+        .csv([_literal(p) for p in paths])
         .withColumns(lineage(run_ts))
     )
 
 
 def read_csv_by_header(
-    spark: SparkSession, paths: list[str], run_ts: Column, sep: str = ","
+    spark: SparkSession, files: Sequence[Row], run_ts: Column, sep: str = ","
 ) -> DataFrame | None:
-    """Rows of all files with columns bound by name; None when no file has a header.
+    """Rows of all ``files`` with columns bound by name; None when none has a header.
 
     Files with equal headers are read together under that header's schema, since one
     reader over mixed headers binds by position.  Rows that do not fit their header
@@ -126,14 +216,58 @@ def read_csv_by_header(
     the files of one load.
     """
     by_header: dict[str, list[str]] = {}
-    for row in probe_headers(spark, paths).collect():
-        by_header.setdefault(row["header"], []).append(row["path"])
+    for path, header in probe_headers(spark, files, sep).items():
+        by_header.setdefault(header, []).append(path)
     if not by_header:
         return None
     frames = [_read_csv(spark, group, h, run_ts, sep) for h, group in sorted(by_header.items())]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def json_records(texts: DataFrame, schema: str) -> DataFrame:
+    """Records of JSON texts: the columns of ``schema``, the rest in ``_rescued_data``.
+
+    ``texts`` has a column ``value`` with one object or an array of objects; its other columns
+    are carried along.  A declared key of type string takes any value: text as it is, an object
+    or array as its JSON.  So a key may hold an object in one file and text in the next, and
+    nothing is inferred from the data.  ``_rescued_data`` is a JSON object of all other keys with
+    their values as they are (see :func:`rescued`); a text that is no JSON is one row with the
+    text under ``_broken``.  A blank text has no row.
+    """
+    value, names = F.col("value"), T.DataType.fromDDL(schema).names
+    carried = [c for c in texts.columns if c != "value"]
+    declared = F.from_json(value, f"array<struct<{schema}>>")
+    every = F.when(
+        value.rlike(r"^\s*\["), F.from_json(value, "array<map<string, variant>>")
+    ).otherwise(F.array(F.from_json(value, "map<string, variant>")))
+    parsed = texts.where(value.rlike(r"\S")).select(
+        *carried, declared.alias("_declared"),
+        F.coalesce(every, F.array().cast("array<map<string, variant>>")).alias("_every"),
+        F.to_json(F.struct(value.alias("_broken"))).alias("_broken"),
+    )
+    # An empty array has no records; a text that cannot be parsed is one.
+    some = F.col("_declared").isNull() | (F.size("_declared") > 0)
+    rows = parsed.where(some).select(
+        *carried,
+        F.when(F.col("_declared").isNull(), F.col("_broken")).alias("_broken"),
+        F.explode_outer(F.arrays_zip("_declared", "_every")).alias("_record"),
+    )
+    fields, others = F.col("_record._declared"), F.col("_record._every")
+    others = F.map_filter(others, lambda key, _: ~key.isin(names))
+    others = F.nullif(F.to_json(others, {"ignoreNullFields": "true"}), F.lit("{}"))
+    return rows.select(
+        *[fields.getField(n).alias(n) for n in names],
+        F.coalesce("_broken", others).alias(RESCUED),
+        *carried,
+    )
+
+
+def rescued(key: str, kind: str = "string") -> Column:
+    """The value of a key in ``_rescued_data``, or null: text, or any type it can be cast to."""
+    path = "$['" + key.replace("\\", "\\\\").replace("'", "\\'") + "']"
+    return F.try_variant_get(F.try_parse_json(RESCUED), path, kind)
+
+
 def read_json_rescued(
     spark: SparkSession,
     paths: list[str],
@@ -141,54 +275,58 @@ def read_json_rescued(
     run_ts: Column,
     multi_line: bool = True,
 ) -> DataFrame:
-    """Declared fields as text; undeclared keys and broken records go to ``_rescued_data``."""
-    found = (
-        spark.read.option("multiLine", multi_line)
-        .option("primitivesAsString", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_broken")
-        .json(paths)
-    )
-    declared = [
-        F.col(f"`{n}`") if n in found.columns else F.lit(None).cast("string").alias(n)
-        for n in fields
-    ]
-    extra = [F.col(f"`{n}`") for n in found.columns if n not in fields]
-    rescued = F.nullif(F.to_json(F.struct(*extra)), F.lit("{}")) if extra else F.lit(None)
-    return found.select(
-        *declared,
-        rescued.cast("string").alias(RESCUED),
-        *[c.alias(n) for n, c in lineage(run_ts).items()],
-    )
+    """Declared fields as text; undeclared keys and broken records go to ``_rescued_data``.
 
+    With ``multi_line`` a file is one text, an object or an array, and is parsed by one task;
+    otherwise every line is a text.
+    """
+    texts = spark.read.text([_literal(p) for p in paths], wholetext=multi_line)
+    schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in fields)
+    return json_records(texts.withColumns(lineage(run_ts)), schema)
 
-def _loads(pending: DataFrame, limit: int) -> Iterator[list[str]]:
-    """Paths of the pending files, oldest first, at most ``limit`` at a time until all are out."""
+
+def _loads(pending: DataFrame, limit: int) -> Iterator[list[Row]]:
+    """The pending files, oldest first, at most ``limit`` at a time until all are out."""
     position = F.struct("modificationTime", "path")
     after = None
     while True:
         rest = pending
         if after is not None:
-            last = F.struct(F.lit(after[0]).alias("modificationTime"), F.lit(after[1]).alias("path"))
+            last = F.struct(
+                F.lit(after["modificationTime"]).alias("modificationTime"),
+                F.lit(after["path"]).alias("path"),
+            )
             rest = pending.where(position > last)
-        rows = rest.orderBy(position).limit(limit).select("modificationTime", "path").collect()
+        rows = rest.orderBy(position).limit(limit).collect()
         if not rows:
             return
-        yield [r["path"] for r in rows]
+        yield rows
         after = rows[-1]
 
 
-def _named(files: DataFrame, paths: list[str]) -> DataFrame:
-    """The files of one load, whose number is bounded."""
-    chosen = files.sparkSession.createDataFrame([(p,) for p in paths], "path string")
-    return files.join(F.broadcast(chosen), "path", "left_semi")
-
-
-def _pending(
-    spark: SparkSession, source_dir: str, glob: str, path_word: str | None, bronze_path: str
-) -> DataFrame:
-    ledger = optional_path(spark, _ledger_path(bronze_path))
-    return new_files(list_files(spark, source_dir, glob, path_word), ledger)
+def _ingest(
+    spark: SparkSession,
+    files: DataFrame,
+    bronze_path: str,
+    run_ts: Column,
+    files_per_load: int,
+    read: Callable[[Sequence[Row]], DataFrame | None],
+) -> int:
+    """Store every file that the ledger does not name; returns their number."""
+    ledger_path = _ledger_path(bronze_path)
+    ledger = optional_path(spark, ledger_path)
+    load, loaded = _next_load(ledger), 0
+    for rows in _loads(new_files(files, ledger), files_per_load):
+        found = read(rows)
+        if found is not None:
+            _write_load(found, bronze_path, load)
+        entries = spark.createDataFrame(
+            [(r[SOURCE], r["modificationTime"]) for r in rows],
+            f"{SOURCE} string, modificationTime timestamp",
+        )
+        _write_load(entries.withColumn(LOADED, run_ts), ledger_path, load)
+        load, loaded = load + 1, loaded + len(rows)
+    return loaded
 
 
 def ingest_csv(
@@ -206,15 +344,11 @@ def ingest_csv(
     list on the driver stays bounded.  New columns widen the table, whose readers
     merge the schemas of its files (:func:`read_bronze`).
     """
-    loaded = 0
-    pending = _pending(spark, source_dir, glob, path_word, bronze_path)
-    for paths in _loads(pending, files_per_load):
-        rows = read_csv_by_header(spark, paths, run_ts)
-        if rows is not None:
-            rows.write.mode("append").parquet(bronze_path)
-        _enter(spark, bronze_path, _named(pending, paths), run_ts)
-        loaded += len(paths)
-    return loaded
+    files = list_files(spark, source_dir, glob, path_word)
+    return _ingest(
+        spark, files, bronze_path, run_ts, files_per_load,
+        lambda rows: read_csv_by_header(spark, rows, run_ts),
+    )
 
 
 def ingest_json(
@@ -228,16 +362,14 @@ def ingest_json(
     files_per_load: int = FILES_PER_LOAD,
 ) -> int:
     """Append every new multi-line JSON file to bronze; returns the number of files read."""
-    loaded = 0
-    pending = _pending(spark, source_dir, glob, path_word, bronze_path)
-    for paths in _loads(pending, files_per_load):
-        rows = read_json_rescued(spark, paths, fields, run_ts)
-        rows.write.mode("append").parquet(bronze_path)
-        _enter(spark, bronze_path, _named(pending, paths), run_ts)
-        loaded += len(paths)
-    return loaded
+    files = list_files(spark, source_dir, glob, path_word)
+    return _ingest(
+        spark, files, bronze_path, run_ts, files_per_load,
+        lambda rows: read_json_rescued(spark, [r["path"] for r in rows], fields, run_ts),
+    )
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame | None:
     """The bronze table with all columns seen so far, or None before the first load."""
-    return optional_path(spark, path, merge_schema=True)
+    table = optional_path(spark, path, merge_schema=True)
+    return None if table is None else table.drop(LOAD)

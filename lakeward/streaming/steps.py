@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from lakeward.operators.dedup import dedup_against
 from lakeward.operators.rules import QUARANTINE, VALID, route
 from lakeward.plans.entities import Entity, checked
-from lakeward.sources.files import RESCUED, lineage
+from lakeward.sources.files import RESCUED, json_records, lineage
 from lakeward.sources.tables import optional_path
 
 STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
@@ -53,17 +53,16 @@ def stream_json(
     glob: str,
     run_ts: Column,
     multi_line: bool = True,
+    files_per_batch: int | None = None,
 ) -> DataFrame:
-    """New JSON files; declared fields by name, broken records rescued."""
-    return (
-        spark.readStream.schema(f"{schema}, {RESCUED} string")
-        .option("multiLine", multi_line)
-        .option("columnNameOfCorruptRecord", RESCUED)
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", True)
-        .json(source_dir)
-        .withColumns(lineage(run_ts))
-    )
+    """New JSON files: declared fields by name, undeclared keys and broken records rescued.
+
+    With ``files_per_batch`` what is new goes through in several batches, oldest files first.
+    """
+    reader = spark.readStream.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return json_records(reader.text(source_dir, wholetext=multi_line).withColumns(lineage(run_ts)), schema)
 
 
 def stream_table(spark: SparkSession, path: str) -> DataFrame:

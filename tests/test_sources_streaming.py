@@ -8,6 +8,7 @@ from lakeward.plans import entities as ent
 from lakeward.sources import files, tables
 from lakeward.streaming import steps
 
+
 def ts():
     return F.lit("2024-01-31 00:00:00").cast("timestamp")
 
@@ -66,7 +67,7 @@ def test_json_rescue(spark, tmp_path):
     rows = {r["ClaimID"]: r for r in files.read_bronze(spark, bronze).collect()}
     assert loaded == 3 and set(rows) == {"a", "b", "c", None}
     assert rows["a"]["injury"] == "5000.0" and rows["a"]["vehicle"] is None
-    assert json.loads(rows["b"]["_rescued_data"]) == {"more": {"z": "2"}}
+    assert json.loads(rows["b"]["_rescued_data"]) == {"more": {"z": 2}}
     assert "ClaimID" in rows[None]["_rescued_data"]
 
 

@@ -25,7 +25,8 @@ from lakeward.llm.text import blocks
 
 SPACE = "▁"
 UNKNOWN_SURFACE = " ⁇ ".encode()
-BLOCK = 1 << 20
+BLOCK = 1 << 22
+PART = 1 << 19
 BLOCK_IDS = 1 << 18
 # Longest word, in characters, whose agenda is a row of an array.
 ROW = 24
@@ -312,16 +313,22 @@ def encode(docs: DataFrame, path: str, check: bool = True, with_decoded: bool =
             column = batch.column("text").fill_null("")
             sizes = column.cast("binary").to_pylist()
             for a, b in blocks(sizes, BLOCK):
-                texts = column.slice(a, b - a).to_pylist()
-                ids, counts = vocabulary.encode(texts)
-                out = [batch.column("doc_id").slice(a, b - a), _by_text(ids, counts)]
-                theirs = _check_ids(vocabulary, texts, ids, counts) if check else []
-                if with_decoded:
-                    decoded = vocabulary.decode(ids, counts)
+                ids, counts = vocabulary.encode(column.slice(a, b - a).to_pylist())
+                ends = np.append(0, np.cumsum(counts))
+                # The library's lists take much memory: a part of the block at a time.
+                for c, d in blocks(sizes[a:b], PART):
+                    some, number = ids[ends[c] : ends[d]], counts[c:d]
+                    out = [batch.column("doc_id").slice(a + c, d - c), _by_text(some, number)]
+                    theirs = []
                     if check:
-                        _check_text(vocabulary, theirs, decoded)
-                    out.append(pa.array(decoded, pa.binary()))
-                yield pa.RecordBatch.from_arrays(out, ["doc_id", "ids", "decoded"][: len(out)])
+                        texts = column.slice(a + c, d - c).to_pylist()
+                        theirs = _check_ids(vocabulary, texts, some, number)
+                    if with_decoded:
+                        decoded = vocabulary.decode(some, number)
+                        if check:
+                            _check_text(vocabulary, theirs, decoded)
+                        out.append(pa.array(decoded, pa.binary()))
+                    yield pa.RecordBatch.from_arrays(out, ["doc_id", "ids", "decoded"][: len(out)])
 
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     schema = "doc_id long, ids array<int>" + (", decoded binary" if with_decoded else "")

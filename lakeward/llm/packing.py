@@ -17,19 +17,21 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeward.llm.pieces import PieceCache, cut
+from lakeward.llm.gather import Encoder, Layout, before_words
 from lakeward.llm.scratch import prepare, stored
-from lakeward.llm.text import blocks
+from lakeward.llm.text import as_bytes, blocks
 from lakeward.llm.token_counts import FileEncoder
 
 CAPACITY = 2048
 END_ID = 0
+# Bytes of text encoded together: fewer distinct words to look up than in smaller blocks.
+BLOCK = 1 << 22
 _RANKS = 1 << 44
 
 
-@lru_cache(maxsize=2)
-def _id_cache(path: str) -> PieceCache:
-    return PieceCache(FileEncoder(path).packed)
+@lru_cache(maxsize=1)
+def _file_encoder(path: str) -> FileEncoder:
+    return FileEncoder(path)
 
 
 def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
@@ -39,33 +41,44 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFr
     null text is one piece of length 1.  Only documents longer than ``capacity`` are cut.
     """
     prepare(docs.sparkSession)
-    end_mark = np.array([END_ID], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = _id_cache(path)
+        file = _file_encoder(path)
+        # What is remembered goes with the task: a worker that is used again starts empty.
+        encoder = Encoder(lambda words: file.packed([w.decode() for w in words]))
         for batch in batches:
-            texts = batch.column("text").fill_null("").to_pylist()
-            for a, b in blocks(texts):
-                whole = [b"".join(v) + end_mark for v in cache.values([cut(t) for t in texts[a:b]])]
-                rows = [(i, s) for i, t in enumerate(whole) for s in range(0, len(t), 4 * capacity)]
-                owner = [a + i for i, _ in rows]
-                starts = np.array([s for _, s in rows], np.int64) // 4
-                ids = [whole[i][s : s + 4 * capacity] for i, s in rows]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").take(pa.array(owner, pa.int64())),
-                        pa.array((starts // capacity).astype(np.int32)),
-                        pa.array(starts),
-                        pa.array([len(x) // 4 for x in ids], pa.int64()),
-                        pa.array(ids, pa.binary()),
-                    ],
-                    ["doc_id", "piece", "start", "length", "ids"],
-                )
+            texts = as_bytes(batch.column("text"))
+            for a, b in blocks(texts, BLOCK):
+                layout = Layout(texts[a:b])
+                ids, counts = encoder.ids(*layout.pieces(before_words(layout)))
+                yield _cut(batch.column("doc_id").slice(a, b - a), ids, counts, capacity)
+        file.known.clear()
 
     slim = docs.select(F.col("doc_id").cast("long"), "text")
     return slim.mapInArrow(run, "doc_id long, piece int, start long, length long, ids binary")
 
 
+def _cut(doc_id: pa.Array, ids: np.ndarray, counts: np.ndarray, capacity: int) -> pa.RecordBatch:
+    """Pieces of documents whose ids follow each other in ``ids``, each closed by the end id."""
+    ends = np.cumsum(counts)
+    closed = np.insert(ids, ends, np.uint32(END_ID)).astype("<u4")
+    lengths = counts + 1
+    pieces = -(-lengths // capacity)
+    owner = np.repeat(np.arange(len(counts)), pieces)
+    number = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    starts = number * capacity
+    size = np.minimum(lengths[owner] - starts, capacity)
+    offsets = np.append(0, 4 * np.cumsum(size)).astype(np.int32)
+    packed = pa.Array.from_buffers(
+        pa.binary(), len(owner), [None, pa.py_buffer(offsets), pa.py_buffer(closed.tobytes())]
+    )
+    return pa.RecordBatch.from_arrays(
+        [doc_id.take(pa.array(owner)), pa.array(number.astype(np.int32)), pa.array(starts),
+         pa.array(size), packed],
+        ["doc_id", "piece", "start", "length", "ids"],
+    )
+
+
 class _Stock:
     """Pieces left per length, and ways to fill a gap exactly with one, two or three of them."""
 
@@ -203,10 +216,14 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         counts[row["length"]] = row["n"]
     key, sequence, offset = _slots(plan(counts, capacity), capacity)
 
+    # What is ahead of a partition, one list of numbers by length for each partition.
     before = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    first = parts.select(
+    ahead = parts.select(
         "_part", "length", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first")
     )
+    first = ahead.groupBy("_part").agg(
+        F.map_from_entries(F.collect_list(F.struct("length", "_first"))).alias("_firsts")
+    )
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,7 +239,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 [*names, "sequence_id", "offset"],
             )
 
-    ranked = rows.join(first, ["_part", "length"]).withColumn("_rank", F.col("_rank") + F.col("_first"))
+    ranked = rows.join(first, "_part").withColumn("_rank", F.col("_rank") + F.col("_firsts")[F.col("length")])
     return ranked.select(*names, "_rank").mapInArrow(
         place, f"{columns}, sequence_id long, offset long"
     )

@@ -138,6 +138,36 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFr
     return rows.mapInArrow(_linked(settings), "a long, b long")
 
 
+def _alone(texts: DataFrame, settings: Settings) -> DataFrame:
+    """(id, u): how many shingles of a text no other of these ``texts`` has; texts with some.
+
+    A doc_id with several rows has several sets, and counts as one that shares all it has.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("doc_id").to_numpy()
+            for i, shingles in zip(ids, _sets(as_bytes(batch.column("text")), settings.shingle), strict=True):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(shingles), i)), pa.array(shingles.view(np.int64))],
+                    ["id", "shingle"],
+                )
+
+    held = texts.select("doc_id", "text").mapInArrow(run, "id long, shingle long")
+    once = held.groupBy("shingle").agg(F.min("id").alias("id"), F.max("id").alias("last"))
+    single = texts.groupBy(F.col("doc_id").alias("id")).agg(F.count("*").alias("rows")).where("rows = 1")
+    found = once.where("id = last").groupBy("id").agg(F.count("*").alias("u"))
+    return found.join(single, "id", "left_semi")
+
+
+def _may_link(settings: Settings, n, u, m, v):
+    """Whether sets of n and m shingles can be similar enough when u and v of them are in no
+    other set: at most the rest of either is common.
+    """
+    common = F.least(n - u, m - v)
+    return (100 + settings.percent) * common >= settings.percent * (n + m)
+
+
 def _links(members: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame | None:
     """(id, component) of the linked members of shared buckets.
 
@@ -145,54 +175,97 @@ def _links(members: DataFrame, texts: DataFrame, settings: Settings) -> DataFram
     aren't in their component yet; what they link becomes one component.  Turns take other
     pivots, ``GROWTH`` times as many each time, until every bucket is one component or all its
     members have been pivots.  So each pair that shares a bucket is compared or already
-    connected, while a large group of copies costs a few comparisons per member.  Sets whose
-    sizes alone keep them below the similarity need no comparison.
+    connected, while a large group of copies costs a few comparisons per member.
+
+    Pairs that cannot be similar enough by their numbers of shingles are not compared.  From the
+    second turn on this uses the shingles that a member shares with no other member still open:
+    near copies of one text differ by such shingles, so the copies with the fewest, the pivots,
+    link all that can be linked, and the others are known to be apart without comparing them.
     """
-    found, joined = None, members.withColumn("component", F.col("id"))
-    done, pivots = 0, 1
+    fresh = members.withColumns({"component": F.col("id"), "u": F.lit(0).cast("long")})
+    found, joined, last, pivots = None, fresh, None, 1
+    key = F.struct("u", F.xxhash64("id").alias("h"), "id")
+    n, u = F.col("n"), F.col("u")
     while True:
-        order = Window.partitionBy("bucket").orderBy(F.xxhash64("id"), "id")
-        ranked = joined.withColumn("place", F.row_number().over(order))
-        chosen = ranked.where(F.col("place") <= done + pivots).where(F.col("place") > done)
+        free = joined
+        if last is not None:
+            free = joined.join(last, "bucket", "left").where(
+                F.col("last").isNull() | (key > F.col("last"))
+            )
+        order = Window.partitionBy("bucket").orderBy("u", F.xxhash64("id"), "id")
+        ranked = free.withColumn("place", F.row_number().over(order))
         left = stored(
-            chosen.select(
-                "bucket", F.col("id").alias("p"), F.col("component").alias("c"), F.col("n").alias("m")
+            ranked.where(F.col("place") <= pivots).select(
+                "bucket", F.col("id").alias("p"), F.col("component").alias("c"),
+                F.col("n").alias("m"), F.col("u").alias("v"), key.alias("key"),
             ),
             "pivots",
-        )
-        close = 100 * F.least("n", "m") >= settings.percent * F.greatest("n", "m")
+        )
         pairs = (
-            joined.join(left, "bucket")
+            joined.join(left.drop("key"), "bucket")
             .where(F.col("component") != F.col("c"))
-            .where(close)
+            .where(_may_link(settings, n, u, F.col("m"), F.col("v")))
             .select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b"))
             .distinct()
         )
         links = stored(_confirmed(stored(pairs, "pairs"), texts, settings), "confirmed")
-        done, pivots = done + pivots, GROWTH * pivots
         known = links if found is None else links.unionAll(
             found.select(F.col("id").alias("a"), F.col("component").alias("b"))
         )
         found = stored(components(known), "components")
-        now = members.join(found, "id", "left").withColumn(
+        now = joined.drop("component").join(found, "id", "left").withColumn(
             "component", F.coalesce("component", "id")
         )
-        now = stored(now, "members")
-        open_buckets = (
-            now.groupBy("bucket")
-            .agg(
-                F.count("*").alias("size"),
-                F.min("component").alias("low"),
-                F.max("component").alias("high"),
+        if last is None:
+            # The second turn begins anew, with what is known of single shingles by then.
+            now = _open(stored(now, "members"), settings)
+            ids = stored(now.select(F.col("id").alias("doc_id")).distinct(), "ids")
+            alone = _alone(texts.join(ids, "doc_id", "left_semi"), settings)
+            now = now.drop("u").join(stored(alone, "alone"), "id", "left").withColumn(
+                "u", F.coalesce("u", F.lit(0))
             )
-            .where((F.col("low") < F.col("high")) & (F.col("size") > done))
-            .select("bucket")
-        )
-        joined = stored(now.join(stored(open_buckets, "buckets"), "bucket", "left_semi"), "open")
+            nothing = left.select("bucket", F.col("key").alias("last"))
+            last = nothing.limit(0)
+        else:
+            newest = left.groupBy("bucket").agg(F.max("key").alias("newest"))
+            last = stored(
+                newest.join(last, "bucket", "full").select(
+                    "bucket", F.coalesce("newest", "last").alias("last")
+                ),
+                "last",
+            )
+            pivots *= GROWTH
+        joined = stored(_open(stored(now, "members"), settings, last), "open")
         if joined.isEmpty():
             return found
 
 
+def _open(members: DataFrame, settings: Settings, last: DataFrame | None = None) -> DataFrame:
+    """Members that may still be linked with another component of their bucket.
+
+    Members that no other member of the bucket can be similar enough to are left out, then
+    buckets of one component, and those in which every member has been a pivot.
+    """
+    percent, n, u = settings.percent, F.col("n"), F.col("u")
+    reach = (100 + percent) * (n - u)
+    best = members.groupBy("bucket").agg(
+        F.max(reach - percent * n).alias("best"), F.min(n).alias("least")
+    )
+    some = members.join(stored(best, "best"), "bucket").where(
+        (F.col("best") >= percent * n) & (reach >= percent * (n + F.col("least")))
+    )
+    some = stored(some.drop("best", "least"), "some")
+    buckets = some.groupBy("bucket").agg(
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        F.max(F.struct("u", F.xxhash64("id").alias("h"), "id")).alias("end"),
+    )
+    buckets = buckets.where("low < high")
+    if last is not None:
+        buckets = buckets.join(last, "bucket", "left").where("last IS NULL OR end > last")
+    return some.join(stored(buckets.select("bucket"), "buckets"), "bucket", "left_semi")
+
+
 def near_duplicates(
     docs: DataFrame, settings: Settings = Settings(), with_digest: bool = False
 ) -> DataFrame:

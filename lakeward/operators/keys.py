@@ -49,6 +49,8 @@ def lookup_join(
     hot: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
     salts: int = HOT_SALTS,
+    *,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Left join to a lookup with one row per key, safe for hot and null keys.
 
@@ -56,6 +58,9 @@ def lookup_join(
     of df with a hot or null key are spread over ``salts`` partitions by the hash of the
     ``spread_by`` columns (default: all); all other keys go through an ordinary join.
     Every row of df is kept exactly once.  ``hot`` hands in lookup rows known to be hot.
+    Keys are counted in ``counted`` (default: df), which decides where rows go but not what
+    they find.  A stream cannot be counted ahead: there ``counted`` is the stored input of the
+    run, and without it only null keys are spread.
     A lookup that Spark broadcasts anyway needs neither the count nor the salt.
     """
     slim = lookup.select(F.col(lookup_key).alias("_key"), F.struct(*columns).alias("_found"))
@@ -63,8 +68,13 @@ def lookup_join(
     if hot is None and fits_broadcast(slim):
         joined = df.join(slim, F.col(key) == F.col("_key"), "left")
         return joined.select(*own, *[F.col("_found").getField(c).alias(c) for c in columns])
-    if hot is None:
-        keys = hottest(key_rows(df, key), hot_rows).select(F.col(key).alias("_hot_key"))
+    if counted is None and not df.isStreaming:
+        counted = df
+    if hot is None and counted is None:
+        none = slim.where(F.lit(False))
+        hot = none.select(F.col("_key").alias("_hot_key"), F.col("_found").alias("_hot_found"))
+    elif hot is None:
+        keys = hottest(key_rows(counted, key), hot_rows).select(F.col(key).alias("_hot_key"))
         known = keys.join(slim, F.col("_hot_key") == F.col("_key"), "left")
         hot = known.select("_hot_key", F.col("_found").alias("_hot_found"))
     else:
@@ -114,21 +124,22 @@ def flag_orphans(
     unique: bool = False,
     split_hot: bool = True,
     spread_by: list[str] | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Keep every row and add ``flag`` (true when the key exists in ``ref``).
 
     ``unique=True`` skips the distinct step when ``ref`` already has one row per key;
-    ``split_hot=False`` (the only choice for a stream) leaves hot keys to Spark.
+    ``split_hot=False`` leaves hot keys to Spark.  ``counted`` as for :func:`lookup_join`.
     """
     lookup = ref.select(F.col(ref_key or key).alias("_ref_key"))
     lookup = lookup.where(F.col("_ref_key").isNotNull())
     if not unique:
         lookup = lookup.distinct()
-    if not split_hot or df.isStreaming:
+    if not split_hot:
         joined = df.join(lookup, F.col(key) == F.col("_ref_key"), "left")
         return joined.withColumn(flag, F.col("_ref_key").isNotNull()).drop("_ref_key")
     marked = lookup.withColumn("_present", F.lit(True))
-    joined = lookup_join(df, marked, key, "_ref_key", ["_present"], spread_by)
+    joined = lookup_join(df, marked, key, "_ref_key", ["_present"], spread_by, counted=counted)
     return joined.withColumn(flag, F.coalesce("_present", F.lit(False))).drop("_present")
 
 
@@ -140,18 +151,19 @@ def enrich(
     lookup_key: str | None = None,
     order_by: list[Column] | None = None,
     split_hot: bool = True,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Left join a fact to a lookup at one row per key, so the fact keeps its grain.
 
     ``order_by`` picks the row when a key repeats; leave it out only for a lookup
     that is unique by construction.  ``split_hot=False`` suits a fact that is already
-    summed per key, and a stream.
+    summed per key.  ``counted`` as for :func:`lookup_join`.
     """
     lookup_key = lookup_key or key
     if order_by is not None:
         lookup = one_per_key(lookup, lookup_key, order_by)
-    if split_hot and not fact.isStreaming:
-        return lookup_join(fact, lookup, key, lookup_key, columns)
+    if split_hot:
+        return lookup_join(fact, lookup, key, lookup_key, columns, counted=counted)
     slim = lookup.select(F.col(lookup_key).alias("_lookup_key"), *columns)
     return fact.join(slim, F.col(key) == F.col("_lookup_key"), "left").drop("_lookup_key")
 

@@ -44,6 +44,9 @@ from lakeward.plans.exercises import (
     incremental_table,
     json_table,
     stream_dedup_table,
+    stream_facts,
+    stream_references,
+    stream_run_log,
     stream_split_table,
 )
 from lakeward.plans.layers import AS_OF, RUN_TS, Layers
@@ -619,11 +622,39 @@ def _(layers: Layers) -> DataFrame:
 
 @query("stream_dedup_watermark")
 def _(layers: Layers) -> DataFrame:
-    """Claims read as a file stream, repeats dropped by watermarked state; ids left out."""
+    """Claims in three batches: repeats dropped by state, late ones by the watermark; no ids."""
     deduped = stream_dedup_table(layers.spark, layers.raw("claims"))
     return deduped.select(*ent.CLAIMS.dedup_columns)
 
 
+@query("stream_fact_claims")
+def _(layers: Layers) -> DataFrame:
+    """Claims from landing to facts by streaming steps, which are listed out of order."""
+    layers.silver("policy")
+    return stream_facts(layers.spark, layers.raw("claims"), layers.stored["policy"])
+
+
+@query("stream_claims_references")
+def _(layers: Layers) -> DataFrame:
+    """Streamed claims against policies, of which half arrive between two runs."""
+    checked = stream_references(layers.spark, layers.raw("claims"), layers.silver("policy"))
+    return checked.select("claim_id", F.col("_route").alias("route"), "error_reason")
+
+
+@query("audit_stream_runs")
+def _(layers: Layers) -> DataFrame:
+    """Audit of a log that steps have written: rows in and out, drops, expectations, a failure."""
+    log = stream_run_log(layers.spark, layers.raw("cars"))
+    runs = audit.audit_metrics(log, F.lit(RUN_TS).cast("timestamp"))
+    return runs.select(
+        "dataset_name",
+        "final_status",
+        "total_output_rows",
+        "total_dropped_rows",
+        F.to_json("expectations").alias("expectations"),
+    )
+
+
 @query("stream_valid_quarantine")
 def _(layers: Layers) -> DataFrame:
     """Cars read as a file stream and split by their rules in one pass."""

@@ -344,13 +344,22 @@ CLAIMS = Entity(
 ENTITIES = {e.name: e for e in (CARS, CUSTOMERS, POLICY, SALES, CLAIMS)}
 
 
-def checked(entity: Entity, raw: DataFrame, refs: dict[str, DataFrame] | None = None) -> DataFrame:
+def checked(
+    entity: Entity,
+    raw: DataFrame,
+    refs: dict[str, DataFrame] | None = None,
+    stored: DataFrame | None = None,
+) -> DataFrame:
     """Cleaned rows with one existence flag per reference.
 
+    Where ``raw`` is a stream, ``stored`` are the rows it is about to bring, as a table: their
+    hot keys are spread over many tasks.
+
     A referenced table that does not exist yet (first run) is left out of ``refs``
     and its check passes, decided here by the caller and not by a failing read.
     """
     df = entity.clean(raw)
+    counted = None if stored is None else entity.clean(stored)
     for ref in entity.references:
         if refs is None or ref.table not in refs:
             df = df.withColumn(ref.flag, F.lit(True))
@@ -363,6 +372,7 @@ def checked(entity: Entity, raw: DataFrame, refs: dict[str, DataFrame] | None =
                 ref.ref_key,
                 ref.unique,
                 spread_by=entity.quarantine_columns,
+                counted=counted,
             )
     return df
 

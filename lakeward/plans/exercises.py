@@ -7,20 +7,26 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeward.plans import entities as ent
+from lakeward.operators import rules
+from lakeward.operators.rules import VALID
+from lakeward.plans import star
 from lakeward.sources.files import ingest_csv, ingest_json, read_bronze
-from lakeward.sources.tables import shared_folder
+from lakeward.sources.tables import optional_path, shared_folder
 from lakeward.streaming.steps import (
     Step,
+    dedup_across_runs,
     dedup_stream,
     run_step,
     run_steps,
     split_stream,
     stream_json,
     stream_table,
+    unread,
 )
 
 # The header variants of the customer files.
@@ -37,6 +43,9 @@ CUSTOMER_FOLDERS = ["customers a", "customers%20b", "customers#c é"]
 # The third variant's header goes over two lines.
 SPLIT_NAME = "Job\ntitle"
 ROWS_PER_DOCUMENT = 5_000
+WATERMARK = "1 day"
+EARLY = "1995-06-17"
+FILES_PER_ARRIVAL = 4
 
 
 def _new_folder(spark: SparkSession, name: str) -> str:
@@ -122,34 +131,144 @@ def _write_documents(rows: DataFrame, path: str) -> None:
 
 
 def stream_dedup_table(spark: SparkSession, claims: DataFrame) -> DataFrame:
-    """Bronze, then watermarked duplicate removal, as two steps over files."""
+    """Three arrivals in one run, a batch each, with a watermark of one day behind the newest.
+
+    First the claims up to ``EARLY``, then those after it.  Last come claims held back from the
+    first arrival, which are late by then and lost, and the newest day's claims once more, which
+    state still knows.
+    """
     root = _new_folder(spark, "stream")
-    claims.write.json(f"{root}/landing/claims")
+    early = F.col("incident_date") < EARLY
+    held = early & (F.col("number_of_vehicles_involved") == "3")
+    newest = claims.agg(F.max("incident_date")).first()[0]
+    again = F.col("incident_date") == F.lit(newest)
+    for number, rows in enumerate(
+        [claims.where(early & ~held), claims.where(~early), claims.where(held | again)]
+    ):
+        rows.repartition(FILES_PER_ARRIVAL).write.json(f"{root}/landing/claims_{number}")
     schema = ", ".join(f"{c} string" for c in claims.columns)
-    steps = [
-        Step(
-            "bronze",
-            lambda s: stream_json_lines(s, f"{root}/landing", schema),
-            f"{root}/bronze",
-        ),
-        Step(
-            "silver",
-            lambda s: dedup_stream(
-                ent.clean_claims(stream_table(s, f"{root}/bronze")),
-                "incident_date",
-                BACKFILL_DELAY,
-                ent.CLAIMS.dedup_columns,
+    step = Step(
+        "silver",
+        lambda s: dedup_stream(
+            ent.clean_claims(
+                stream_json_lines(s, f"{root}/landing", schema, FILES_PER_ARRIVAL)
             ),
-            f"{root}/silver",
+            "incident_date",
+            WATERMARK,
+            ent.CLAIMS.dedup_columns,
         ),
-    ]
-    run_steps(spark, steps, f"{root}/checkpoints", f"{root}/log")
+        f"{root}/silver",
+    )
+    run_steps(spark, [step], f"{root}/checkpoints", f"{root}/log")
     return spark.read.parquet(f"{root}/silver")
 
 
-def stream_json_lines(spark: SparkSession, landing: str, schema: str) -> DataFrame:
+def _claims_step(root: str, policy_path: str, inputs: list[str]) -> Step:
+    """Claims of bronze, split by their rules; policies are read anew for every run."""
+
+    def build(s: SparkSession) -> DataFrame:
+        raw = stream_table(s, f"{root}/bronze")
+        refs = {"policy": s.read.parquet(policy_path)}
+        coming = unread(s, f"{root}/bronze", f"{root}/checked")
+        return split_stream(ent.CLAIMS, raw, refs, coming)
+
+    return Step("checked", build, f"{root}/checked", ["_route"], inputs)
+
+
+def _bronze_step(root: str, schema: str) -> Step:
+    return Step(
+        "bronze", lambda s: stream_json_lines(s, f"{root}/landing", schema), f"{root}/bronze"
+    )
+
+
+def stream_facts(spark: SparkSession, claims: DataFrame, policy_path: str) -> DataFrame:
+    """Landing to facts in four steps, listed from the last to the first, over two runs.
+
+    The second run brings claims again under other ids: none becomes a fact twice.
+    """
+    root = _new_folder(spark, "stream")
+    schema = ", ".join(f"{c} string" for c in claims.columns)
+    columns = ent.CLAIMS.dedup_columns
+
+    def silver(s: SparkSession) -> DataFrame:
+        kept = stream_table(s, f"{root}/checked").where(F.col("_route") == VALID).drop("_route")
+        return dedup_across_runs(kept, optional_path(s, f"{root}/silver"), columns, columns)
+
+    def facts(s: SparkSession) -> DataFrame:
+        coming = unread(s, f"{root}/silver", f"{root}/facts")
+        claims, policy = stream_table(s, f"{root}/silver"), s.read.parquet(policy_path)
+        return star.fact_claims(claims, policy, coming)
+
+    steps = [
+        Step("facts", facts, f"{root}/facts", inputs=["silver"]),
+        Step("silver", silver, f"{root}/silver", inputs=["checked"]),
+        _claims_step(root, policy_path, ["bronze"]),
+        _bronze_step(root, schema),
+    ]
+    for number, rows in enumerate(
+        [claims.where(~F.col("ClaimID").endswith("R")), claims.where(F.col("ClaimID").endswith("R"))]
+    ):
+        rows.write.json(f"{root}/landing/claims_{number}")
+        run_steps(spark, steps, f"{root}/checkpoints", f"{root}/log")
+    return spark.read.parquet(f"{root}/facts")
+
+
+def stream_references(spark: SparkSession, claims: DataFrame, policy: DataFrame) -> DataFrame:
+    """Claims in two runs; policies of odd numbers arrive between them."""
+    root = _new_folder(spark, "stream")
+    schema = ", ".join(f"{c} string" for c in claims.columns)
+    steps = [
+        _claims_step(root, f"{root}/policy", ["bronze", "policy"]),
+        Step("policy", lambda s: stream_table(s, f"{root}/arrived"), f"{root}/policy"),
+        _bronze_step(root, schema),
+    ]
+    odd = F.col("policy_number").substr(F.lit(2), F.lit(20)).cast("long") % 2 == 1
+    first = F.col("bodily_injuries") == "0"
+    arrivals = [
+        (claims.where(first), policy.where(~odd)),
+        (claims.where(~first), policy.where(odd)),
+    ]
+    for number, (some, known) in enumerate(arrivals):
+        some.write.json(f"{root}/landing/claims_{number}")
+        known.write.mode("append").parquet(f"{root}/arrived")
+        run_steps(spark, steps, f"{root}/checkpoints", f"{root}/log")
+    return spark.read.parquet(f"{root}/checked")
+
+
+def stream_run_log(spark: SparkSession, cars: DataFrame) -> DataFrame:
+    """The log of a run whose steps drop rows, and whose last one fails."""
+    root = _new_folder(spark, "stream")
+    cars.write.json(f"{root}/landing/cars")
+    schema = ", ".join(f"{c} string" for c in cars.columns)
+
+    def silver(s: SparkSession) -> DataFrame:
+        cleaned = ent.clean_cars(stream_table(s, f"{root}/bronze"))
+        return rules.keep(rules.observed(cleaned, ent.CAR_RULES, "cars"), ent.CAR_RULES)
+
+    def broken(s: SparkSession) -> DataFrame:
+        rows = stream_table(s, f"{root}/silver")
+        return rows.select(F.raise_error(F.lit("refused")).cast("string").alias("none"))
+
+    steps = [
+        Step("broken", broken, f"{root}/broken", inputs=["silver"]),
+        Step("silver", silver, f"{root}/silver", inputs=["bronze"]),
+        _bronze_step(root, schema),
+    ]
+    try:
+        run_steps(spark, steps, f"{root}/checkpoints", f"{root}/log")
+    except StreamingQueryException:
+        return spark.read.parquet(f"{root}/log")
+    raise AssertionError("the last step was to fail")
+
+
+def stream_json_lines(
+    spark: SparkSession, landing: str, schema: str, files_per_batch: int | None = None
+) -> DataFrame:
     """JSON lines as written by Spark: one record per line, files split across tasks."""
-    return stream_json(spark, landing, schema, "part-*.json", _run_ts(), multi_line=False)
+    return stream_json(
+        spark, landing, schema, "part-*.json", _run_ts(), multi_line=False,
+        files_per_batch=files_per_batch,
+    )
 
 
 def stream_split_table(spark: SparkSession, cars: DataFrame) -> DataFrame:

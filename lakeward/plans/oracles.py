@@ -90,6 +90,17 @@ def _reason(cases: list[tuple[str, str]]) -> str:
     return f"CASE {whens} END"
 
 
+def _counted(names: list[str], cases: list[tuple[str, str]]) -> str:
+    """JSON of the rows that pass and fail each rule, separated by commas."""
+    parts = [
+        f"""'{{"name":"{name}","dataset":"silver","passed_records":' ||
+  count(*) FILTER (NOT coalesce({cond}, false)) || ',"failed_records":' ||
+  count(*) FILTER ({cond}) || '}}'"""
+        for name, (cond, _) in zip(names, cases, strict=True)
+    ]
+    return "concat_ws(',', " + ", ".join(parts) + ")"
+
+
 def _reasons(cases: list[tuple[str, str]]) -> str:
     parts = ", ".join(f"CASE WHEN {cond} THEN '{reason}' END" for cond, reason in cases)
     return f"concat_ws('; ', {parts})"
@@ -107,6 +118,7 @@ CAR_BAD = [
     ("transmission NOT IN ('Manual', 'Automatic')", "invalid transmission"),
     ("seats <= 0", "invalid seats"),
 ]
+CAR_RULES = ["valid_car_id", "valid_km", "valid_fuel", "valid_transmission", "valid_seats"]
 POLICY_BAD = [
     ("policy_number IS NULL", "policy_number is null"),
     ("policy_bind_date IS NULL", "invalid policy_bind_date"),
@@ -648,7 +660,31 @@ FROM ({_domain('Customer Profile', 'kpi_customer')} UNION ALL
   {_domain('Claims Performance', 'kpi_claims')})""",
     # --- streaming ---
     "stream_dedup_watermark": _with("claims_clean")
-    + f"SELECT DISTINCT {_shown(CLAIM, times=CLAIM_TIMES)} FROM claims_clean",
+    + f"""SELECT DISTINCT {_shown(CLAIM, times=CLAIM_TIMES)} FROM claims_clean
+WHERE NOT (incident_date < DATE '1995-06-17' AND number_of_vehicles_involved = 3)""",
+    "stream_fact_claims": _with("fact_claims")
+    + f"""SELECT claim_id, policy_id AS policy_number, customer_id,
+  {_shown(CLAIM_TIMES, times=CLAIM_TIMES)}, incident_state, incident_city, incident_location,
+  incident_type, collision_type, incident_severity, authorities_contacted,
+  number_of_vehicles_involved, property_damage, bodily_injuries, witnesses,
+  police_report_available, injury AS injury_amount, property AS property_amount,
+  vehicle AS vehicle_amount, claim_rejected, claim_processing_days AS processing_days,
+  rejected_flag, total_claim_amount FROM fact_claims""",
+    "stream_claims_references": _with("claims_clean", "policy_valid")
+    + f"""SELECT claim_id, CASE WHEN error_reason IS NULL THEN 'valid' ELSE 'quarantine' END AS route,
+  error_reason
+FROM (SELECT *, {_reason(CLAIM_BAD)} AS error_reason FROM (
+  SELECT *, policy_id IN (SELECT policy_number FROM policy_valid) AND
+    (bodily_injuries <> 0 OR policy_id[2:]::BIGINT % 2 = 0) AS has_policy FROM claims_clean
+))""",
+    "audit_stream_runs": _with("cars_checked")
+    + f"""SELECT 'bronze' AS dataset_name, 'COMPLETED' AS final_status,
+  count(*)::BIGINT AS total_output_rows, 0::BIGINT AS total_dropped_rows, '[]' AS expectations
+FROM cars_clean
+UNION ALL SELECT 'silver', 'COMPLETED', count(*) FILTER (error_reason IS NULL),
+  count(*) FILTER (error_reason IS NOT NULL), '[' || {_counted(CAR_RULES, CAR_BAD)} || ']'
+FROM cars_checked
+UNION ALL SELECT 'broken', 'FAILED', 0, 0, NULL""",
     "stream_valid_quarantine": _with("cars_checked")
     + """SELECT car_id, CASE WHEN error_reason IS NULL THEN 'valid' ELSE 'quarantine' END AS route,
   error_reason FROM cars_checked""",

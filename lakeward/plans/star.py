@@ -82,8 +82,13 @@ def dim_cars(cars: DataFrame, previous: DataFrame | None = None) -> DataFrame:
     return build_dim(cars, "car_id", DIM_CARS, [F.asc(c) for c in DIM_CARS[1:]], previous)
 
 
-def fact_claims(claims: DataFrame, policy: DataFrame) -> DataFrame:
-    """One row per claim, with the customer of its policy and the derived measures."""
+def fact_claims(
+    claims: DataFrame, policy: DataFrame, counted: DataFrame | None = None
+) -> DataFrame:
+    """One row per claim, with the customer of its policy and the derived measures.
+
+    ``counted`` is the stored input where ``claims`` is a stream.
+    """
     latest = [F.desc("policy_bind_date"), F.asc("customer_id")]
     owned = enrich(
         claims.where(F.col("claim_id").isNotNull()),
@@ -92,6 +97,7 @@ def fact_claims(claims: DataFrame, policy: DataFrame) -> DataFrame:
         ["customer_id"],
         lookup_key="policy_number",
         order_by=latest,
+        counted=counted,
     )
     rejected = F.when(F.lower("claim_rejected").isin(REJECTED_VALUES), 1).otherwise(0)
     measures = owned.withColumns(

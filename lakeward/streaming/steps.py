@@ -11,9 +11,10 @@ from __future__ import annotations
 import datetime
 import json
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -70,12 +71,37 @@ def stream_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
 
 
+def unread(spark: SparkSession, path: str, target: str) -> DataFrame | None:
+    """Rows of the table at ``path`` in files newer than any of ``target``.
+
+    About what a step from one to the other is going to read, for counts that steer a plan; a
+    file more or less changes no result.  Files are chosen by their time, without reading them.
+    """
+    table = optional_path(spark, path)
+    done = optional_path(spark, target)
+    if table is None or done is None:
+        return table
+    newest = done.agg(F.max("_metadata.file_modification_time")).first()[0]
+    if newest is None:
+        return table
+    return table.where(F.col("_metadata.file_modification_time") > F.lit(newest))
+
+
 # --- transformations ----------------------------------------------------------------------
 
 
-def split_stream(entity: Entity, raw: DataFrame, refs: dict[str, DataFrame] | None) -> DataFrame:
-    """Every row once, with its route and reason: one evaluation feeds both tables."""
-    routed = route(checked(entity, raw, refs), entity.rules)
+def split_stream(
+    entity: Entity,
+    raw: DataFrame,
+    refs: dict[str, DataFrame] | None,
+    stored: DataFrame | None = None,
+) -> DataFrame:
+    """Every row once, with its route and reason: one evaluation feeds both tables.
+
+    References are tables as they are when the step is built, so a later run finds what has
+    arrived since.  ``stored``: see :func:`unread` and ``entities.checked``.
+    """
+    routed = route(checked(entity, raw, refs, stored), entity.rules)
     carried = [c for c in ("_load_ts",) if c in routed.columns]
     columns = dict.fromkeys([*entity.columns, *entity.quarantine_columns, *carried])
     return routed.select(*columns, "error_reason", "_route")
@@ -115,39 +141,54 @@ def dedup_across_runs(
     return df.withWatermark(load_ts, delay).dropDuplicatesWithinWatermark(list(columns))
 
 
-KEPT_PROGRESS = "spark.sql.streaming.numRecentProgressUpdates"
-WRITTEN = "rows_written"
-
-
 # --- running ------------------------------------------------------------------------------
 
+WRITTEN = "rows_written"
+# Seconds between two looks at the batches that a running step has finished.  Spark keeps the
+# last hundred, far more than a step finishes in that time.
+POLL_SECONDS = 1
+
 
 @dataclass(frozen=True)
 class Step:
-    """``build`` returns the streaming frame to append to ``path``."""
+    """``build`` returns the streaming frame to append to ``path``; ``inputs`` are the names of
+    the steps whose tables it reads.
+    """
 
     name: str
     build: Callable[[SparkSession], DataFrame]
     path: str
     partition_by: list[str] = field(default_factory=list)
+    inputs: list[str] = field(default_factory=list)
 
 
-def run_step(
-    spark: SparkSession, step: Step, checkpoint_root: str, progress: list[dict] | None = None
-) -> list[dict]:
-    """Append everything new to the step's table; returns the progress of its batches.
+def ordered(steps: Sequence[Step]) -> list[Step]:
+    """Every step after its inputs, else in the given order.
 
-    The rows handed to the sink are counted, as the file sink itself reports no number.  The list
-    ``progress`` gets the finished batches also when a later one fails.
+    Names that repeat, inputs that are no step and steps that wait for each other are errors.
     """
+    names = [step.name for step in steps]
+    if len(set(names)) < len(names):
+        raise ValueError(f"steps of one name: {names}")
+    if unknown := {i for step in steps for i in step.inputs}.difference(names):
+        raise ValueError(f"inputs that are no step: {sorted(unknown)}")
+    left, done = list(steps), []
+    while left:
+        ready = next((s for s in left if {d.name for d in done}.issuperset(s.inputs)), None)
+        if ready is None:
+            raise ValueError(f"steps that wait for each other: {[s.name for s in left]}")
+        done.append(ready)
+        left.remove(ready)
+    return done
+
+
+def _started(spark: SparkSession, step: Step, checkpoint_root: str):
     # State lives off the heap, whatever the session's default.
     spark.conf.set(STATE_PROVIDER, ROCKSDB)
-    # Spark forgets progress beyond this number of batches; the log wants all of a run.
-    spark.conf.set(KEPT_PROGRESS, str(2**31 - 1))
-    written = F.count(F.lit(1)).alias("rows")
+    # The file sink itself reports no number of rows.
     writer = (
         step.build(spark)
-        .observe(WRITTEN, written)
+        .observe(WRITTEN, F.count(F.lit(1)).alias("rows"))
         .writeStream.format("parquet")
         .outputMode("append")
         .queryName(step.name)
@@ -157,36 +198,57 @@ def run_step(
     )
     if step.partition_by:
         writer = writer.partitionBy(*step.partition_by)
-    running = writer.start()
-    try:
-        running.awaitTermination()
-    finally:
-        batches = [json.loads(p.json) for p in running.recentProgress]
-        if progress is not None:
-            progress.extend(batches)
-    return batches
+    return writer.start()
+
+
+def finished_batches(
+    spark: SparkSession, step: Step, checkpoint_root: str, poll: float = POLL_SECONDS
+) -> Iterator[list[dict]]:
+    """Run a step; yields the progress of its batches as they finish, some at a time.
+
+    When a batch fails, what finished before it comes first, then the error.
+    """
+    running = _started(spark, step, checkpoint_root)
+    last, error, ended = None, None, False
+    while not ended:
+        try:
+            ended = running.awaitTermination(poll)
+        except StreamingQueryException as failure:
+            error, ended = failure, True
+        recent = [json.loads(p.json) for p in running.recentProgress]
+        fresh = [p for p in recent if last is None or (p["batchId"], p["timestamp"]) > last]
+        if fresh:
+            last = fresh[-1]["batchId"], fresh[-1]["timestamp"]
+            yield fresh
+    if error is not None:
+        raise error
+
+
+def run_step(spark: SparkSession, step: Step, checkpoint_root: str) -> list[dict]:
+    """Append everything new to the step's table; returns the progress of its batches."""
+    return [p for some in finished_batches(spark, step, checkpoint_root) for p in some]
 
 
 def run_steps(
     spark: SparkSession, steps: Sequence[Step], checkpoint_root: str, log_path: str | None = None
 ) -> None:
-    """Run steps in the given order, so each one reads what the ones before it wrote.
+    """Run steps in the order of their inputs, so each one reads what the ones before it wrote.
 
-    A step that fails is logged as FAILED after the batches it had finished, and its error ends
-    the run.
+    The log grows while a step runs: a driver that is lost leaves the batches finished by then.
+    A step that fails is logged as FAILED after them, and its error ends the run.
     """
-    for step in steps:
-        progress = []
+
+    def log(rows: DataFrame) -> None:
+        if log_path:
+            rows.write.mode("append").parquet(log_path)
+
+    for step in ordered(steps):
         try:
-            run_step(spark, step, checkpoint_root, progress)
+            for batches in finished_batches(spark, step, checkpoint_root):
+                log(run_log(spark, step.name, batches))
         except Exception:
-            if log_path:
-                if progress:
-                    run_log(spark, step.name, progress).write.mode("append").parquet(log_path)
-                failed_log(spark, step.name).write.mode("append").parquet(log_path)
+            log(failed_log(spark, step.name))
             raise
-        if log_path and progress:
-            run_log(spark, step.name, progress).write.mode("append").parquet(log_path)
 
 
 # --- run log ------------------------------------------------------------------------------

@@ -7,6 +7,7 @@ results compare across engines.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,7 +32,6 @@ from lakeward.functions import (
 )
 from lakeward.operators import anomaly, audit, generate, retrieval, rules
 from lakeward.operators.dedup import (
-    dedup_against,
     dedup_within,
     first_version_wins,
     upsert,
@@ -50,8 +50,9 @@ from lakeward.plans.exercises import (
     stream_split_table,
 )
 from lakeward.plans.layers import AS_OF, RUN_TS, Layers
-from lakeward.plans.star import dim_cars
+from lakeward.sources import ledger
 from lakeward.sources.files import LOADED, RESCUED, SOURCE, rescued
+from lakeward.sources.tables import shared_folder
 
 MODEL = "offline-template"
 
@@ -236,9 +237,7 @@ def _(layers: Layers) -> DataFrame:
 
 @query("policy_age")
 def _(layers: Layers) -> DataFrame:
-    return ent.with_policy_age(layers.silver("policy"), AS_OF).select(
-        "policy_number", "policy_bind_date", "policy_age_days"
-    )
+    return layers.silver("policy").select("policy_number", "policy_bind_date", "policy_age_days")
 
 
 # --- entities -----------------------------------------------------------------------------
@@ -331,8 +330,11 @@ def _(layers: Layers) -> DataFrame:
 
 @query("dedup_against_existing_nullsafe")
 def _(layers: Layers) -> DataFrame:
-    cars = layers.cleaned("cars").select(*ent.CARS.columns)
-    return dedup_against(cars, layers.silver("cars"), ent.CARS.columns)
+    """Cleaned cars that an earlier load has not stored, by the ledger of its contents."""
+    cars, columns = layers.cleaned("cars").select(*ent.CARS.columns), ent.CARS.columns
+    path = f"{shared_folder(layers.spark)}/contents-{uuid.uuid4().hex}"
+    ledger.enter(layers.silver("cars"), path, columns, load=1)
+    return ledger.unseen(layers.spark, cars, path, columns, load=2)
 
 
 @query("dedup_first_version_wins")
@@ -367,15 +369,21 @@ query("dim_cars")(lambda layers: layers.dim_cars)
 
 @query("dim_cars_two_batches")
 def _(layers: Layers) -> DataFrame:
-    """Cars after a second load that renames every petrol car: the later load's row stays."""
+    """Cars after a second load, run twice, that renames every petrol car: its rows stay."""
 
     def loaded(cars: DataFrame, day: str) -> DataFrame:
-        return cars.withColumn("insert_timestamp", F.lit(day).cast("timestamp_ntz"))
+        return cars.withColumn("insert_timestamp", F.lit(day).cast("timestamp"))
 
+    own = Layers(layers.spark, layers.sf_dir, fresh=True)
     first = layers.silver("cars")
     petrol = first.where(F.lower("fuel") == "petrol")
     second = petrol.withColumn("name", F.concat(F.lit("~"), "name"))
-    return dim_cars(loaded(second, "2024-01-02"), dim_cars(loaded(first, "2024-01-01")))
+    own.load_dimension("cars", loaded(first, "2024-01-01"), 1)
+    for _ in range(2):
+        found = own.load_dimension("cars", loaded(second, "2024-01-02"), 2)
+    return found
+
+
 query("fact_claims")(lambda layers: layers.fact_claims)
 query("fact_sales")(lambda layers: layers.fact_sales)
 

@@ -35,7 +35,20 @@ from lakeward.functions import (
 from lakeward.functions.times import as_of_date
 from lakeward.operators.dedup import dedup_against, dedup_within, first_version_wins
 from lakeward.operators.keys import flag_orphans
-from lakeward.operators.rules import Rule, differs, divert, in_domain, keep, matches, not_null, parses
+from lakeward.operators.rules import (
+    QUARANTINE,
+    VALID,
+    Rule,
+    all_reasons,
+    differs,
+    divert,
+    in_domain,
+    keep,
+    matches,
+    not_null,
+    parses,
+    route,
+)
 
 # Domains of the input.
 FUELS = ["Petrol", "Diesel", "Cng", "Lpg"]
@@ -393,6 +406,23 @@ def valid(
     return dedup_against(unique, existing, entity.columns)
 
 
+def routed(
+    entity: Entity, raw: DataFrame, refs: dict[str, DataFrame] | None = None
+) -> DataFrame:
+    """Every row once, with ``_route``, its first reason and all of them: for one stored pass."""
+    rows = route(checked(entity, raw, refs), entity.rules)
+    drops = [rule for rule in entity.rules if rule.action == "drop"]
+    reasons = F.when(F.col("_route") == QUARANTINE, all_reasons(drops))
+    columns = dict.fromkeys([*entity.columns, *entity.quarantine_columns])
+    return rows.select(*columns, "error_reason", reasons.alias("error_reasons"), "_route")
+
+
+def unique(entity: Entity, routed_rows: DataFrame) -> DataFrame:
+    """The valid rows of a routed table, one per set of business columns."""
+    kept = routed_rows.where(F.col("_route") == VALID).select(*entity.columns)
+    return dedup_within(kept, entity.dedup_columns, entity.key)
+
+
 def quarantined(
     entity: Entity, raw: DataFrame, refs: dict[str, DataFrame] | None = None
 ) -> DataFrame:

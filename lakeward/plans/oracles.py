@@ -391,6 +391,7 @@ _RENAMED = "CASE WHEN lower(fuel) = 'petrol' THEN '~' || name ELSE name END AS n
 _POLICY_OUT = _shown(POLICY, days=["policy_bind_date"])
 _SALE_OUT = _shown(SALE, times=["ad_placed_on", "sold_on"])
 _CLAIM_OUT = _shown(CLAIM_ALL, times=CLAIM_TIMES)
+_STAMP = f"'{RUN_TS}' AS insert_timestamp"
 _REPORT = """claim_id, property, incident_severity, incident_type, round(score, 6) AS anomaly_score,
   tier AS priority_tier, rules AS triggered_rules"""
 _RUN_KEYS = "pipeline_id, pipeline_name, update_id, dataset_name"
@@ -470,22 +471,25 @@ FROM claims_clean GROUP BY ALL""",
   date_diff('day', policy_bind_date, DATE '{AS_OF}')::INTEGER AS policy_age_days FROM policy_valid""",
     # --- entities ---
     "cars_cleaned": _with("cars_clean") + f"SELECT {_CAR_OUT} FROM cars_clean",
-    "cars_valid": _with("cars_valid") + f"SELECT {_CAR_OUT} FROM cars_valid",
+    "cars_valid": _with("cars_valid") + f"SELECT {_CAR_OUT}, {_STAMP} FROM cars_valid",
     "cars_quarantine": _with("cars_checked")
     + f"""SELECT car_id, name, km_driven, fuel, transmission, seats, error_reason,
-  {_reasons(CAR_BAD)} AS error_reasons FROM cars_checked WHERE error_reason IS NOT NULL""",
+  {_reasons(CAR_BAD)} AS error_reasons, {_STAMP} FROM cars_checked WHERE error_reason IS NOT NULL""",
     "customers_cleaned": _with("customers_clean") + f"SELECT {_CUSTOMER_OUT} FROM customers_clean",
-    "customers_valid": _with("customers_valid") + f"SELECT {_CUSTOMER_OUT} FROM customers_valid",
+    "customers_valid": _with("customers_valid")
+    + f"SELECT {_CUSTOMER_OUT}, {_STAMP} FROM customers_valid",
     "customers_quarantine": _with("customers_checked")
     + f"""SELECT CustomerID, Balance, State, City, Marital, Education, error_reason,
-  {_reasons(CUSTOMER_BAD)} AS error_reasons FROM customers_checked WHERE error_reason IS NOT NULL""",
+  {_reasons(CUSTOMER_BAD)} AS error_reasons, {_STAMP} FROM customers_checked WHERE error_reason IS NOT NULL""",
     "policy_cleaned": _with("policy_clean") + f"SELECT {_POLICY_OUT} FROM policy_clean",
-    "policy_valid": _with("policy_valid") + f"SELECT {_POLICY_OUT} FROM policy_valid",
+    "policy_valid": _with("policy_valid")
+    + f"""SELECT {_POLICY_OUT}, {_STAMP}, date_diff('day', policy_bind_date, DATE '{AS_OF}')::INTEGER
+  AS policy_age_days FROM policy_valid""",
     "policy_quarantine": _with("policy_checked")
-    + f"""SELECT {_POLICY_OUT}, error_reason, {_reasons(POLICY_BAD)} AS error_reasons
+    + f"""SELECT {_POLICY_OUT}, error_reason, {_reasons(POLICY_BAD)} AS error_reasons, {_STAMP}
 FROM policy_checked WHERE error_reason IS NOT NULL""",
     "sales_cleaned": _with("sales_clean") + f"SELECT {_SALE_OUT} FROM sales_clean",
-    "sales_valid": _with("sales_valid") + f"SELECT {_SALE_OUT} FROM sales_valid",
+    "sales_valid": _with("sales_valid") + f"SELECT {_SALE_OUT}, {_STAMP} FROM sales_valid",
     "sales_quarantine": _with("sales_checked")
     + f"""SELECT sales_id, original_selling_price, car_id,
   CASE WHEN l_suppkey % 31 = 3 THEN strftime(o_orderdate, '%Y/%m/%d')
@@ -493,13 +497,13 @@ FROM policy_checked WHERE error_reason IS NOT NULL""",
   CASE WHEN l_linestatus = 'O' THEN CASE WHEN l_linenumber % 2 = 0 THEN '' END
     WHEN l_suppkey % 37 = 4 THEN 'soon'
     ELSE strftime(l_shipdate, '%d-%m-%Y %H:%M') END AS _raw_sold_on,
-  error_reason, {_reasons(SALE_BAD)} AS error_reasons
+  error_reason, {_reasons(SALE_BAD)} AS error_reasons, {_STAMP}
 FROM sales_checked WHERE error_reason IS NOT NULL""",
     "claims_cleaned": _with("claims_clean") + f"SELECT {_CLAIM_OUT} FROM claims_clean",
-    "claims_valid": _with("claims_valid") + f"SELECT {_CLAIM_OUT} FROM claims_valid",
+    "claims_valid": _with("claims_valid") + f"SELECT {_CLAIM_OUT}, {_STAMP} FROM claims_valid",
     "claims_quarantine": _with("claims_checked")
     + f"""SELECT claim_id, policy_id, injury, property, vehicle, bodily_injuries, witnesses,
-  claim_rejected, error_reason, {_reasons(CLAIM_BAD)} AS error_reasons
+  claim_rejected, error_reason, {_reasons(CLAIM_BAD)} AS error_reasons, {_STAMP}
 FROM claims_checked WHERE error_reason IS NOT NULL""",
     # --- rules ---
     "rule_counts": _with("claims_checked")
@@ -549,9 +553,10 @@ WHERE NOT EXISTS (SELECT 1 FROM customers_valid c WHERE c.CustomerID = p.custome
     FROM customer UNION ALL SELECT o_custkey, o_orderdate, o_totalprice FROM orders
   )
 ) WHERE rn = 1""",
-    "dim_customers": _with("customers_valid") + f"SELECT {_CUSTOMER_OUT} FROM customers_valid",
-    "dim_policy": _with("policy_valid") + f"SELECT {_POLICY_OUT} FROM policy_valid",
-    "dim_cars": _with("cars_valid") + f"SELECT {_CAR_OUT} FROM cars_valid",
+    "dim_customers": _with("customers_valid")
+    + f"SELECT {_CUSTOMER_OUT}, {_STAMP} FROM customers_valid",
+    "dim_policy": _with("policy_valid") + f"SELECT {_POLICY_OUT}, {_STAMP} FROM policy_valid",
+    "dim_cars": _with("cars_valid") + f"SELECT {_CAR_OUT}, {_STAMP} FROM cars_valid",
     "dim_cars_two_batches": _with("cars_valid")
     + f"""SELECT {', '.join(_RENAMED if c == 'name' else c for c in CAR)},
   {_ts("CASE WHEN lower(fuel) = 'petrol' THEN TIMESTAMP '2024-01-02' ELSE TIMESTAMP '2024-01-01' END")}
@@ -564,9 +569,9 @@ FROM cars_valid""",
   number_of_vehicles_involved, property_damage, bodily_injuries, witnesses,
   police_report_available, injury AS injury_amount, property AS property_amount,
   vehicle AS vehicle_amount, claim_rejected, claim_processing_days AS processing_days,
-  rejected_flag, total_claim_amount FROM fact_claims""",
+  rejected_flag, total_claim_amount, {_STAMP} FROM fact_claims""",
     "fact_sales": _with("fact_sales")
-    + f"SELECT {_SALE_OUT}, customer_id, unsold_flag, days_listed FROM fact_sales",
+    + f"SELECT {_SALE_OUT}, customer_id, unsold_flag, days_listed, {_STAMP} FROM fact_sales",
     "claim_rejection_rate_by_region_policy": _with("fact_claims", "customers_valid")
     + """SELECT State AS customer_region, policy_csl AS policy_type, count(*) AS total_claims,
   sum(rejected_flag)::BIGINT AS rejected_claims,

@@ -82,12 +82,17 @@ def dim_cars(cars: DataFrame, previous: DataFrame | None = None) -> DataFrame:
     return build_dim(cars, "car_id", DIM_CARS, [F.asc(c) for c in DIM_CARS[1:]], previous)
 
 
+def _loaded(df: DataFrame) -> list[str]:
+    return [LOADED] if LOADED in df.columns else []
+
+
 def fact_claims(
     claims: DataFrame, policy: DataFrame, counted: DataFrame | None = None
 ) -> DataFrame:
     """One row per claim, with the customer of its policy and the derived measures.
 
-    ``counted`` is the stored input where ``claims`` is a stream.
+    ``counted`` is the stored input where ``claims`` is a stream.  A fact carries the
+    ``insert_timestamp`` of its claim, if there is one.
     """
     latest = [F.desc("policy_bind_date"), F.asc("customer_id")]
     owned = enrich(
@@ -107,7 +112,7 @@ def fact_claims(
             "total_claim_amount": null_safe_sum(F.col("injury"), F.col("property"), F.col("vehicle")),
         }
     )
-    return measures.withColumnsRenamed(CLAIM_RENAMES).select(*FACT_CLAIMS)
+    return measures.withColumnsRenamed(CLAIM_RENAMES).select(*FACT_CLAIMS, *_loaded(claims))
 
 
 def fact_sales(sales: DataFrame, policy: DataFrame, as_of: str) -> DataFrame:
@@ -128,4 +133,4 @@ def fact_sales(sales: DataFrame, policy: DataFrame, as_of: str) -> DataFrame:
             "unsold_flag": F.when(F.col("sold_on").isNull(), 1).otherwise(0),
             "days_listed": days_between(end, F.col("ad_placed_on")),
         }
-    ).select(*FACT_SALES)
+    ).select(*FACT_SALES, *_loaded(sales))

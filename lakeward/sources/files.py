@@ -21,13 +21,12 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeward.sources.tables import optional_path
+from lakeward.sources.tables import LOAD, optional_path, write_load
 
 RESCUED = "_rescued_data"
 SOURCE = "_source_file"
 LOADED = "_load_ts"
 FILES_PER_LOAD = 10_000
-LOAD = "_load_id"
 LEDGER = "_ledger"
 # A file of more bytes is not read whole for its header, but some lines at a time.
 PROBE_BYTES = 1 << 19
@@ -80,11 +79,6 @@ def _next_load(ledger: DataFrame | None) -> int:
     return 1 if last is None else last + 1
 
 
-def _write_load(rows: DataFrame, path: str, load: int) -> None:
-    """The partition of one load; written again, it replaces itself."""
-    rows.write.mode("overwrite").parquet(f"{path}/{LOAD}={load}")
-
-
 def _literal(path: str) -> str:
     """A path that Spark's readers take as it is, not as a pattern."""
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
@@ -319,12 +313,12 @@ def _ingest(
     for rows in _loads(new_files(files, ledger), files_per_load):
         found = read(rows)
         if found is not None:
-            _write_load(found, bronze_path, load)
+            write_load(found, bronze_path, load)
         entries = spark.createDataFrame(
             [(r[SOURCE], r["modificationTime"]) for r in rows],
             f"{SOURCE} string, modificationTime timestamp",
         )
-        _write_load(entries.withColumn(LOADED, run_ts), ledger_path, load)
+        write_load(entries.withColumn(LOADED, run_ts), ledger_path, load)
         load, loaded = load + 1, loaded + len(rows)
     return loaded
 

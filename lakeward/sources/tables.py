@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -44,6 +45,18 @@ def query(spark: SparkSession, sql: str, **views: DataFrame) -> DataFrame:
     return spark.sql(sql, **views)
 
 
+# The partition column of tables that are written load by load.
+LOAD = "_load_id"
+
+
+def write_load(rows: DataFrame, path: str, load: int, partition_by: Sequence[str] = ()) -> None:
+    """The partition of one load; written again, it replaces itself."""
+    writer = rows.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(f"{path}/{LOAD}={load}")
+
+
 def append_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """Write one batch as partition ``_batch_id``; writing it again replaces it."""
     (

@@ -98,18 +98,18 @@ def test_a_load_that_failed_before_its_ledger_is_written_anew(spark, tmp_path, m
     for n in range(3):
         write(landing / f"cars{n}.csv", f"car_id\n{n}\n")
     loads = lambda: files.ingest_csv(spark, str(landing), GLOB, bronze, ts(), files_per_load=2)
-    real = files._write_load
+    real = files.write_load
 
     def failing(rows, path, load):
         if load == 2 and path.endswith(files.LEDGER):
             raise OSError("lost")
         real(rows, path, load)
 
-    monkeypatch.setattr(files, "_write_load", failing)
+    monkeypatch.setattr(files, "write_load", failing)
     with pytest.raises(OSError):
         loads()
     assert files.read_bronze(spark, bronze).count() == 3
-    monkeypatch.setattr(files, "_write_load", real)
+    monkeypatch.setattr(files, "write_load", real)
     write(landing / "cars3.csv", "car_id,name\n3,new\n")
     assert loads() == 2 and loads() == 0
     assert sorted(r["car_id"] for r in files.read_bronze(spark, bronze).collect()) == list("0123")

@@ -13,16 +13,27 @@ from lakeward.llm.scratch import stored
 from lakeward.sources.tables import shared_folder
 
 
-def _boxed(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, _row): other columns, whatever their names, travel inside ``_row``."""
-    return docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _boxed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """(doc_id, text, box), and the name of the box, which no column has: all columns, whatever
+    their names, travel inside it.
+    """
+    box = "_row"
+    while box in docs.columns:
+        box += "_"
+    row = F.struct(*[F.col(_quoted(c)) for c in docs.columns])
+    return docs.select("doc_id", "text", row.alias(box)), box
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts; it learns from the labels of ``sf_dir``."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = quality.classify(_boxed(docs), labels)
-    return scored.where(F.col("_score") >= quality.THRESHOLD).select("_row.*")
+    boxed, box = _boxed(docs)
+    scored = quality.classify(boxed, labels)
+    return scored.where(F.col("_score") >= quality.THRESHOLD).select(f"{box}.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,13 +51,14 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         .distinct(),
         "kept",
     )
-    rows = _boxed(docs).withColumn("_sha256", F.sha2("text", 256)).join(
+    boxed, box = _boxed(docs)
+    rows = boxed.withColumn("_sha256", F.sha2("text", 256)).join(
         kept,
         F.col("doc_id").eqNullSafe(F.col("_kept_id"))
         & F.col("_sha256").eqNullSafe(F.col("_kept_sha256")),
         "left_semi",
     )
-    return rows.dropDuplicates(["doc_id", "_sha256"]).select("_row.*")
+    return rows.dropDuplicates(["doc_id", "_sha256"]).select(f"{box}.*")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,19 +66,21 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     A document that loses nothing keeps its text as it is; one that loses all its words goes.
     """
-    cut = substring.remove_repeats(_boxed(docs), ("_row",))
-    text = F.when(F.col("_removed") > 0, F.col("_kept")).otherwise(F.col("_row.text"))
+    boxed, box = _boxed(docs)
+    cut = substring.remove_repeats(boxed, (box,))
+    text = F.when(F.col("_removed") > 0, F.col("_kept")).otherwise(F.col(f"{box}.text"))
     rows = cut.where((F.col("_removed") == 0) | (F.col("_removed") < F.col("_words")))
-    return rows.select(*_with_text(docs, text, F.col("_removed") > 0))
+    return rows.select(*_with_text(docs, box, text, F.col("_removed") > 0))
 
 
 def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with every secret replaced by a mark; all documents stay."""
-    found = secret_scan.find_secrets(_boxed(docs), ("_row",))
-    text = secret_scan.redacted(F.coalesce("_row.text", F.lit("")), F.col("_spans"))
+    boxed, box = _boxed(docs)
+    found = secret_scan.find_secrets(boxed, (box,))
+    text = secret_scan.redacted(F.coalesce(f"{box}.text", F.lit("")), F.col("_spans"))
     changed = F.size("_spans") > 0
-    text = F.when(changed, text).otherwise(F.col("_row.text"))
-    return found.select(*_with_text(docs, text, changed))
+    text = F.when(changed, text).otherwise(F.col(f"{box}.text"))
+    return found.select(*_with_text(docs, box, text, changed))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -75,13 +89,13 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
-def _with_text(docs: DataFrame, text, changed) -> list:
+def _with_text(docs: DataFrame, box: str, text, changed) -> list:
     """The columns of ``docs`` with a new text and the length that goes with it."""
     new = {"text": text}
     if "n_chars" in docs.columns:
         length = F.length(text).cast(docs.schema["n_chars"].dataType)
-        new["n_chars"] = F.when(changed, length).otherwise(F.col("_row.n_chars"))
-    return [new.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns]
+        new["n_chars"] = F.when(changed, length).otherwise(F.col(f"{box}.n_chars"))
+    return [new.get(c, F.col(f"{box}.{_quoted(c)}")).alias(c) for c in docs.columns]
 
 
 STAGES = [

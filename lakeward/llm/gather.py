@@ -10,6 +10,7 @@ import pyarrow as pa
 CACHE_BYTES = 48 << 20
 # What a Python dictionary entry, its key and its value take besides their own bytes.
 _ENTRY = 200
+LONGEST = 64
 
 
 class Layout:
@@ -63,7 +64,7 @@ class Encoder:
     """Pieces to 32-bit ids; ``encode`` takes distinct pieces and returns their packed ids.
 
     Pieces met before are remembered up to ``limit`` bytes, counted with what Python adds to
-    them, in two generations; a piece of more than 64 bytes is not remembered.
+    them, in two generations; a piece of more than ``LONGEST`` bytes is not remembered.
     """
 
     def __init__(self, encode: Callable[[list[bytes]], Sequence[bytes]], limit: int = CACHE_BYTES):
@@ -73,28 +74,23 @@ class Encoder:
         self.held = 0
 
     def _values(self, pieces: list[bytes]) -> list[bytes]:
-        young, old = self.young, self.old
-        values = [young.get(p) for p in pieces]
-        missed = []
-        for i, value in enumerate(values):
-            if value is None:
-                values[i] = value = old.get(pieces[i])
-                if value is None:
-                    missed.append(i)
-                else:
-                    self._keep(pieces[i], value)
-        found = self.encode([pieces[i] for i in missed]) if missed else ()
-        for i, value in zip(missed, found, strict=True):
+        values = list(map(self.young.get, pieces))
+        absent = [i for i, value in enumerate(values) if value is None]
+        keys = [pieces[i] for i in absent]
+        older = list(map(self.old.get, keys))
+        missed = [key for key, value in zip(keys, older, strict=True) if value is None]
+        fresh = iter(self.encode(missed) if missed else ())
+        found = [next(fresh) if value is None else value for value in older]
+        for i, value in zip(absent, found, strict=True):
             values[i] = value
-            if len(pieces[i]) <= 64:
-                self._keep(pieces[i], value)
-        if self.held > self.limit:
-            self.young, self.old, self.held = {}, self.young, 0
+        self._keep([(k, v) for k, v in zip(keys, found, strict=True) if len(k) <= LONGEST])
         return values
 
-    def _keep(self, piece: bytes, value: bytes) -> None:
-        self.young[piece] = value
-        self.held += len(piece) + len(value) + _ENTRY
+    def _keep(self, entries: list[tuple[bytes, bytes]]) -> None:
+        self.young.update(entries)
+        self.held += _ENTRY * len(entries) + sum(len(k) + len(v) for k, v in entries)
+        if self.held > self.limit:
+            self.young, self.old, self.held = {}, self.young, 0
 
     def ids(self, pieces: pa.Array, per_text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and the number of ids of each text."""

@@ -23,6 +23,8 @@ from lakeward.llm.text import Words, as_bytes, blocks, mix, runs
 GROWTH = 8
 # Shingles permuted at a time: a work space that stays in the processor's cache.
 CHUNK = 1024
+# Bytes of text whose words are laid out together; the work space is about fifty times that.
+BLOCK = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -41,7 +43,7 @@ class Settings:
 
 def _sets(texts: list[bytes], width: int) -> Iterator[np.ndarray]:
     """Sorted distinct shingle hashes of every text; A-Z count as a-z."""
-    for start, end in blocks(texts):
+    for start, end in blocks(texts, BLOCK):
         words = Words([t.lower() for t in texts[start:end]])
         hashes, bounds = words.hashes(), words.bounds.tolist()
         full = runs(hashes, width)

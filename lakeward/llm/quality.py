@@ -21,6 +21,8 @@ from lakeward.llm.scratch import prepare
 from lakeward.llm.text import Words, as_bytes, blocks
 
 THRESHOLD = 0.3
+# Bytes of text taken apart together; the work space is about fifty times that.
+BLOCK = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -75,7 +77,7 @@ def counted(settings: Settings):
         for batch in batches:
             texts = as_bytes(batch.column("text"))
             buckets, counts = [], []
-            for start, end in blocks(texts):
+            for start, end in blocks(texts, BLOCK):
                 found = _features(texts[start:end], settings)
                 for i in range(end - start):
                     ids = np.concatenate([b[at[i] : at[i + 1]] for b, at in found])
@@ -100,14 +102,11 @@ def descend(samples: list[tuple[int, np.ndarray, np.ndarray]], settings: Setting
     size = 1 << settings.bits
     vectors = rng.uniform(-1, 1, (size + 1, settings.width)) / settings.width
     output = np.zeros((settings.width, 2))
-    samples = [
-        (label, np.append(ids, size), np.append(n, 1.0) / (n.sum() + 1.0))
-        for label, ids, n in samples
-    ]
     total, step = settings.epochs * len(samples), 0
     for _ in range(settings.epochs):
         for i in rng.permutation(len(samples)):
-            label, ids, share = samples[i]
+            label, ids, n = samples[i]
+            ids, share = np.append(ids, size), np.append(n, 1.0) / (n.sum() + 1.0)
             hidden = share @ vectors[ids]
             logits = hidden @ output
             odds = np.exp(logits - logits.max())
@@ -178,7 +177,7 @@ def trained(settings: Settings):
 
 def scores(texts: list[bytes], weights: np.ndarray, common: float, settings: Settings):
     out = []
-    for start, end in blocks(texts):
+    for start, end in blocks(texts, BLOCK):
         value, number = np.full(end - start, common), np.ones(end - start)
         for bucket, bounds in _features(texts[start:end], settings):
             value += _sums(weights[bucket], bounds)
@@ -192,16 +191,21 @@ def classify(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
     """All columns of ``docs`` and ``_score``: probability of label 1 from the whole text alone.
 
     A null text counts as empty and is scored by the common feature.  Rows keep their number
-    and order; other columns pass through unread, so none may be called ``_score``.
+    and order; other columns pass through unread, but a column ``_score`` is replaced.
     """
     prepare(docs.sparkSession)
+    docs = docs.drop("_score")
     weights, common = fit(docs, labels, settings)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             score = scores(as_bytes(batch.column("text")), weights, common, settings)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(score, pa.float64())], [*batch.schema.names, "_score"]
+                [batch.column("_row"), pa.array(score, pa.float64())], ["_row", "_score"]
             )
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields]).add("_score", "double"))
+    # Names with dots or quotes mean something to Spark: columns travel inside one.
+    names = ["`" + c.replace("`", "``") + "`" for c in docs.columns]
+    boxed = docs.select("text", F.struct(*[F.col(c) for c in names]).alias("_row"))
+    schema = T.StructType([boxed.schema["_row"]]).add("_score", "double")
+    return boxed.mapInArrow(run, schema).select("_row.*", "_score")

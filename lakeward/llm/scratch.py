@@ -12,7 +12,7 @@ from lakeward.session import tune
 from lakeward.sources.tables import shared_folder
 
 # Bytes of one batch handed to a Python worker; rows are cut by bytes, not only by number.
-BATCH_BYTES = "16m"
+BATCH_BYTES = "8m"
 
 
 def prepare(spark: SparkSession) -> SparkSession:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from functools import reduce
+import math
+from collections.abc import Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -32,6 +34,8 @@ POLICY_LABELS = [
 
 SCORE_DIGITS = 9
 MAX_QUESTION_BYTES = 64 * 1024 * 1024
+# Scores held at a time by a task.
+TILE = 1 << 21
 
 
 def labelled_text(labels: list[tuple[str, str]] = POLICY_LABELS) -> Column:
@@ -107,46 +111,53 @@ def top_k(
     vector: str = "embedding",
     carry: Sequence[str] = (),
     max_question_bytes: int = MAX_QUESTION_BYTES,
+    shards: int | None = None,
 ) -> DataFrame:
     """(question_id, item_id, score, rank, carry...): the ``k`` most similar items, exactly.
 
-    Cosine similarity, ties broken by item id.  The corpus is never moved: each
-    task multiplies its blocks with the question matrix and hands on only its best
-    ``k`` per question.  The question matrix is broadcast in blocks of at most
-    ``max_question_bytes``; more questions take more passes over the corpus, so the
-    result is whole for any number of them.  Zero vectors score 0.  Columns named in
-    ``carry`` come along, which saves joining the result back to the corpus.
+    Cosine similarity to nine digits, ties broken by item id.  Questions are dealt to blocks of
+    about ``max_question_bytes`` and the corpus to ``shards`` (default: the session's shuffle
+    partitions); every pair of a block and a shard is a cell, and a task multiplies one cell at
+    a time, in tiles.  So the memory of a task is bounded for any number of questions; the number
+    of blocks is found while the query runs, from the questions alone.  Cells keep ``k`` items
+    per question, and their lists are merged in two steps.  Zero vectors score 0.  Columns named
+    in ``carry`` come along, which saves joining the result back to the corpus.
     """
     spark = corpus.sparkSession
-    unit = questions.select(
-        F.col(question_id).alias("_qid"), F.col(vector).cast("array<double>").alias("_qv")
+    shards = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    asked = questions.select(
+        F.col(question_id).alias("question_id"), F.col(vector).cast("array<double>").alias("_v")
+    )
+    size = F.count("*") * F.max(F.size("_v")) * 8
+    blocks = asked.agg(F.greatest(F.lit(1), F.ceil(size / max_question_bytes)).cast("int")).scalar()
+    blocks = F.coalesce(blocks, F.lit(1))
+    asked = asked.select(
+        "*",
+        F.pmod(F.xxhash64("question_id"), blocks).cast("int").alias("_block"),
+        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("_shard"),
+    )
+    items = corpus.select(
+        F.col(item_id).alias("item_id"),
+        F.col(vector).cast("array<float>").alias("_v"),
+        *carry,
+        F.pmod(F.xxhash64(item_id), F.lit(shards)).cast("int").alias("_shard"),
+        F.explode(F.sequence(F.lit(0), blocks - 1)).alias("_block"),
     )
-    size = unit.agg(F.count(F.lit(1)), F.max(F.size("_qv"))).first()
-    n_questions, width = size[0], size[1] or 1
-    blocks = -(-n_questions * width * 8 * 2 // max_question_bytes)
-    blocks = max(1, min(blocks, n_questions))
-    qid_type = unit.schema["_qid"].dataType
-    item_type = corpus.schema[item_id].dataType
     schema = ", ".join(
         [
-            f"question_id {qid_type.simpleString()}",
-            f"item_id {item_type.simpleString()}",
-            "score double",
+            f"question_id {asked.schema['question_id'].dataType.simpleString()}",
+            f"item_id {items.schema['item_id'].dataType.simpleString()}",
+            "score double, _shard int",
             *[f"`{c}` {corpus.schema[c].dataType.simpleString()}" for c in carry],
         ]
     )
-    slim = corpus.select(F.col(item_id).alias("item_id"), F.col(vector).alias("_v"), *carry)
-    found = []
-    for block in range(blocks):
-        # Blocks are picked by hash, so each holds about half of the byte limit.
-        part = unit.where(F.pmod(F.xxhash64("_qid"), F.lit(blocks)) == block)
-        table = part.toArrow()
-        matrix = spark.sparkContext.broadcast(table)
-        task = _best_per_task(matrix, k, SCORE_DIGITS, list(carry))
-        found.append(slim.mapInArrow(task, schema))
-    candidates = reduce(DataFrame.union, found)
+    cells = asked.groupBy("_block", "_shard").cogroup(items.groupBy("_block", "_shard"))
+    lists = cells.applyInArrow(_best_in_cell(k, SCORE_DIGITS, list(carry)), schema)
     order = [F.desc("score"), F.asc("item_id")]
-    best = top_n_per_group(candidates, "question_id", order, k)
+    # Lists of neighbouring shards first: no task sees the lists of all shards at once.
+    near = F.floor(F.col("_shard") / max(1, math.isqrt(shards)))
+    merged = top_n_per_group(lists, ["question_id", near], order, k).drop("_rank")
+    best = top_n_per_group(merged, "question_id", order, k)
     return best.select(
         F.col("question_id").alias(question_id),
         F.col("item_id").alias(item_id),
@@ -156,66 +167,54 @@ def top_k(
     )
 
 
-def _best_per_task(matrix, k: int, digits: int, carry: list[str]):
-    """Task function: running best ``k`` per question over the blocks of one partition."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-        import pyarrow as arrow
-        import pyarrow.compute as pc
-
-        def rows_to_unit(column):
-            lengths = pc.list_value_length(column)
-            width = pc.max(lengths).as_py() or 0
-            if pc.min(lengths).as_py() != width or column.null_count:
-                raise ValueError("vectors must be present and of equal length")
-            flat = column.flatten().to_numpy(zero_copy_only=False).astype("float64")
-            rows = flat.reshape(len(column), width)
-            norms = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
-            return np.divide(rows, norms, out=np.zeros_like(rows), where=norms > 0)
-
-        table = matrix.value
-        if table.num_rows == 0:
-            return
-        ids = table.column("_qid").combine_chunks()
-        asked = rows_to_unit(table.column("_qv").combine_chunks())
-        kept = None
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
+def _unit_rows(column: pa.ChunkedArray) -> np.ndarray:
+    column = column.combine_chunks()
+    lengths = pc.list_value_length(column)
+    width = pc.max(lengths).as_py() or 0
+    if pc.min(lengths).as_py() != width or column.null_count:
+        raise ValueError("vectors must be present and of equal length")
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype("float64")
+    rows = flat.reshape(len(column), width)
+    norms = np.sqrt((rows * rows).sum(axis=1, keepdims=True))
+    return np.divide(rows, norms, out=np.zeros_like(rows), where=norms > 0)
+
+
+def _best_in_cell(k: int, digits: int, carry: list[str]):
+    """Group function: the best ``k`` items per question of one cell, tile by tile."""
+
+    def best(asked: pa.Table, items: pa.Table) -> pa.Table:
+        held = items.drop_columns(["_v", "_block"])
+        if not asked.num_rows or not items.num_rows:
+            none = asked.slice(0, 0).select(["question_id"])
+            held = held.slice(0, 0).append_column("score", pa.array([], pa.float64()))
+            for name in ["item_id", "score", "_shard", *carry]:
+                none = none.append_column(name, held.column(name))
+            return none
+        rows = _unit_rows(asked.column("_v"))
+        at, scored, owner = (np.zeros(0, t) for t in (np.int64, np.float64, np.int64))
+        # Ids in order tell ties apart by place.
+        items = items.sort_by("item_id")
+        held = items.drop_columns(["_v", "_block"])
+        step = max(1, TILE // len(rows))
+        for start in range(0, items.num_rows, step):
+            tile = _unit_rows(items.column("_v").slice(start, step))
             # + 0.0 turns a rounded -0.0 into 0.0, so equal scores tie as equal.
-            scores = np.round(asked @ rows_to_unit(batch.column("_v")).T, digits) + 0.0
-            n_items = batch.num_rows
-            take = min(k, n_items)
+            scores = np.round(rows @ tile.T, digits) + 0.0
+            take = min(k, len(tile))
             # Keep everything that ties with the k-th score: the id decides later.
             limit = -np.partition(-scores, take - 1, axis=1)[:, take - 1 : take]
             q, i = np.nonzero(scores >= limit)
-            found = arrow.table(
-                {
-                    "q": arrow.array(q),
-                    "item": batch.column("item_id").take(arrow.array(i)),
-                    "score": arrow.array(scores[q, i]),
-                    **{f"c_{c}": batch.column(c).take(arrow.array(i)) for c in carry},
-                }
-            )
-            kept = found if kept is None else arrow.concat_tables([kept, found])
-            kept = kept.sort_by([("q", "ascending"), ("score", "descending"), ("item", "ascending")])
-            owner = kept.column("q").to_numpy()
+            at, owner = np.append(at, i + start), np.append(owner, q)
+            scored = np.append(scored, scores[q, i])
+            turn = np.lexsort((at, -scored, owner))
+            at, scored, owner = at[turn], scored[turn], owner[turn]
             place = np.arange(len(owner)) - np.searchsorted(owner, owner, side="left")
-            kept = kept.filter(arrow.array(place < k))
-        if kept is None:
-            return
-        out = arrow.table(
-            {
-                "question_id": ids.take(kept.column("q").combine_chunks()),
-                "item_id": kept.column("item").combine_chunks(),
-                "score": kept.column("score").combine_chunks(),
-                **{c: kept.column(f"c_{c}").combine_chunks() for c in carry},
-            }
-        )
-        yield from out.to_batches()
-
-    return run
+            at, scored, owner = at[place < k], scored[place < k], owner[place < k]
+        found = held.take(pa.array(at)).append_column("score", pa.array(scored))
+        found = found.append_column("question_id", asked.column("question_id").take(pa.array(owner)))
+        return found.select(["question_id", "item_id", "score", "_shard", *carry])
+
+    return best
 
 
 def retrieval_context(ranked: DataFrame, owner: str) -> DataFrame:

@@ -80,6 +80,27 @@ def test_topk_edges(spark):
     assert retrieval.top_k(asked.where("false"), corpus, 4).count() == 0
 
 
+def test_planning_a_topk_runs_nothing(spark):
+    corpus = vectors(spark, [(i, [1.0, float(i)]) for i in range(5)], "chunk_id")
+    failing = corpus.where(F.raise_error(F.lit("ran")).cast("string").isNull())
+    asked = failing.withColumnRenamed("chunk_id", "question_id")
+    assert retrieval.top_k(asked, failing, 2).columns == ["question_id", "chunk_id", "score", "rank"]
+
+
+def test_many_questions_go_through_in_blocks(spark):
+    rng = np.random.default_rng(1)
+    table = rng.integers(-9, 10, (20_000, 4)).astype(float)
+    asked = vectors(spark, [(i, v.tolist()) for i, v in enumerate(table)], "question_id")
+    corpus = [(i, v.tolist()) for i, v in enumerate(rng.integers(-9, 10, (60, 4)).astype(float))]
+    found = retrieval.top_k(
+        asked, vectors(spark, corpus, "chunk_id"), 2, max_question_bytes=200_000, shards=3
+    )
+    rows = sorted((r["question_id"], r["chunk_id"], r["rank"]) for r in found.collect())
+    some = [(i, table[i]) for i in range(0, 20_000, 397)]
+    assert len(rows) == 40_000
+    assert [r for r in rows if r[0] % 397 == 0] == brute_force(some, corpus, 2)
+
+
 def test_text_topk_equals_brute_force(spark):
     docs = spark.createDataFrame(
         [(i, f"policy number {i} covers car {i * 7} umbrella") for i in range(60)], "doc_id int, text string"

@@ -1,7 +1,6 @@
 """Generated-text columns with retries and status, and reading of model responses.
 
-No model client is shipped: a generator is any picklable ``prompt -> text``
-callable.  The default only restates the prompt, which keeps runs reproducible.
+No model client is shipped: a generator is any picklable ``prompt -> text`` callable.
 """
 
 from __future__ import annotations
@@ -19,16 +18,11 @@ FAILED = "FAILED"
 RETRIES = 3
 
 
-def restate(prompt: str) -> str:
-    """Offline generator: the prompt on one line."""
-    return "SUMMARY: " + " ".join(prompt.split())
-
-
 def with_generated(
     df: DataFrame,
     prompt: str,
     out: str,
-    generator: Callable[[str], str] = restate,
+    generator: Callable[[str], str],
     retries: int = RETRIES,
     failed_text: str | None = FAILED_TEXT,
     pause: Callable[[int], None] | None = None,
@@ -44,11 +38,6 @@ def with_generated(
         df = df.repartition(parallel_calls)
     added = f"{out} string, generation_status string, attempts int"
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    # Nested here so that it travels by value: workers need no copy of this package.
-    call = generator if generator is not restate else (
-        lambda text: "SUMMARY: " + " ".join(text.split())
-    )
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow as arrow
 
@@ -61,7 +50,7 @@ def with_generated(
                     if attempt > 1 and pause is not None:
                         pause(attempt)
                     try:
-                        answer, state = call(text), "SUCCESS"
+                        answer, state = generator(text), "SUCCESS"
                     except Exception as error:  # noqa: BLE001 - any failure means retry
                         answer = str(error)
                 if state == "FAILED" and failed_text is not None:

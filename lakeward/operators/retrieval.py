@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.feature import HashingTF, RegexTokenizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakeward.functions import fill_template
 from lakeward.operators.dedup import top_n_per_group
@@ -87,19 +86,71 @@ def chunk_documents(
     )
 
 
-def hashed_vectors(
-    df: DataFrame, text: str = "text", out: str = "embedding", dims: int = DIMENSIONS
+def term_counts(
+    df: DataFrame, text: str = "text", out: str = "counts", dims: int = DIMENSIONS
 ) -> DataFrame:
-    """Default text vectorizer: hashed term counts from Spark ML, no fitting pass.
+    """Add ``out``: how often the words of a text fall into each of ``dims`` buckets.
 
-    Any function that adds an ``array<float>`` column can take its place.
+    Words are runs of ASCII letters and digits, in lower case; a word's bucket are the first 32
+    bits of its MD5 digest, modulo ``dims``, which any engine can repeat.  Null has no words.
     """
-    words = RegexTokenizer(
-        inputCol=text, outputCol="_words", pattern=r"\W+", toLowercase=True, minTokenLength=1
-    )
-    counts = HashingTF(inputCol="_words", outputCol="_counts", numFeatures=dims)
-    hashed = counts.transform(words.transform(df))
-    return hashed.withColumn(out, vector_to_array("_counts", "float32")).drop("_words", "_counts")
+    words = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit("([A-Za-z0-9]+)"))
+    digest = lambda w: F.substring(F.md5(F.lower(w).cast("binary")), 1, 8)
+    buckets = F.transform(words, lambda w: (F.conv(digest(w), 16, 10).cast("long") % dims).cast("int"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("_buckets")
+            lengths = lists.value_lengths().to_numpy()
+            row = np.repeat(np.arange(len(lengths)), lengths)
+            places = row * dims + lists.flatten().to_numpy()
+            counts = np.bincount(places, minlength=dims * len(lengths)).astype(float)
+            ends = pa.array(np.arange(len(lengths) + 1, dtype=np.int32) * dims)
+            found = pa.ListArray.from_arrays(ends, pa.array(counts))
+            yield pa.RecordBatch.from_arrays([batch.column("_row"), found], ["_row", "_counts"])
+
+    names = [F.col(f"`{c}`") for c in df.columns]
+    boxed = df.select(F.struct(*names).alias("_row"), buckets.alias("_buckets"))
+    schema = T.StructType([boxed.schema["_row"]]).add("_counts", T.ArrayType(T.DoubleType()))
+    counted = boxed.mapInArrow(run, schema)
+    return counted.select("_row.*", F.col("_counts").alias(out))
+
+
+def inverse_frequencies(
+    counted: DataFrame, counts: str = "counts", dims: int = DIMENSIONS
+) -> Column:
+    """One list of ``dims`` weights, ln((n + 1) / (d + 1)) for a bucket that d of n rows use.
+
+    A scalar of the query that uses it: nothing runs before that does.
+    """
+    rows = counted.agg(F.count("*")).scalar()
+    used = counted.select(F.posexplode(counts).alias("bucket", "n")).where("n > 0")
+    found = used.groupBy("bucket").agg(F.count("*").alias("d"))
+    every = counted.sparkSession.range(dims).select(F.col("id").cast("int").alias("bucket"))
+    weight = F.ln((rows + 1) / (F.coalesce("d", F.lit(0)) + 1))
+    listed = every.join(found, "bucket", "left").select(F.struct("bucket", weight.alias("weight")).alias("w"))
+    return listed.agg(F.array_sort(F.collect_list("w"))["weight"]).scalar()
+
+
+def weighted_vectors(
+    df: DataFrame, weights: Column, counts: str = "counts", out: str = "embedding"
+) -> DataFrame:
+    """Counts times weights, as vectors for :func:`top_k`.
+
+    Any function that adds a column of numbers can take the place of these vectors.
+    """
+    vector = F.zip_with(counts, "_weights", lambda n, w: n * w)
+    return df.withColumn("_weights", weights).withColumn(out, vector).drop(counts, "_weights")
+
+
+def text_vectors(
+    questions: DataFrame, question: str, corpus: DataFrame, text: str, dims: int = DIMENSIONS
+) -> tuple[DataFrame, DataFrame]:
+    """Both tables with ``embedding``: counts of words weighted by how rare they are in the corpus."""
+    counted = term_counts(corpus, text, dims=dims)
+    weights = inverse_frequencies(counted, dims=dims)
+    asked = weighted_vectors(term_counts(questions, question, dims=dims), weights)
+    return asked, weighted_vectors(counted, weights)
 
 
 def top_k(
@@ -138,7 +189,7 @@ def top_k(
     )
     items = corpus.select(
         F.col(item_id).alias("item_id"),
-        F.col(vector).cast("array<float>").alias("_v"),
+        F.col(vector).alias("_v"),
         *carry,
         F.pmod(F.xxhash64(item_id), F.lit(shards)).cast("int").alias("_shard"),
         F.explode(F.sequence(F.lit(0), blocks - 1)).alias("_block"),

@@ -52,9 +52,18 @@ from lakeward.plans.exercises import (
 from lakeward.plans.layers import AS_OF, RUN_TS, Layers
 from lakeward.sources import ledger
 from lakeward.sources.files import LOADED, RESCUED, SOURCE, rescued
-from lakeward.sources.tables import shared_folder
+from lakeward.sources.tables import append_batch, shared_folder
 
-MODEL = "offline-template"
+BRIEF_TEMPLATE = (
+    "Claim {claim_id}: {incident_type}, {incident_severity}, amount {property}, reported after "
+    "{report_delay_days} days, rules {triggered_rules}. What should be looked into?"
+)
+ISSUE_TEMPLATE = (
+    "{affected_records} rows of {table_name} are in quarantine for '{rule_name}' ({severity}). "
+    "What may have caused this?"
+)
+SUMMARY_TEMPLATE = "{domain}, in figures: {kpi_json} Which of them stand out?"
+ANSWER_TEMPLATE = "{context}\nAnswer from these passages alone: {question}"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -537,29 +546,44 @@ def _(layers: Layers) -> DataFrame:
     return context.withColumn("confidence_score", F.round("confidence_score", 6))
 
 
-@query("text_vector_topk")
-def _(layers: Layers) -> DataFrame:
-    """The four document chunks most similar to every benchmark text, by hashed terms."""
+def _asked_of_documents(layers: Layers) -> tuple[DataFrame, DataFrame]:
+    """Benchmark texts as questions and document chunks, with vectors of weighted words."""
     chunks = retrieval.chunk_documents(layers.table("documents"), "doc_id", "text")
-    questions = layers.table("benchmark").select(F.col("item_id").alias("question_id"), "text")
-    return retrieval.top_k(
-        retrieval.hashed_vectors(questions), retrieval.hashed_vectors(chunks)
+    questions = layers.table("benchmark").select(
+        F.col("item_id").alias("question_id"), F.col("text").alias("question")
     )
+    return retrieval.text_vectors(questions, "question", chunks, "text")
+
+
+@query("text_vector_topk")
+def _(layers: Layers) -> DataFrame:
+    """The four document chunks most similar to every benchmark text, by weighted words."""
+    found = retrieval.top_k(*_asked_of_documents(layers))
+    return found.withColumn("score", F.round("score", 6))
+
+
+def _question_prompts(layers: Layers) -> DataFrame:
+    found = reports.question_prompts(*_asked_of_documents(layers), "doc_id", ANSWER_TEMPLATE)
+    return found.withColumn("confidence_score", F.round("confidence_score", 6))
 
 
 @query("question_answers")
 def _(layers: Layers) -> DataFrame:
-    """Every benchmark text asked of the document chunks, as query history rows."""
-    chunks = retrieval.chunk_documents(layers.table("documents"), "doc_id", "text")
-    questions = layers.table("benchmark").select(
-        F.col("item_id").alias("question_id"), F.col("text").alias("question")
-    )
-    return reports.answer_questions(
-        retrieval.hashed_vectors(questions, "question"),
-        retrieval.hashed_vectors(chunks),
-        "doc_id",
-        F.lit(RUN_TS).cast("timestamp"),
-    )
+    """Every benchmark text asked of the document chunks: the prompt that a model would get."""
+    return _question_prompts(layers).withColumn("prompt", F.md5(F.col("prompt").cast("binary")))
+
+
+@query("history_two_batches")
+def _(layers: Layers) -> DataFrame:
+    """The ten latest questions of a history of two batches, of which the second came twice."""
+    path = f"{shared_folder(layers.spark)}/history-{uuid.uuid4().hex}"
+    asked = _question_prompts(layers).select("question_id", "confidence_score", "source_policies")
+    second = F.col("question_id") % 2 == 1
+    for batch, rows in [(1, asked.where(~second)), (2, asked.where(second)), (2, asked.where(second))]:
+        stamped = rows.withColumn("timestamp", F.lit(f"2024-01-3{batch - 1} 00:00:00").cast("timestamp"))
+        append_batch(stamped, path, batch)
+    history = layers.spark.read.parquet(path).drop("_batch_id")
+    return retrieval.latest(history, "timestamp", 10, "question_id")
 
 
 @query("prompt_fill")
@@ -606,23 +630,26 @@ def _(layers: Layers) -> DataFrame:
 
 @query("generated_briefs")
 def _(layers: Layers) -> DataFrame:
-    briefs = reports.claim_briefs(layers.scored)
-    return briefs.withColumn("anomaly_score", F.round("anomaly_score", 6))
+    """Flagged claims with the prompt for their brief."""
+    prompts = reports.claim_prompts(layers.scored, BRIEF_TEMPLATE)
+    return prompts.withColumn("anomaly_score", F.round("anomaly_score", 6))
 
 
 @query("dq_explanations")
 def _(layers: Layers) -> DataFrame:
-    return reports.issue_explanations(layers.issues, MODEL, F.lit(RUN_TS).cast("timestamp"))
+    """Quality issues with the prompt for their explanation."""
+    return reports.issue_prompts(layers.issues, ISSUE_TEMPLATE)
 
 
 @query("domain_summaries")
 def _(layers: Layers) -> DataFrame:
+    """The figures of each domain as JSON, with the prompt for their summary."""
     kpis = {
         "Customer Profile": _rounded(kpi.customer_kpis(layers.dim_customers)),
         "Policy Portfolio": _rounded(kpi.policy_kpis(layers.dim_policy)),
         "Claims Performance": _rounded(kpi.claims_kpis(layers.fact_claims)),
     }
-    return reports.domain_summaries(kpis, MODEL, F.lit(RUN_TS).cast("timestamp"))
+    return reports.summary_prompts(kpis, SUMMARY_TEMPLATE)
 
 
 # --- streaming ----------------------------------------------------------------------------

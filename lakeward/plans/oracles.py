@@ -4,7 +4,6 @@ from __future__ import annotations
 
 AS_OF = "2003-01-01"
 RUN_TS = "2024-01-31 00:00:00"
-MODEL = "offline-template"
 
 
 def _title(x: str) -> str:
@@ -339,6 +338,38 @@ FROM flow_events GROUP BY ALL""",
       ON CAST(substr(policy_number, 2) AS BIGINT) % (SELECT count(*) FROM embeddings) = vec_id
   )
 ) WHERE rank <= 4""",
+    "chunks": """SELECT doc_id || '_' || i AS chunk_id, doc_id, substr(text, i * 320 + 1, 400) AS text
+FROM (
+  SELECT doc_id, text, unnest(range(greatest(1, ceil((length(text) - 80) / 320.0)::BIGINT))) AS i
+  FROM documents WHERE length(text) > 0
+)""",
+    "words": """SELECT id, ('0x' || md5(lower(w))[1:8])::BIGINT % 384 AS bucket, count(*) AS n
+FROM (
+  SELECT chunk_id AS id, unnest(regexp_extract_all(text, '[A-Za-z0-9]+')) AS w FROM chunks
+  UNION ALL SELECT 'q' || item_id, unnest(regexp_extract_all(text, '[A-Za-z0-9]+')) FROM benchmark
+) GROUP BY ALL""",
+    "rarity": """SELECT bucket, ln(((SELECT count(*) FROM chunks) + 1) / (count(*) + 1)) AS weight
+FROM words WHERE id[1] <> 'q' GROUP BY bucket""",
+    "weighed": """SELECT id, bucket,
+  n * coalesce(weight, (SELECT ln(count(*) + 1) FROM chunks)) AS x FROM words LEFT JOIN rarity USING (bucket)""",
+    "lengths": "SELECT id, sqrt(sum(x * x)) AS length FROM weighed GROUP BY id",
+    "products": """SELECT q.id AS question, c.id AS chunk_id, sum(q.x * c.x) AS product
+FROM weighed q JOIN weighed c USING (bucket) WHERE q.id[1] = 'q' AND c.id[1] <> 'q' GROUP BY ALL""",
+    "passages": """SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, chunk_id) AS rank FROM (
+    SELECT item_id AS question_id, c.chunk_id, doc_id, c.text,
+      round(coalesce(product / (a.length * b.length), 0), 9) AS score
+    FROM benchmark q CROSS JOIN chunks c
+      LEFT JOIN products p ON p.question = 'q' || item_id AND p.chunk_id = c.chunk_id
+      LEFT JOIN lengths a ON a.id = 'q' || item_id LEFT JOIN lengths b ON b.id = c.chunk_id
+  )
+) WHERE rank <= 4""",
+    "asked": """SELECT question_id, any_value(b.text) AS question,
+  string_agg(chr(10) || 'Policy ' || doc_id || ':' || chr(10) || p.text || chr(10), '' ORDER BY rank)
+    AS context,
+  array_to_string(list_sort(list(DISTINCT doc_id::VARCHAR)), '; ') AS source_policies,
+  round(avg(score), 6) AS confidence_score
+FROM passages p JOIN benchmark b ON question_id = item_id GROUP BY question_id""",
     "kpi_customer": """SELECT count(*) AS total_customers, round(avg(Balance), 2) AS avg_balance,
   count(DISTINCT Region) AS region_count, sum(HHInsurance)::BIGINT AS hh_insurance_count,
   sum(CarLoan)::BIGINT AS car_loan_count FROM customers_valid""",
@@ -380,6 +411,13 @@ NEEDS = {
     "questions": ["centroids"],
     "policy_docs": ["policy_valid"],
     "policy_ranked": ["questions", "vectors", "policy_docs"],
+    "words": ["chunks"],
+    "rarity": ["words"],
+    "weighed": ["rarity"],
+    "lengths": ["weighed"],
+    "products": ["weighed"],
+    "passages": ["products", "lengths"],
+    "asked": ["passages"],
     "kpi_customer": ["customers_valid"],
     "kpi_policy": ["policy_valid"],
     "kpi_claims": ["fact_claims"],
@@ -397,20 +435,11 @@ _REPORT = """claim_id, property, incident_severity, incident_type, round(score,
 _RUN_KEYS = "pipeline_id, pipeline_name, update_id, dataset_name"
 
 
-def _summary(prompt: str) -> str:
-    """What the offline generator returns: the prompt on one line."""
-    return f"'SUMMARY: ' || trim(regexp_replace({prompt}, '\\s+', ' ', 'g'))"
-
-
-_BRIEF = """'Explain to a claims adjuster why claim ' || claim_id || ' was flagged; do not judge it. '
-  || 'Amount claimed: ' || coalesce(printf('%.2f', property), 'None')
-  || ' Severity: ' || incident_severity || ' Incident: ' || incident_type
-  || ' Days until reported: ' || report_delay_days || ' Rules that fired: ' || rules
-  || ' Cover the reasons, the checks used, the risks and the next steps.'"""
-_ISSUE = """'Explain this data quality issue to a business reader. Table: ' || table_name
-  || ' Issue: ' || rule_name || ' Records affected: ' || affected_records
-  || ' Severity: ' || severity
-  || ' Cover the finding, its impact, its cause, the fix and the prevention.'"""
+_BRIEF = """'Claim ' || claim_id || ': ' || incident_type || ', ' || incident_severity
+  || ', amount ' || coalesce(printf('%.2f', property), 'None') || ', reported after '
+  || report_delay_days || ' days, rules ' || rules || '. What should be looked into?'"""
+_ISSUE = """affected_records || ' rows of ' || table_name || ' are in quarantine for ''' || rule_name
+  || ''' (' || severity || '). What may have caused this?'"""
 
 
 def _domain(name: str, block: str) -> str:
@@ -627,6 +656,15 @@ FROM (
   SELECT doc_id, text, unnest(range(greatest(1, ceil((length(text) - 80) / 320.0)::BIGINT))) AS i
   FROM documents WHERE length(text) > 0
 )""",
+    "text_vector_topk": _with("passages")
+    + "SELECT question_id, chunk_id, rank::INTEGER AS rank, round(score, 6) AS score FROM passages",
+    "question_answers": _with("asked")
+    + """SELECT question_id, question, confidence_score, source_policies,
+  md5(context || chr(10) || 'Answer from these passages alone: ' || question) AS prompt FROM asked""",
+    "history_two_batches": _with("asked")
+    + """SELECT question_id, confidence_score, source_policies,
+  if(question_id % 2 = 1, '2024-01-31', '2024-01-30') || ' 00:00:00' AS timestamp FROM asked
+ORDER BY timestamp DESC, question_id LIMIT 10""",
     "vector_topk": _with("questions", "vectors")
     + """SELECT label AS question_id, vec_id, rank::INTEGER AS rank, round(score, 6) AS score FROM (
   SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id) AS rank FROM (
@@ -646,20 +684,15 @@ FROM (
     "response_text_extract": """SELECT conv_id, turn,
   CASE WHEN role IN ('user', 'assistant') THEN coalesce(text, '') ELSE '' END AS answer
 FROM conversations""",
-    # --- generated text (offline generator) ---
+    # --- prompts ---
     "generated_briefs": _with("tiered")
-    + f"""SELECT {_REPORT}, {_summary(_BRIEF)} AS investigation_brief FROM tiered
-WHERE tier <> 'NORMAL'""",
+    + f"SELECT {_REPORT}, {_BRIEF} AS prompt FROM tiered WHERE tier <> 'NORMAL'",
     "dq_explanations": _with("issues_rated")
     + f"""SELECT (row_number() OVER (ORDER BY table_name, rule_name))::VARCHAR AS issue_id,
-  table_name, rule_name, severity, affected_records, {_summary(_ISSUE)} AS ai_explanation,
-  '{MODEL}' AS model_name, 'SUCCESS' AS generation_status, '{RUN_TS}' AS generated_timestamp
-FROM issues_rated""",
+  table_name, rule_name, severity, affected_records, {_ISSUE} AS prompt FROM issues_rated""",
     "domain_summaries": _with("kpi_customer", "kpi_policy", "kpi_claims")
-    + f"""SELECT domain, 'SUMMARY: Write an executive summary of ' || domain
-  || ' from these figures only. ' || kpi_json
-  || ' Give a title, the main insights and one risk or opportunity.' AS executive_summary,
-  kpi_json, '{RUN_TS}' AS created_at, '{MODEL}' AS model_name, 'SUCCESS' AS status
+    + f"""SELECT domain, kpi_json,
+  domain || ', in figures: ' || kpi_json || ' Which of them stand out?' AS prompt
 FROM ({_domain('Customer Profile', 'kpi_customer')} UNION ALL
   {_domain('Policy Portfolio', 'kpi_policy')} UNION ALL
   {_domain('Claims Performance', 'kpi_claims')})""",

@@ -1,4 +1,8 @@
-"""Reports with generated text: claim briefs, issue explanations, domain summaries, answers."""
+"""Prompts from reports, and the reports once a generator has answered them.
+
+Templates are arguments: a prompt says what its caller wants to know.  Each ``*_prompts`` function
+builds its prompts from columns; the function after it sends them to a generator, in tasks.
+"""
 
 from __future__ import annotations
 
@@ -10,75 +14,56 @@ from pyspark.sql import functions as F
 
 from lakeward.functions import fill_template
 from lakeward.operators.anomaly import REPORT_COLUMNS, flagged
-from lakeward.operators.generate import restate, with_generated
-from lakeward.operators.retrieval import retrieval_context, top_k
-
-BRIEF_TEMPLATE = (
-    "Explain to a claims adjuster why claim {claim_id} was flagged; do not judge it.\n"
-    "Amount claimed: {property}\nSeverity: {incident_severity}\nIncident: {incident_type}\n"
-    "Days until reported: {report_delay_days}\nRules that fired: {triggered_rules}\n"
-    "Cover the reasons, the checks used, the risks and the next steps."
-)
-ISSUE_TEMPLATE = (
-    "Explain this data quality issue to a business reader.\n"
-    "Table: {table_name}\nIssue: {rule_name}\n"
-    "Records affected: {affected_records}\nSeverity: {severity}\n"
-    "Cover the finding, its impact, its cause, the fix and the prevention."
-)
-SUMMARY_TEMPLATE = (
-    "Write an executive summary of {domain} from these figures only.\n{kpi_json}\n"
-    "Give a title, the main insights and one risk or opportunity."
-)
-ANSWER_TEMPLATE = (
-    "Answer in plain English from the context only.\nCONTEXT:\n{context}\nQUESTION:\n{question}"
-)
+from lakeward.operators.generate import with_generated
+from lakeward.operators.retrieval import TOP_K, retrieval_context, top_k
 
 Generator = Callable[[str], str]
 
 
-def brief_prompt() -> Column:
-    fields = ["claim_id", "incident_severity", "incident_type", "report_delay_days"]
-    values = {name: F.col(name) for name in [*fields, "triggered_rules"]}
-    values["property"] = F.format_string("%.2f", "property")
-    return fill_template(BRIEF_TEMPLATE, values)
+def _prompt(template: str, names: list[str], **shown: Column) -> Column:
+    return fill_template(template, {**{n: F.col(n) for n in names}, **shown}).alias("prompt")
 
 
-def claim_briefs(scored: DataFrame, generator: Generator = restate, **options) -> DataFrame:
-    """Flagged claims with an investigation brief, generated in tasks."""
-    prompts = flagged(scored).select(*REPORT_COLUMNS, brief_prompt().alias("_prompt"))
-    return with_generated(prompts, "_prompt", "investigation_brief", generator, **options).select(
-        *REPORT_COLUMNS, "investigation_brief"
-    )
+def claim_prompts(scored: DataFrame, template: str) -> DataFrame:
+    """Flagged claims with a prompt each; the amount has two digits."""
+    names = ["claim_id", "incident_severity", "incident_type", "report_delay_days", "triggered_rules"]
+    amount = F.format_string("%.2f", "property")
+    return flagged(scored).select(*REPORT_COLUMNS, _prompt(template, names, property=amount))
 
 
-def issue_explanations(
-    issues: DataFrame, model_name: str, run_ts: Column, generator: Generator = restate, **options
-) -> DataFrame:
-    """One explanation per quality issue, with a stable id and the state of the call.
+def claim_briefs(scored: DataFrame, template: str, generator: Generator, **options) -> DataFrame:
+    """Flagged claims with an investigation brief."""
+    prompts = claim_prompts(scored, template)
+    written = with_generated(prompts, "prompt", "investigation_brief", generator, **options)
+    return written.select(*REPORT_COLUMNS, "investigation_brief")
 
-    ``issues`` has one row per table and rule, so numbering it in one task is bounded
+
+def issue_prompts(issues: DataFrame, template: str) -> DataFrame:
+    """One prompt per quality issue, under a stable id.
+
+    The window numbers all issues in one task; issues are one row per table and rule, bounded
     by the number of rules, not by the data.
     """
     order = Window.orderBy("table_name", "rule_name")
-    prompts = issues.select(
-        F.row_number().over(order).cast("string").alias("issue_id"),
-        "table_name",
-        "rule_name",
-        "severity",
-        "affected_records",
-        fill_template(
-            ISSUE_TEMPLATE,
-            {c: F.col(c) for c in ("table_name", "rule_name", "affected_records", "severity")},
-        ).alias("_prompt"),
-    )
+    names = ["table_name", "rule_name", "severity", "affected_records"]
+    number = F.row_number().over(order).cast("string").alias("issue_id")
+    return issues.select(number, *names, _prompt(template, names))
+
+
+def issue_explanations(
+    issues: DataFrame,
+    template: str,
+    model_name: str,
+    run_ts: Column,
+    generator: Generator,
+    **options,
+) -> DataFrame:
+    """One explanation per quality issue, with the state of the call."""
     options.setdefault("failed_text", None)
-    explained = with_generated(prompts, "_prompt", "ai_explanation", generator, **options)
+    prompts = issue_prompts(issues, template)
+    explained = with_generated(prompts, "prompt", "ai_explanation", generator, **options)
     return explained.select(
-        "issue_id",
-        "table_name",
-        "rule_name",
-        "severity",
-        "affected_records",
+        *prompts.columns[:-1],
         "ai_explanation",
         F.lit(model_name).alias("model_name"),
         "generation_status",
@@ -95,21 +80,24 @@ def kpi_rows(kpis: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, rows)
 
 
+def summary_prompts(kpis: dict[str, DataFrame], template: str) -> DataFrame:
+    """(domain, kpi_json, prompt): one row per domain."""
+    return kpi_rows(kpis).select(
+        "domain", "kpi_json", _prompt(template, ["domain", "kpi_json"])
+    )
+
+
 def domain_summaries(
     kpis: dict[str, DataFrame],
+    template: str,
     model_name: str,
     run_ts: Column,
-    generator: Generator = restate,
+    generator: Generator,
     **options,
 ) -> DataFrame:
     """Executive summary per domain; the status is that of the call, failures included."""
-    prompts = kpi_rows(kpis).withColumn(
-        "_prompt",
-        fill_template(
-            SUMMARY_TEMPLATE, {"domain": F.col("domain"), "kpi_json": F.col("kpi_json")}
-        ),
-    )
-    written = with_generated(prompts, "_prompt", "executive_summary", generator, **options)
+    prompts = summary_prompts(kpis, template)
+    written = with_generated(prompts, "prompt", "executive_summary", generator, **options)
     return written.select(
         "domain",
         "executive_summary",
@@ -120,30 +108,38 @@ def domain_summaries(
     )
 
 
+def question_prompts(
+    questions: DataFrame, chunks: DataFrame, owner: str, template: str, k: int = TOP_K
+) -> DataFrame:
+    """(question_id, question, prompt, confidence_score, source_policies) per question.
+
+    ``questions``: question_id, question, embedding; ``chunks``: chunk_id, owner, text,
+    embedding.  Source policies stay an array.
+    """
+    context = retrieval_context(top_k(questions, chunks, k, carry=[owner, "text"]), owner)
+    asked = questions.select("question_id", "question").join(context, "question_id")
+    return asked.select(
+        "question_id",
+        "question",
+        _prompt(template, ["context", "question"]),
+        "confidence_score",
+        "source_policies",
+    )
+
+
 def answer_questions(
     questions: DataFrame,
     chunks: DataFrame,
     owner: str,
+    template: str,
     run_ts: Column,
-    generator: Generator = restate,
-    k: int = 4,
+    generator: Generator,
+    k: int = TOP_K,
     **options,
 ) -> DataFrame:
-    """A table of questions to rows of the query history, as one batch.
-
-    ``questions``: question_id, question, embedding; ``chunks``: chunk_id, owner, text,
-    embedding.  Source policies stay an array.
-    """
-    ranked = top_k(questions, chunks, k, carry=[owner, "text"])
-    context = retrieval_context(ranked, owner)
-    prompts = questions.select("question_id", "question").join(context, "question_id")
-    prompts = prompts.withColumn(
-        "_prompt",
-        fill_template(
-            ANSWER_TEMPLATE, {"context": F.col("context"), "question": F.col("question")}
-        ),
-    )
-    answered = with_generated(prompts, "_prompt", "answer", generator, **options)
+    """A table of questions to rows of the query history, as one batch."""
+    prompts = question_prompts(questions, chunks, owner, template, k)
+    answered = with_generated(prompts, "prompt", "answer", generator, **options)
     return answered.select(
         "question", "answer", "confidence_score", "source_policies", run_ts.alias("timestamp")
     )

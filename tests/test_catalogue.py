@@ -12,18 +12,13 @@ from tests.oracle import compare, connect
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="test tables not mounted")
 QUERIES, ORACLES = catalogue.QUERIES, oracles.ORACLES
-# Checked against brute force in test_retrieval_generate: hashing has no SQL twin.
-WITHOUT_SQL = {"text_vector_topk", "question_answers"}
-
-
 @pytest.fixture(scope="module")
 def sql():
     return connect(SF_DIR)
 
 
-def test_every_query_has_sql_or_a_reason():
-    assert set(QUERIES) - set(ORACLES) == WITHOUT_SQL
-    assert set(ORACLES) <= set(QUERIES)
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -47,11 +42,6 @@ def _with_hot_rows(rows):
     return spread_by, hot, rows, salts
 
 
-@pytest.mark.parametrize("name", sorted(WITHOUT_SQL))
-def test_has_rows(spark, name):
-    assert QUERIES[name](spark, SF_DIR).count() > 0
-
-
 def test_entry(spark):
     rows = contract.entry(spark)
     assert rows.count() > 0 and "rejection_rate_pct" in rows.columns

@@ -1,3 +1,4 @@
+import hashlib
 import json
 
 import numpy as np
@@ -101,14 +102,29 @@ def test_many_questions_go_through_in_blocks(spark):
     assert [r for r in rows if r[0] % 397 == 0] == brute_force(some, corpus, 2)
 
 
+def test_words_weigh_by_how_few_chunks_use_them(spark):
+    texts = ["Alpha beta, ALPHA", "beta gamma", None, "é!", "beta"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, text string").repartition(2)
+    counted = retrieval.term_counts(docs, "text", dims=64)
+    bucket = lambda w: int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 64
+    rows = {r["id"]: np.array(r["counts"]) for r in counted.collect()}
+    want = np.zeros(64)
+    want[bucket("alpha")] += 2
+    want[bucket("beta")] += 1
+    assert (rows[0] == want).all() and rows[2].sum() == rows[3].sum() == 0
+    weights = counted.select(retrieval.inverse_frequencies(counted, dims=64)).first()[0]
+    assert weights[bucket("beta")] == pytest.approx(np.log(6 / 4))
+    assert weights[bucket("alpha")] == pytest.approx(np.log(6 / 2))
+    assert weights[bucket("absent word")] == pytest.approx(np.log(6))
+
+
 def test_text_topk_equals_brute_force(spark):
     docs = spark.createDataFrame(
         [(i, f"policy number {i} covers car {i * 7} umbrella") for i in range(60)], "doc_id int, text string"
     )
-    chunks = retrieval.hashed_vectors(retrieval.chunk_documents(docs, "doc_id", "text"))
-    asked = retrieval.hashed_vectors(
-        spark.createDataFrame([(1, "which policy covers car 357")], "question_id long, text string")
-    )
+    asked = spark.createDataFrame([(1, "which policy covers car 357")], "question_id long, text string")
+    chunks = retrieval.chunk_documents(docs, "doc_id", "text")
+    asked, chunks = retrieval.text_vectors(asked, "text", chunks, "text")
     found = retrieval.top_k(asked, chunks, 4).collect()
     corpus = [(r["chunk_id"], r["embedding"]) for r in chunks.collect()]
     expected = brute_force([(1, asked.first()["embedding"])], corpus, 4)
@@ -118,14 +134,16 @@ def test_text_topk_equals_brute_force(spark):
 
 def test_answers_carry_context_and_sources(spark):
     docs = spark.createDataFrame([("P1", "alpha beta"), ("P2", "gamma delta")], "policy_number string, text string")
-    chunks = retrieval.hashed_vectors(retrieval.chunk_documents(docs, "policy_number", "text"))
     asked = spark.createDataFrame([(1, "alpha beta")], "question_id long, question string")
+    chunks = retrieval.chunk_documents(docs, "policy_number", "text")
     rows = reports.answer_questions(
-        retrieval.hashed_vectors(asked, "question"), chunks, "policy_number",
-        F.lit("2024-01-01").cast("timestamp"), generator=lambda p: p, k=1,
+        *retrieval.text_vectors(asked, "question", chunks, "text"), "policy_number",
+        "From {context}: {question}?", F.lit("2024-01-01").cast("timestamp"),
+        generator=lambda p: p, k=1,
     ).collect()
-    assert rows[0]["source_policies"] == ["P1"] and rows[0]["confidence_score"] == 1.0
-    assert "\nPolicy P1:\nalpha beta\n" in rows[0]["answer"] and rows[0]["question"] == "alpha beta"
+    assert rows[0]["source_policies"] == ["P1"] and rows[0]["confidence_score"] == pytest.approx(1.0)
+    assert rows[0]["answer"] == "From \nPolicy P1:\nalpha beta\n: alpha beta?"
+    assert rows[0]["question"] == "alpha beta"
 
 
 def test_policy_text(spark):
@@ -164,7 +182,7 @@ def test_issue_ids_are_stable_and_failures_show(spark):
         raise ValueError("down")
 
     ts = F.lit("2024-01-01").cast("timestamp")
-    rows = reports.issue_explanations(issues, "m", ts, generator=refuse).collect()
+    rows = reports.issue_explanations(issues, "{rule_name}", "m", ts, generator=refuse).collect()
     assert sorted((r["issue_id"], r["rule_name"]) for r in rows) == [("1", "x"), ("2", "z"), ("3", "y")]
     assert {(r["generation_status"], r["ai_explanation"]) for r in rows} == {("FAILED", "down")}
     assert len(rows[0]) == 9

@@ -20,7 +20,9 @@ from lakeward.llm.scratch import prepare, stored
 from lakeward.llm.text import Words, as_bytes, blocks, mix, runs
 
 
-GROWTH = 8
+GROWTH = 64
+# Words of 64 bits in the sketch of a set.
+SKETCH = 16
 # Shingles permuted at a time: a work space that stays in the processor's cache.
 CHUNK = 1024
 # Bytes of text whose words are laid out together; the work space is about fifty times that.
@@ -83,6 +85,17 @@ class _Signer:
         return key.view(np.int64)
 
 
+def _odd_sketch(shingles: np.ndarray) -> np.ndarray:
+    """Bits that tell, for each of as many classes of hashes, whether the set holds an odd number.
+
+    A shingle that only one of two sets has turns one bit over, so sketches differ in no more
+    bits than sets differ in shingles.
+    """
+    bits = 64 * SKETCH
+    odd = np.bincount((shingles >> np.uint64(20)).astype(np.int64) % bits, minlength=bits) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
 def _profile(settings: Settings, own: Sequence[str]):
     """Task function: the columns ``own``, and size, digest and band keys of every text's set."""
     other = np.uint64(0xA24BAED4963EE407)
@@ -90,12 +103,13 @@ def _profile(settings: Settings, own: Sequence[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = _Signer(settings)
         for batch in batches:
-            number, first, second, bands = [], [], [], []
+            number, first, second, bands, odd = [], [], [], [], []
             for shingles in _sets(as_bytes(batch.column("text")), settings.shingle):
                 number.append(len(shingles))
                 first.append(np.bitwise_xor.reduce(mix(shingles)).astype(np.int64))
                 second.append(np.add.reduce(mix(shingles ^ other)).astype(np.int64))
                 bands.append(signer.bands(shingles) if len(shingles) else np.zeros(0, np.int64))
+                odd.append(_odd_sketch(shingles))
             yield pa.RecordBatch.from_arrays(
                 [
                     *[batch.column(c) for c in own],
@@ -103,8 +117,9 @@ def _profile(settings: Settings, own: Sequence[str]):
                     pa.array(first, pa.int64()),
                     pa.array(second, pa.int64()),
                     pa.array(bands, pa.list_(pa.int64())),
+                    pa.array(odd, pa.list_(pa.int64())),
                 ],
-                [*own, "n_shingles", "d1", "d2", "bands"],
+                [*own, "n_shingles", "d1", "d2", "bands", "odd"],
             )
 
     return run
@@ -170,7 +185,15 @@ def _may_link(settings: Settings, n, u, m, v):
     return (100 + settings.percent) * common >= settings.percent * (n + m)
 
 
-def _links(members: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame | None:
+def _near(settings: Settings, n, odd, m, other):
+    """Whether sketches differ in few enough bits: similar sets differ in few shingles."""
+    apart = sum((F.bit_count(odd[i].bitwiseXOR(other[i])) for i in range(SKETCH)), F.lit(0))
+    return (100 + settings.percent) * apart <= (100 - settings.percent) * (n + m)
+
+
+def _links(
+    members: DataFrame, texts: DataFrame, sketches: DataFrame, settings: Settings
+) -> DataFrame | None:
     """(id, component) of the linked members of shared buckets.
 
     In each turn some members of a bucket, its pivots, are compared with all members that
@@ -179,67 +202,70 @@ def _links(members: DataFrame, texts: DataFrame, settings: Settings) -> DataFram
     members have been pivots.  So each pair that shares a bucket is compared or already
     connected, while a large group of copies costs a few comparisons per member.
 
-    Pairs that cannot be similar enough by their numbers of shingles are not compared.  From the
-    second turn on this uses the shingles that a member shares with no other member still open:
-    near copies of one text differ by such shingles, so the copies with the fewest, the pivots,
-    link all that can be linked, and the others are known to be apart without comparing them.
+    Pairs that cannot be similar enough are not compared on full sets.  In the first turn the
+    numbers of shingles tell.  Buckets that it leaves open carry more: a sketch of every set,
+    which bounds how much two sets differ, and the number of shingles that a member shares with
+    no other member still open.  Near copies of one text differ by such shingles, so the copies
+    with the fewest, the next pivots, link nearly all that can be linked.
     """
-    fresh = members.withColumns({"component": F.col("id"), "u": F.lit(0).cast("long")})
-    found, joined, last, pivots = None, fresh, None, 1
-    key = F.struct("u", F.xxhash64("id").alias("h"), "id")
-    n, u = F.col("n"), F.col("u")
-    while True:
-        free = joined
+    first = members.withColumns({"component": F.col("id"), "u": F.lit(0).cast("long")})
+    order = Window.partitionBy("bucket").orderBy(F.xxhash64("id"), "id")
+    left = first.withColumn("place", F.row_number().over(order)).where("place = 1")
+    found = _turn(first, left, texts, None, settings)
+    now = stored(_joined(first, found), "members")
+    ends = now.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    open_ = stored(ends.where("low < high").select("bucket"), "buckets")
+    now = stored(now.drop("u").join(open_, "bucket", "left_semi"), "open")
+    if now.isEmpty():
+        return found
+    ids = stored(now.select(F.col("id").alias("doc_id")).distinct(), "ids")
+    alone = stored(_alone(texts.join(ids, "doc_id", "left_semi"), settings), "alone")
+    now = now.join(sketches, ["id", "n", "d1"]).join(alone, "id", "left")
+    rest = stored(_open(stored(now.withColumn("u", F.coalesce("u", F.lit(0))), "known"), settings), "open")
+    key, last, pivots = F.struct("u", F.xxhash64("id").alias("h"), "id"), None, 1
+    order = Window.partitionBy("bucket").orderBy("u", F.xxhash64("id"), "id")
+    while not rest.isEmpty():
+        free = rest
         if last is not None:
-            free = joined.join(last, "bucket", "left").where(
+            free = rest.join(last, "bucket", "left").where(
                 F.col("last").isNull() | (key > F.col("last"))
             )
-        order = Window.partitionBy("bucket").orderBy("u", F.xxhash64("id"), "id")
         ranked = free.withColumn("place", F.row_number().over(order))
-        left = stored(
-            ranked.where(F.col("place") <= pivots).select(
-                "bucket", F.col("id").alias("p"), F.col("component").alias("c"),
-                F.col("n").alias("m"), F.col("u").alias("v"), key.alias("key"),
-            ),
-            "pivots",
-        )
-        pairs = (
-            joined.join(left.drop("key"), "bucket")
-            .where(F.col("component") != F.col("c"))
-            .where(_may_link(settings, n, u, F.col("m"), F.col("v")))
-            .select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b"))
-            .distinct()
-        )
-        links = stored(_confirmed(stored(pairs, "pairs"), texts, settings), "confirmed")
-        known = links if found is None else links.unionAll(
-            found.select(F.col("id").alias("a"), F.col("component").alias("b"))
-        )
-        found = stored(components(known), "components")
-        now = joined.drop("component").join(found, "id", "left").withColumn(
-            "component", F.coalesce("component", "id")
-        )
+        left = stored(ranked.where(F.col("place") <= pivots).withColumn("key", key), "pivots")
+        found = _turn(rest, left, texts, found, settings)
+        newest = left.groupBy("bucket").agg(F.max("key").alias("newest"))
         if last is None:
-            # The second turn begins anew, with what is known of single shingles by then.
-            now = _open(stored(now, "members"), settings)
-            ids = stored(now.select(F.col("id").alias("doc_id")).distinct(), "ids")
-            alone = _alone(texts.join(ids, "doc_id", "left_semi"), settings)
-            now = now.drop("u").join(stored(alone, "alone"), "id", "left").withColumn(
-                "u", F.coalesce("u", F.lit(0))
-            )
-            nothing = left.select("bucket", F.col("key").alias("last"))
-            last = nothing.limit(0)
+            last = newest.withColumnRenamed("newest", "last")
         else:
-            newest = left.groupBy("bucket").agg(F.max("key").alias("newest"))
-            last = stored(
-                newest.join(last, "bucket", "full").select(
-                    "bucket", F.coalesce("newest", "last").alias("last")
-                ),
-                "last",
+            last = newest.join(last, "bucket", "full").select(
+                "bucket", F.coalesce("newest", "last").alias("last")
             )
-            pivots *= GROWTH
-        joined = stored(_open(stored(now, "members"), settings, last), "open")
-        if joined.isEmpty():
-            return found
+        last, pivots = stored(last, "last"), GROWTH * pivots
+        rest = stored(_open(stored(_joined(rest, found), "members"), settings, last), "open")
+    return found
+
+
+def _joined(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members with the component that they belong to by now."""
+    now = members.drop("component").join(found, "id", "left")
+    return now.withColumn("component", F.coalesce("component", "id"))
+
+
+def _turn(
+    members: DataFrame, pivots: DataFrame, texts: DataFrame, found: DataFrame | None, settings: Settings
+) -> DataFrame:
+    """(id, component) after members have been compared with the pivots of their buckets."""
+    known = {"id": "p", "component": "c", "n": "m", "u": "v", "odd": "other"}
+    left = pivots.select("bucket", *[F.col(a).alias(b) for a, b in known.items() if a in pivots.columns])
+    may = _may_link(settings, F.col("n"), F.col("u"), F.col("m"), F.col("v"))
+    if "odd" in members.columns:
+        may &= _near(settings, F.col("n"), F.col("odd"), F.col("m"), F.col("other"))
+    pairs = members.join(left, "bucket").where((F.col("component") != F.col("c")) & may)
+    pairs = pairs.select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct()
+    links = stored(_confirmed(stored(pairs, "pairs"), texts, settings), "confirmed")
+    if found is not None:
+        links = links.unionAll(found.select(F.col("id").alias("a"), F.col("component").alias("b")))
+    return stored(components(links), "components")
 
 
 def _open(members: DataFrame, settings: Settings, last: DataFrame | None = None) -> DataFrame:
@@ -291,7 +317,7 @@ def near_duplicates(
         read.mapInArrow(
             _profile(settings, list(own)),
             ", ".join(f"{c} {kind}" for c, kind in own.items())
-            + ", n_shingles long, d1 long, d2 long, bands array<long>",
+            + ", n_shingles long, d1 long, d2 long, bands array<long>, odd array<long>",
         ),
         "profile",
     )
@@ -299,11 +325,16 @@ def near_duplicates(
     classes = stored(
         profile.where("n_shingles > 0")
         .groupBy(*digest)
-        .agg(F.min("doc_id").alias("rep"), F.min("bands").alias("bands")),
+        .agg(
+            F.min("doc_id").alias("rep"), F.min("bands").alias("bands"), F.min("odd").alias("odd")
+        ),
         "classes",
     )
     bands = classes.where("rep IS NOT NULL").select(
-        F.col("rep").alias("id"), F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket")
+        F.col("rep").alias("id"),
+        F.col("n_shingles").alias("n"),
+        "d1",
+        F.explode("bands").alias("bucket"),
     )
     shared = stored(
         bands.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select("bucket"),
@@ -316,14 +347,15 @@ def near_duplicates(
         ),
         "texts",
     )
-    found = _links(members, texts, settings)
-    joined = classes.drop("bands").join(
+    sketches = classes.select(F.col("rep").alias("id"), F.col("n_shingles").alias("n"), "d1", "odd")
+    found = _links(members, texts, sketches, settings)
+    joined = classes.drop("bands", "odd").join(
         found.select(F.col("id").alias("rep"), "component"), "rep", "left"
     )
     joined = stored(
         joined.select(*digest, F.coalesce("component", "rep").alias("component")), "classes"
     )
-    return profile.drop("bands").join(joined, digest, "left").select(
+    return profile.drop("bands", "odd").join(joined, digest, "left").select(
         *own,
         "n_shingles",
         F.coalesce("component", "doc_id").alias("component_id"),

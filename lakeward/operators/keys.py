@@ -104,15 +104,14 @@ def _hashable(df: DataFrame) -> list[Column]:
 
 
 def require_fk(df: DataFrame, ref: DataFrame, key: str, ref_key: str | None = None) -> DataFrame:
-    """Rows whose key exists in ``ref`` (semi join: repeats in ``ref`` do not matter)."""
-    lookup = ref.select(F.col(ref_key or key).alias("_ref_key"))
-    return df.join(lookup, F.col(key) == F.col("_ref_key"), "left_semi")
+    """Rows whose key exists in ``ref``; repeats in ``ref`` do not matter, hot keys are split."""
+    found = flag_orphans(df.where(F.col(key).isNotNull()), ref, key, "_known", ref_key)
+    return found.where("_known").drop("_known")
 
 
 def orphans(df: DataFrame, ref: DataFrame, key: str, ref_key: str | None = None) -> DataFrame:
-    """Rows whose key is null or absent from ``ref``."""
-    lookup = ref.select(F.col(ref_key or key).alias("_ref_key"))
-    return df.join(lookup, F.col(key) == F.col("_ref_key"), "left_anti")
+    """Rows whose key is null or absent from ``ref``; hot and null keys are split."""
+    return flag_orphans(df, ref, key, "_known", ref_key).where("NOT _known").drop("_known")
 
 
 def flag_orphans(
@@ -173,10 +172,11 @@ def star_join(
 ) -> DataFrame:
     """Left join dimensions given as (frame, fact key, dimension key, columns).
 
-    For facts already summed per key: then no key is hot.
+    For facts already summed per key.  A key of one dimension may still be shared by very many
+    keys of another, as a customer by policies: such keys are split.
     """
     for dim, fact_key, dim_key, columns in dims:
-        per_key = enrich(per_key, dim, fact_key, columns, lookup_key=dim_key, split_hot=False)
+        per_key = enrich(per_key, dim, fact_key, columns, lookup_key=dim_key)
     return per_key
 
 

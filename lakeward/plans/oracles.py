@@ -635,8 +635,8 @@ FROM fact_sales f LEFT JOIN cars_valid c ON f.car_id = c.car_id WHERE unsold_fla
 FROM runs WHERE passed IS NOT NULL""",
     # --- anomaly ---
     "anomaly_zscore": _with("claims_clean")
-    + """SELECT claim_id, round(abs((property - m) / s), 6) AS z FROM claims_clean,
-  (SELECT avg(property) AS m, stddev_samp(property) AS s FROM claims_clean)""",
+    + """SELECT claim_id, round(abs((property - avg(property) OVER ()) / stddev_samp(property) OVER ()), 6)
+  AS z FROM claims_clean""",
     "anomaly_rules": _with("scored")
     + """SELECT claim_id, report_delay_days, policy_count, r2 AS r2_severity_mismatch,
   r3 AS r3_repeat_claimant, r4 AS r4_reporting_delay, r5 AS r5_missing_docs FROM scored""",

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from lakeward.llm.gather import gathered
 from lakeward.llm.scratch import prepare
-from lakeward.llm.text import Words, as_bytes, blocks, mix, runs
+from lakeward.llm.text import Words, as_bytes, blocks, mix, runs, symbols
 
 MIN_LENGTH = 12
 # A run of MIN_LENGTH words and two periods repeats at least half of it.
@@ -197,17 +197,6 @@ def find(symbols: np.ndarray, bounds: np.ndarray) -> dict[int, list[tuple[int, i
     return out
 
 
-def _symbols(words: Words) -> np.ndarray:
-    """Numbers of the words of a block, equal exactly where words are."""
-    lengths = words.ends - words.starts
-    letters = gathered(words.data, words.starts, lengths)
-    offsets = np.append(0, np.cumsum(lengths)).astype(np.int64)
-    array = pa.Array.from_buffers(
-        pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]
-    )
-    return array.dictionary_encode().indices.to_numpy().astype(np.int64)
-
-
 def _collapsed(words: Words, found: dict) -> list[bytes]:
     """Every text's words joined by one space, without those that a run only repeats."""
     stays = np.zeros(len(words.starts) + 1, np.int32)
@@ -243,7 +232,7 @@ def periodic_runs(docs: DataFrame) -> DataFrame:
             texts = as_bytes(batch.column("text"))
             for a, b in blocks(texts):
                 words = Words(texts[a:b])
-                found = find(_symbols(words), words.bounds) if words.starts.size else {}
+                found = find(symbols(words), words.bounds) if words.starts.size else {}
                 listed = [
                     [{"start": s, "length": n, "period": p} for s, n, p in found.get(i, ())]
                     for i in range(b - a)

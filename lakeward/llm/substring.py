@@ -22,17 +22,19 @@ from pyspark.sql import types as T
 
 from lakeward.llm.fm_index import FMIndex
 from lakeward.llm.scratch import prepare, stored
-from lakeward.llm.text import Words, as_bytes, blocks, mix, runs
+from lakeward.llm.text import Words, as_bytes, blocks, mix, runs, symbols
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``hot``: an anchor with more different pieces is resolved by grouping its windows."""
+    """``shard``: words that are indexed together, about; ``hot``: an anchor whose different
+    pieces hold more words than that is resolved by grouping its windows.
+    """
 
     length: int = 50
     gram: int = 8
-    shard: int = 4_000
-    hot: int = 2_000
+    shard: int = 400_000
+    hot: int = 1_000_000
 
 
 _STEP = np.uint64(0xD1B54A32D192ED03)
@@ -171,15 +173,12 @@ def _search(settings: Settings):
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         anchor, digest, doc = (table.column(c).to_numpy() for c in ("anchor", "digest", "doc_id"))
-        pieces = [w.split() for w in table.column("words").to_pylist()]
-        number = {w: i for i, w in enumerate(dict.fromkeys(w for p in pieces for w in p), 1)}
-        sizes = np.array([len(p) + 1 for p in pieces])
+        words = Words(table.column("words").to_pylist())
+        sizes = np.diff(words.bounds) + 1
         starts = np.cumsum(sizes) - sizes
-        text = np.fromiter(
-            (x for p in pieces for x in (*map(number.__getitem__, p), 0)), np.int32, int(sizes.sum())
-        )
-        index = FMIndex(text, length)
-        piece_of = np.repeat(np.arange(len(pieces)), sizes)
+        # Symbol 0 ends every piece.
+        text = np.insert(symbols(words) + 1, words.bounds[1:], 0).astype(np.int32)
+        index = FMIndex(text)
         # Nothing is smaller than the smallest document of an anchor: its pieces are not streamed.
         _, group = np.unique(anchor, return_inverse=True)
         smallest = np.full(group.max() + 1, np.iinfo(np.int64).max)
@@ -188,16 +187,19 @@ def _search(settings: Settings):
         windows = sizes[asked] - length
         piece = np.repeat(asked, windows)
         place = np.arange(len(piece)) - np.repeat(np.cumsum(windows) - windows, windows)
-        which, low, high = index.repeated(starts[piece] + place, length)
+        matched, low, high = index.match(text, starts[piece] + place + length, length)
+        which = np.flatnonzero(matched >= length)
         if not which.size:
             return _found_rows(anchor, digest, which, which)
-        # Ranges of different windows don't overlap, so each is reduced once.
-        at, back = np.unique(low, return_inverse=True)
+        # Ranges of different windows don't overlap, so each is looked up once.
+        at, back = np.unique(low[which], return_inverse=True)
         until = np.zeros(len(at), np.int64)
-        until[back] = high
-        owners = np.append(doc[piece_of[index.order]], np.iinfo(np.int64).max)
-        edges = np.stack([at, until], axis=1).ravel()
-        least = np.minimum.reduceat(owners, edges)[::2]
+        until[back] = high[which]
+        counts = until - at
+        ends = np.cumsum(counts)
+        rows = np.arange(int(ends[-1])) + np.repeat(at - (ends - counts), counts)
+        owners = doc[np.searchsorted(starts, index.locate(rows), "right") - 1]
+        least = np.minimum.reduceat(owners, ends - counts)
         hit = which[least[back] < doc[piece[which]]]
         return _found_rows(anchor, digest, piece[hit], place[hit])
 
@@ -275,8 +277,9 @@ def repeated_ranges(docs: DataFrame, settings: Settings) -> DataFrame:
         ),
         "classes",
     )
+    size = F.col("owner.windows") + F.lit(settings.length - 1)
     numbers = stored(
-        classes.where("open").groupBy("anchor").agg(F.count("*").alias("n")), "numbers"
+        classes.where("open").groupBy("anchor").agg(F.sum(size).alias("n")), "numbers"
     )
     places = (
         classes.where("open")
@@ -296,7 +299,8 @@ def repeated_ranges(docs: DataFrame, settings: Settings) -> DataFrame:
         ),
         "words",
     )
-    shards = max(1, -(-words.count() // settings.shard))
+    total = numbers.where(F.col("n") <= settings.hot).agg(F.sum("n")).first()[0] or 0
+    shards = max(1, -(-total // settings.shard))
     shard = F.pmod(F.xxhash64("anchor"), F.lit(shards))
     searched = (
         words.where(F.col("n") <= settings.hot)

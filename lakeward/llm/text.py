@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 
 BLOCK_BYTES = 1 << 21
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -83,6 +84,17 @@ def runs(hashes: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
+def symbols(words: Words) -> np.ndarray:
+    """Numbers from 0 of the words of a block, equal exactly where words are."""
+    lengths = words.ends - words.starts
+    offsets = np.append(0, np.cumsum(lengths)).astype(np.int64)
+    letters = words.data[~_GAP[words.data]]
+    array = pa.Array.from_buffers(
+        pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]
+    )
+    return array.dictionary_encode().indices.to_numpy().astype(np.int64)
+
+
 def as_bytes(column) -> list[bytes]:
     """Texts of an Arrow column as UTF-8; null is empty."""
     return [t or b"" for t in column.cast("binary").to_pylist()]

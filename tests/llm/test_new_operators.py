@@ -9,6 +9,7 @@ import pytest
 import sentencepiece
 
 from lakeward.llm import periodic_runs, queries, sentence_pieces, whitening
+from lakeward.llm.text import Words, symbols
 from tests.llm import brute
 
 DRAW = random.Random(11)
@@ -120,8 +121,8 @@ def test_runs_of_many_short_alphabets():
     for _ in range(600):
         w = DRAW.choices("abcdefgh"[: DRAW.choice([1, 2, 3, 8])], k=DRAW.randint(0, 90))
         texts.append(" ".join(brute.tiled(DRAW.randrange(900), w) + w[: DRAW.randint(0, 20)]).encode())
-    words = periodic_runs.Words(texts)
-    found = periodic_runs.find(periodic_runs._symbols(words), words.bounds)
+    words = Words(texts)
+    found = periodic_runs.find(symbols(words), words.bounds)
     for i, text in enumerate(texts):
         assert found.get(i, []) == brute.periodic(text.decode().split())
 

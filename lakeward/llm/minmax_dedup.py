@@ -16,13 +16,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeward.llm.components import components
-from lakeward.llm.scratch import prepare, stored
+from lakeward.llm.scratch import in_tasks, prepare, stored
 from lakeward.llm.text import Words, as_bytes, blocks, mix, runs
 
 
 GROWTH = 64
 # Words of 64 bits in the sketch of a set.
 SKETCH = 16
+# A pair with its texts counts as so many rows.
+TEXTS = 32
 # Shingles permuted at a time: a work space that stays in the processor's cache.
 CHUNK = 1024
 # Bytes of text whose words are laid out together; the work space is about fifty times that.
@@ -209,29 +211,34 @@ def _links(
     with the fewest, the next pivots, link nearly all that can be linked.
     """
     first = members.withColumns({"component": F.col("id"), "u": F.lit(0).cast("long")})
+    rows = members.count()
     order = Window.partitionBy("bucket").orderBy(F.xxhash64("id"), "id")
     left = first.withColumn("place", F.row_number().over(order)).where("place = 1")
-    found = _turn(first, left, texts, None, settings)
-    now = stored(_joined(first, found), "members")
+    found = _turn(first, stored(in_tasks(left, rows), "pivots"), texts, None, settings)
+    now = stored(in_tasks(_joined(first, found), rows), "members")
     ends = now.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_ = stored(ends.where("low < high").select("bucket"), "buckets")
-    now = stored(now.drop("u").join(open_, "bucket", "left_semi"), "open")
-    if now.isEmpty():
+    open_ = stored(in_tasks(ends.where("low < high").select("bucket"), rows), "buckets")
+    now = now.drop("u").join(open_, "bucket", "left_semi")
+    now = stored(in_tasks(now.join(sketches, ["id", "n", "d1"]), rows), "open")
+    rows = now.count()
+    if not rows:
         return found
-    ids = stored(now.select(F.col("id").alias("doc_id")).distinct(), "ids")
-    alone = stored(_alone(texts.join(ids, "doc_id", "left_semi"), settings), "alone")
-    now = now.join(sketches, ["id", "n", "d1"]).join(alone, "id", "left")
-    rest = stored(_open(stored(now.withColumn("u", F.coalesce("u", F.lit(0))), "known"), settings), "open")
+    ids = stored(in_tasks(now.select(F.col("id").alias("doc_id")).distinct(), rows), "ids")
+    alone = _alone(texts.join(ids, "doc_id", "left_semi"), settings)
+    alone = stored(in_tasks(alone, rows), "alone")
+    now = now.join(alone, "id", "left").withColumn("u", F.coalesce("u", F.lit(0)))
+    rest = _open(stored(in_tasks(now, rows), "members"), settings)
     key, last, pivots = F.struct("u", F.xxhash64("id").alias("h"), "id"), None, 1
     order = Window.partitionBy("bucket").orderBy("u", F.xxhash64("id"), "id")
-    while not rest.isEmpty():
+    while rows := rest.count():
         free = rest
         if last is not None:
             free = rest.join(last, "bucket", "left").where(
                 F.col("last").isNull() | (key > F.col("last"))
             )
         ranked = free.withColumn("place", F.row_number().over(order))
-        left = stored(ranked.where(F.col("place") <= pivots).withColumn("key", key), "pivots")
+        left = ranked.where(F.col("place") <= pivots).withColumn("key", key)
+        left = stored(in_tasks(left, rows), "pivots")
         found = _turn(rest, left, texts, found, settings)
         newest = left.groupBy("bucket").agg(F.max("key").alias("newest"))
         if last is None:
@@ -240,8 +247,8 @@ def _links(
             last = newest.join(last, "bucket", "full").select(
                 "bucket", F.coalesce("newest", "last").alias("last")
             )
-        last, pivots = stored(last, "last"), GROWTH * pivots
-        rest = stored(_open(stored(_joined(rest, found), "members"), settings, last), "open")
+        last, pivots = stored(in_tasks(last, rows), "last"), GROWTH * pivots
+        rest = _open(stored(in_tasks(_joined(rest, found), rows), "members"), settings, last)
     return found
 
 
@@ -260,12 +267,16 @@ def _turn(
     may = _may_link(settings, F.col("n"), F.col("u"), F.col("m"), F.col("v"))
     if "odd" in members.columns:
         may &= _near(settings, F.col("n"), F.col("odd"), F.col("m"), F.col("other"))
+    rows = members.count()
     pairs = members.join(left, "bucket").where((F.col("component") != F.col("c")) & may)
-    pairs = pairs.select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct()
-    links = stored(_confirmed(stored(pairs, "pairs"), texts, settings), "confirmed")
+    pairs = pairs.select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b"))
+    pairs = stored(in_tasks(in_tasks(pairs, rows).distinct(), rows), "pairs")
+    # Every pair brings two texts along: fewer of them make a task.
+    links = _confirmed(pairs, texts, settings)
+    links = stored(in_tasks(links, TEXTS * pairs.count()), "confirmed")
     if found is not None:
         links = links.unionAll(found.select(F.col("id").alias("a"), F.col("component").alias("b")))
-    return stored(components(links), "components")
+    return stored(in_tasks(components(links), links.count()), "components")
 
 
 def _open(members: DataFrame, settings: Settings, last: DataFrame | None = None) -> DataFrame:
@@ -275,23 +286,23 @@ def _open(members: DataFrame, settings: Settings, last: DataFrame | None = None)
     buckets of one component, and those in which every member has been a pivot.
     """
     percent, n, u = settings.percent, F.col("n"), F.col("u")
+    rows = members.count()
     reach = (100 + percent) * (n - u)
-    best = members.groupBy("bucket").agg(
-        F.max(reach - percent * n).alias("best"), F.min(n).alias("least")
-    )
-    some = members.join(stored(best, "best"), "bucket").where(
-        (F.col("best") >= percent * n) & (reach >= percent * (n + F.col("least")))
-    )
-    some = stored(some.drop("best", "least"), "some")
-    buckets = some.groupBy("bucket").agg(
+    key = F.struct("u", F.xxhash64("id").alias("h"), "id")
+    buckets = members.groupBy("bucket").agg(
+        F.max(reach - percent * n).alias("best"),
+        F.min(n).alias("least"),
         F.min("component").alias("low"),
         F.max("component").alias("high"),
-        F.max(F.struct("u", F.xxhash64("id").alias("h"), "id")).alias("end"),
+        F.max(key).alias("end"),
     )
     buckets = buckets.where("low < high")
     if last is not None:
         buckets = buckets.join(last, "bucket", "left").where("last IS NULL OR end > last")
-    return some.join(stored(buckets.select("bucket"), "buckets"), "bucket", "left_semi")
+    buckets = stored(in_tasks(buckets.select("bucket", "best", "least"), rows), "buckets")
+    alive = (F.col("best") >= percent * n) & (reach >= percent * (n + F.col("least")))
+    some = members.join(buckets, "bucket").where(alive).drop("best", "least")
+    return stored(in_tasks(some, rows), "open")
 
 
 def near_duplicates(
@@ -322,39 +333,33 @@ def near_duplicates(
         "profile",
     )
     digest = ["n_shingles", "d1", "d2"]
-    classes = stored(
-        profile.where("n_shingles > 0")
-        .groupBy(*digest)
-        .agg(
-            F.min("doc_id").alias("rep"), F.min("bands").alias("bands"), F.min("odd").alias("odd")
-        ),
-        "classes",
+    classes = profile.where("n_shingles > 0").groupBy(*digest).agg(
+        F.min("doc_id").alias("rep"), F.min("bands").alias("bands"), F.min("odd").alias("odd")
     )
+    # A row of a class stands for its bands.
+    classes = stored(in_tasks(classes, settings.bands * profile.count()), "classes")
+    rows = settings.bands * classes.count()
     bands = classes.where("rep IS NOT NULL").select(
         F.col("rep").alias("id"),
         F.col("n_shingles").alias("n"),
         "d1",
         F.explode("bands").alias("bucket"),
     )
-    shared = stored(
-        bands.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1").select("bucket"),
-        "buckets",
-    )
-    members = stored(bands.join(shared, "bucket", "left_semi"), "members")
-    texts = stored(
-        slim.where("doc_id IS NOT NULL").join(
-            stored(members.select(F.col("id").alias("doc_id")).distinct(), "ids"), "doc_id", "left_semi"
-        ),
-        "texts",
+    shared = bands.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    shared = stored(in_tasks(shared.select("bucket"), rows), "buckets")
+    members = stored(in_tasks(bands.join(shared, "bucket", "left_semi"), rows), "members")
+    ids = members.select(F.col("id").alias("doc_id")).distinct()
+    texts = slim.where("doc_id IS NOT NULL").join(
+        stored(in_tasks(ids, rows), "ids"), "doc_id", "left_semi"
     )
+    texts = stored(in_tasks(texts, rows), "texts")
     sketches = classes.select(F.col("rep").alias("id"), F.col("n_shingles").alias("n"), "d1", "odd")
     found = _links(members, texts, sketches, settings)
     joined = classes.drop("bands", "odd").join(
         found.select(F.col("id").alias("rep"), "component"), "rep", "left"
     )
-    joined = stored(
-        joined.select(*digest, F.coalesce("component", "rep").alias("component")), "classes"
-    )
+    joined = joined.select(*digest, F.coalesce("component", "rep").alias("component"))
+    joined = stored(in_tasks(joined, rows), "classes")
     return profile.drop("bands", "odd").join(joined, digest, "left").select(
         *own,
         "n_shingles",

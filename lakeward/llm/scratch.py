@@ -13,6 +13,7 @@ from lakeward.sources.tables import shared_folder
 
 # Bytes of one batch handed to a Python worker; rows are cut by bytes, not only by number.
 BATCH_BYTES = "8m"
+ROWS_PER_TASK = 100_000
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -30,6 +31,13 @@ def prepare(spark: SparkSession) -> SparkSession:
     return tune(spark)
 
 
+def in_tasks(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` in a task for every ``ROWS_PER_TASK`` of the ``rows`` it is made from, not in one for
+    every partition of a shuffle, most of them nearly empty.
+    """
+    return df.coalesce(1 + rows // ROWS_PER_TASK)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` into the folder that the whole cluster shares and read it back.
 

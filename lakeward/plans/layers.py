@@ -58,14 +58,14 @@ class Layers:
     def checked(self, name: str) -> DataFrame:
         return ent.checked(ent.ENTITIES[name], self.raw(name), self.refs(name))
 
-    def stamped(self, name: str, rows: DataFrame) -> DataFrame:
+    def stamped(self, rows: DataFrame) -> DataFrame:
         """Rows of a silver or quarantine table with the time of their load."""
         return rows.withColumn(star.LOADED, F.lit(RUN_TS).cast("timestamp"))
 
     def finished(self, name: str, rows: DataFrame) -> DataFrame:
         """Valid rows as silver has them: a policy also has its age."""
         rows = ent.with_policy_age(rows, AS_OF) if name == "policy" else rows
-        return self.stamped(name, rows)
+        return self.stamped(rows)
 
     def valid(self, name: str) -> DataFrame:
         rows = ent.valid(ent.ENTITIES[name], self.raw(name), self.refs(name))
@@ -73,7 +73,7 @@ class Layers:
 
     def quarantined(self, name: str) -> DataFrame:
         rows = ent.quarantined(ent.ENTITIES[name], self.raw(name), self.refs(name))
-        return self.stamped(name, rows)
+        return self.stamped(rows)
 
     def _store(self, name: str, write) -> str:
         """The folder of a stored table; ``write`` fills it once."""
@@ -106,7 +106,7 @@ class Layers:
         entity = ent.ENTITIES[name]
         rows = self.routed(name).where(F.col("_route") == QUARANTINE)
         return self.stamped(
-            name, rows.select(*entity.quarantine_columns, "error_reason", "error_reasons")
+            rows.select(*entity.quarantine_columns, "error_reason", "error_reasons")
         )
 
     def load_dimension(self, name: str, rows: DataFrame, load: int) -> DataFrame:

@@ -45,6 +45,8 @@ SPLIT_NAME = "Job\ntitle"
 ROWS_PER_DOCUMENT = 5_000
 WATERMARK = "1 day"
 EARLY = "1995-06-17"
+# What is held back is older than the first arrival by far more than the watermark's delay.
+HELD = "1995-06-01"
 FILES_PER_ARRIVAL = 4
 
 
@@ -139,7 +141,7 @@ def stream_dedup_table(spark: SparkSession, claims: DataFrame) -> DataFrame:
     """
     root = _new_folder(spark, "stream")
     early = F.col("incident_date") < EARLY
-    held = early & (F.col("number_of_vehicles_involved") == "3")
+    held = (F.col("incident_date") < HELD) & (F.col("number_of_vehicles_involved") == "3")
     newest = claims.agg(F.max("incident_date")).first()[0]
     again = F.col("incident_date") == F.lit(newest)
     for number, rows in enumerate(

@@ -699,7 +699,7 @@ FROM ({_domain('Customer Profile', 'kpi_customer')} UNION ALL
     # --- streaming ---
     "stream_dedup_watermark": _with("claims_clean")
     + f"""SELECT DISTINCT {_shown(CLAIM, times=CLAIM_TIMES)} FROM claims_clean
-WHERE NOT (incident_date < DATE '1995-06-17' AND number_of_vehicles_involved = 3)""",
+WHERE NOT (incident_date < DATE '1995-06-01' AND number_of_vehicles_involved = 3)""",
     "stream_fact_claims": _with("fact_claims")
     + f"""SELECT claim_id, policy_id AS policy_number, customer_id,
   {_shown(CLAIM_TIMES, times=CLAIM_TIMES)}, incident_state, incident_city, incident_location,

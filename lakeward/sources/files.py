@@ -239,13 +239,15 @@ def json_records(texts: DataFrame, schema: str) -> DataFrame:
         F.coalesce(every, F.array().cast("array<map<string, variant>>")).alias("_every"),
         F.to_json(F.struct(value.alias("_broken"))).alias("_broken"),
     )
-    # An empty array has no records; a text that cannot be parsed is one.
-    some = F.col("_declared").isNull() | (F.size("_declared") > 0)
-    rows = parsed.where(some).select(
+    # What is exploded must not come along with every record: first the mark, then the records.
+    marked = parsed.select(
         *carried,
         F.when(F.col("_declared").isNull(), F.col("_broken")).alias("_broken"),
-        F.explode_outer(F.arrays_zip("_declared", "_every")).alias("_record"),
+        F.arrays_zip("_declared", "_every").alias("_records"),
     )
+    rows = marked.select(*carried, "_broken", F.explode_outer("_records").alias("_record"))
+    # An empty array has no records; a text that cannot be parsed is one.
+    rows = rows.where(F.col("_record").isNotNull() | F.col("_broken").isNotNull())
     fields, others = F.col("_record._declared"), F.col("_record._every")
     others = F.map_filter(others, lambda key, _: ~key.isin(names))
     others = F.nullif(F.to_json(others, {"ignoreNullFields": "true"}), F.lit("{}"))

@@ -38,7 +38,7 @@ from lakeward.operators.dedup import (
 )
 from lakeward.operators.keys import flag_orphans, orphans, require_fk
 from lakeward.plans import entities as ent
-from lakeward.plans import kpi, reports
+from lakeward.plans import answers, kpi, reports
 from lakeward.plans.exercises import (
     csv_drift_table,
     incremental_table,
@@ -630,9 +630,10 @@ def _(layers: Layers) -> DataFrame:
 
 @query("generated_briefs")
 def _(layers: Layers) -> DataFrame:
-    """Flagged claims with the prompt for their brief."""
-    prompts = reports.claim_prompts(layers.scored, BRIEF_TEMPLATE)
-    return prompts.withColumn("anomaly_score", F.round("anomaly_score", 6))
+    """Flagged claims with their brief and the prompt for it."""
+    generator = answers.by_rules("To do: ", ", rules ", answers.CHECKS, "nothing")
+    briefs = reports.claim_briefs(layers.scored, BRIEF_TEMPLATE, generator, with_prompt=True)
+    return briefs.withColumn("anomaly_score", F.round("anomaly_score", 6))
 
 
 @query("dq_explanations")

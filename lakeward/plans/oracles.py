@@ -440,6 +440,12 @@ _BRIEF = """'Claim ' || claim_id || ': ' || incident_type || ', ' || incident_se
   || report_delay_days || ' days, rules ' || rules || '. What should be looked into?'"""
 _ISSUE = """affected_records || ' rows of ' || table_name || ' are in quarantine for ''' || rule_name
   || ''' (' || severity || '). What may have caused this?'"""
+_CHECKS = """'To do: ' || coalesce(nullif(concat_ws('; ',
+    if(contains(rules, 'R1'), 'compare the amount with other claims', NULL),
+    if(contains(rules, 'R2'), 'have the damage inspected', NULL),
+    if(contains(rules, 'R3'), 'read the earlier claims of the policy', NULL),
+    if(contains(rules, 'R4'), 'ask why it was reported late', NULL),
+    if(contains(rules, 'R5'), 'ask for a police report or a witness', NULL)), ''), 'nothing') || '.'"""
 
 
 def _domain(name: str, block: str) -> str:
@@ -684,9 +690,10 @@ ORDER BY timestamp DESC, question_id LIMIT 10""",
     "response_text_extract": """SELECT conv_id, turn,
   CASE WHEN role IN ('user', 'assistant') THEN coalesce(text, '') ELSE '' END AS answer
 FROM conversations""",
-    # --- prompts ---
+    # --- generated text (answers by rules) ---
     "generated_briefs": _with("tiered")
-    + f"SELECT {_REPORT}, {_BRIEF} AS prompt FROM tiered WHERE tier <> 'NORMAL'",
+    + f"""SELECT {_REPORT}, {_CHECKS} AS investigation_brief, {_BRIEF} AS prompt FROM tiered
+WHERE tier <> 'NORMAL'""",
     "dq_explanations": _with("issues_rated")
     + f"""SELECT (row_number() OVER (ORDER BY table_name, rule_name))::VARCHAR AS issue_id,
   table_name, rule_name, severity, affected_records, {_ISSUE} AS prompt FROM issues_rated""",

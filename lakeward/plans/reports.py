@@ -31,11 +31,17 @@ def claim_prompts(scored: DataFrame, template: str) -> DataFrame:
     return flagged(scored).select(*REPORT_COLUMNS, _prompt(template, names, property=amount))
 
 
-def claim_briefs(scored: DataFrame, template: str, generator: Generator, **options) -> DataFrame:
+def claim_briefs(
+    scored: DataFrame,
+    template: str,
+    generator: Generator,
+    with_prompt: bool = False,
+    **options,
+) -> DataFrame:
     """Flagged claims with an investigation brief."""
     prompts = claim_prompts(scored, template)
     written = with_generated(prompts, "prompt", "investigation_brief", generator, **options)
-    return written.select(*REPORT_COLUMNS, "investigation_brief")
+    return written.select(*REPORT_COLUMNS, "investigation_brief", *["prompt"] * with_prompt)
 
 
 def issue_prompts(issues: DataFrame, template: str) -> DataFrame:
@@ -56,6 +62,7 @@ def issue_explanations(
     model_name: str,
     run_ts: Column,
     generator: Generator,
+    with_prompt: bool = False,
     **options,
 ) -> DataFrame:
     """One explanation per quality issue, with the state of the call."""
@@ -68,6 +75,7 @@ def issue_explanations(
         F.lit(model_name).alias("model_name"),
         "generation_status",
         run_ts.alias("generated_timestamp"),
+        *["prompt"] * with_prompt,
     )
 
 
@@ -93,6 +101,7 @@ def domain_summaries(
     model_name: str,
     run_ts: Column,
     generator: Generator,
+    with_prompt: bool = False,
     **options,
 ) -> DataFrame:
     """Executive summary per domain; the status is that of the call, failures included."""
@@ -105,6 +114,7 @@ def domain_summaries(
         run_ts.alias("created_at"),
         F.lit(model_name).alias("model_name"),
         F.col("generation_status").alias("status"),
+        *["prompt"] * with_prompt,
     )
 
 

@@ -638,8 +638,12 @@ def _(layers: Layers) -> DataFrame:
 
 @query("dq_explanations")
 def _(layers: Layers) -> DataFrame:
-    """Quality issues with the prompt for their explanation."""
-    return reports.issue_prompts(layers.issues, ISSUE_TEMPLATE)
+    """Quality issues with their explanation, the state of the call and the prompt for it."""
+    generator = answers.by_rules("Likely cause: ", " for '", answers.CAUSES, "not known")
+    written = F.lit(RUN_TS).cast("timestamp")
+    return reports.issue_explanations(
+        layers.issues, ISSUE_TEMPLATE, answers.MODEL, written, generator, with_prompt=True
+    )
 
 
 @query("domain_summaries")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 AS_OF = "2003-01-01"
 RUN_TS = "2024-01-31 00:00:00"
+MODEL = "rules"
 
 
 def _title(x: str) -> str:
@@ -446,6 +447,14 @@ _CHECKS = """'To do: ' || coalesce(nullif(concat_ws('; ',
     if(contains(rules, 'R3'), 'read the earlier claims of the policy', NULL),
     if(contains(rules, 'R4'), 'ask why it was reported late', NULL),
     if(contains(rules, 'R5'), 'ask for a police report or a witness', NULL)), ''), 'nothing') || '.'"""
+_CAUSES = """'Likely cause: ' || coalesce(nullif(concat_ws('; ',
+    if(rule_name ILIKE '%null%', 'the source left the value out', NULL),
+    if(rule_name ILIKE '%not found%', 'the row referred to is missing or in quarantine itself', NULL),
+    if(rule_name ILIKE '%duplicate%', 'one value was entered twice', NULL),
+    if(rule_name ILIKE '%negative%', 'a sign is wrong', NULL),
+    if(rule_name ILIKE '%invalid%', 'the value is outside its domain or of another format', NULL)),
+  ''), 'not known') || '.'"""
+_STATE = f"'{MODEL}' AS model_name, 'SUCCESS' AS"
 
 
 def _domain(name: str, block: str) -> str:
@@ -696,7 +705,9 @@ FROM conversations""",
 WHERE tier <> 'NORMAL'""",
     "dq_explanations": _with("issues_rated")
     + f"""SELECT (row_number() OVER (ORDER BY table_name, rule_name))::VARCHAR AS issue_id,
-  table_name, rule_name, severity, affected_records, {_ISSUE} AS prompt FROM issues_rated""",
+  table_name, rule_name, severity, affected_records, {_CAUSES} AS ai_explanation,
+  {_STATE} generation_status, '{RUN_TS}' AS generated_timestamp, {_ISSUE} AS prompt
+FROM issues_rated""",
     "domain_summaries": _with("kpi_customer", "kpi_policy", "kpi_claims")
     + f"""SELECT domain, kpi_json,
   domain || ', in figures: ' || kpi_json || ' Which of them stand out?' AS prompt

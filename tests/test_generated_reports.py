@@ -17,3 +17,12 @@ def test_every_flagged_claim_has_a_brief(spark):
     assert rows and all(r["investigation_brief"].startswith("To do: ") for r in rows)
     for rule, check in (("R2", "damage inspected"), ("R5", "police report")):
         assert all((rule in r[0]) == (check in r[1]) for r in rows)
+
+
+def test_every_issue_has_an_explanation_and_a_state(spark):
+    issues = QUERIES["dq_explanations"](spark, SF_DIR)
+    assert {"issue_id", "model_name", "generated_timestamp", "prompt"} < set(issues.columns)
+    rows = issues.select("rule_name", "ai_explanation", "generation_status").collect()
+    assert rows and {r["generation_status"] for r in rows} == {"SUCCESS"}
+    told = {r["rule_name"]: r["ai_explanation"] for r in rows}
+    assert told["negative balance"] == "Likely cause: a sign is wrong."

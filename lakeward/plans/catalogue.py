@@ -648,13 +648,17 @@ def _(layers: Layers) -> DataFrame:
 
 @query("domain_summaries")
 def _(layers: Layers) -> DataFrame:
-    """The figures of each domain as JSON, with the prompt for their summary."""
+    """The figures of each domain as JSON, with their summary, the state and the prompt for it."""
     kpis = {
         "Customer Profile": _rounded(kpi.customer_kpis(layers.dim_customers)),
         "Policy Portfolio": _rounded(kpi.policy_kpis(layers.dim_policy)),
         "Claims Performance": _rounded(kpi.claims_kpis(layers.fact_claims)),
     }
-    return reports.summary_prompts(kpis, SUMMARY_TEMPLATE)
+    generator = answers.in_words(", in figures: ")
+    written = F.lit(RUN_TS).cast("timestamp")
+    return reports.domain_summaries(
+        kpis, SUMMARY_TEMPLATE, answers.MODEL, written, generator, with_prompt=True
+    )
 
 
 # --- streaming ----------------------------------------------------------------------------

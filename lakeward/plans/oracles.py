@@ -455,6 +455,8 @@ _CAUSES = """'Likely cause: ' || coalesce(nullif(concat_ws('; ',
     if(rule_name ILIKE '%invalid%', 'the value is outside its domain or of another format', NULL)),
   ''), 'not known') || '.'"""
 _STATE = f"'{MODEL}' AS model_name, 'SUCCESS' AS"
+_IN_WORDS = """domain || ': ' || replace(replace(replace(replace(trim(kpi_json, '{}'),
+  '"', ''), ',', ', '), ':', ' '), '_', ' ') || '.'"""
 
 
 def _domain(name: str, block: str) -> str:
@@ -709,8 +711,8 @@ WHERE tier <> 'NORMAL'""",
   {_STATE} generation_status, '{RUN_TS}' AS generated_timestamp, {_ISSUE} AS prompt
 FROM issues_rated""",
     "domain_summaries": _with("kpi_customer", "kpi_policy", "kpi_claims")
-    + f"""SELECT domain, kpi_json,
-  domain || ', in figures: ' || kpi_json || ' Which of them stand out?' AS prompt
+    + f"""SELECT domain, {_IN_WORDS} AS executive_summary, kpi_json, '{RUN_TS}' AS created_at,
+  {_STATE} status, domain || ', in figures: ' || kpi_json || ' Which of them stand out?' AS prompt
 FROM ({_domain('Customer Profile', 'kpi_customer')} UNION ALL
   {_domain('Policy Portfolio', 'kpi_policy')} UNION ALL
   {_domain('Claims Performance', 'kpi_claims')})""",

@@ -1,5 +1,6 @@
 """The queries of generated text give the whole reports, not only what a model would be asked."""
 
+import json
 from pathlib import Path
 
 import pytest
@@ -26,3 +27,13 @@ def test_every_issue_has_an_explanation_and_a_state(spark):
     assert rows and {r["generation_status"] for r in rows} == {"SUCCESS"}
     told = {r["rule_name"]: r["ai_explanation"] for r in rows}
     assert told["negative balance"] == "Likely cause: a sign is wrong."
+
+
+def test_every_domain_has_a_summary_and_a_state(spark):
+    domains = QUERIES["domain_summaries"](spark, SF_DIR)
+    assert {"kpi_json", "created_at", "model_name", "prompt"} < set(domains.columns)
+    rows = domains.select("domain", "executive_summary", "status", "kpi_json").collect()
+    assert len(rows) == 3 and {r["status"] for r in rows} == {"SUCCESS"}
+    for row in rows:
+        for name, value in json.loads(row["kpi_json"], parse_int=str, parse_float=str).items():
+            assert f"{name.replace('_', ' ')} {value}" in row["executive_summary"]

@@ -49,15 +49,30 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFr
         for batch in batches:
             texts = as_bytes(batch.column("text"))
             for a, b in blocks(texts, BLOCK):
-                layout = Layout(texts[a:b])
-                ids, counts = encoder.ids(*layout.pieces(before_words(layout)))
+                ids, counts = _ids(file, encoder, texts[a:b])
                 yield _cut(batch.column("doc_id").slice(a, b - a), ids, counts, capacity)
-        file.known.clear()
+        file.forget()
 
     slim = docs.select(F.col("doc_id").cast("long"), "text")
     return slim.mapInArrow(run, "doc_id long, piece int, start long, length long, ids binary")
 
 
+def _ids(
+    file: FileEncoder, encoder: Encoder, texts: list[bytes]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts one after another, and the number of ids of each."""
+    packed = file.whole(texts, BLOCK)
+    rest = [i for i, ids in enumerate(packed) if ids is None]
+    if rest:
+        layout = Layout([texts[i] for i in rest])
+        ids, counts = encoder.ids(*layout.pieces(before_words(layout)))
+        ends, data = np.append(0, 4 * np.cumsum(counts)).tolist(), ids.tobytes()
+        for i, start, end in zip(rest, ends, ends[1:]):
+            packed[i] = data[start:end]
+    lengths = np.fromiter(map(len, packed), np.int64, len(packed))
+    return np.frombuffer(b"".join(packed), "<u4"), lengths // 4
+
+
 def _cut(doc_id: pa.Array, ids: np.ndarray, counts: np.ndarray, capacity: int) -> pa.RecordBatch:
     """Pieces of documents whose ids follow each other in ``ids``, each closed by the end id."""
     ends = np.cumsum(counts)

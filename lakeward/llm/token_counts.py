@@ -6,8 +6,9 @@ import hashlib
 import json
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -15,14 +16,18 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeward.llm.gather import LONGEST
 from lakeward.llm.pieces import PieceCache, cut
 from lakeward.llm.scratch import prepare, stored
 from lakeward.llm.text import blocks
 from lakeward.sources.tables import optional_path
 
 MAX_WORDS = 200_000
+MAX_KEPT = 120_000
 _MARK = b"\xff\xff\xff\xff"
 BEYOND_LATIN = "\u0250"
+# Control characters that are not white space, and first bytes of characters from U+0240 on.
+_BEYOND = bytes([*range(0x09), *range(0x0E, 0x20), 0x7F, *range(0xC9, 0x100)])
 CACHE_SCHEMA = "digest binary, version string, n_tokens long"
 
 
@@ -57,6 +62,30 @@ def _splitters(spec: dict):
     return re.compile("\n|" + simple).findall, latin.findall
 
 
+class _Packed(dict):
+    """Packed ids by word, made when first asked for, in two generations of ``MAX_KEPT`` words; a
+    word of over ``LONGEST`` characters is not kept.
+    """
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make = make
+        self.old: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.make(word)
+        if len(word) <= LONGEST:
+            self[word] = ids
+        return ids
+
+    def shorten(self) -> None:
+        if len(self) > MAX_KEPT:
+            self.old = dict(self)
+            self.clear()
+
+
 class FileEncoder:
     """Pieces to token ids by the library's own normaliser, splitter and merges."""
 
@@ -73,6 +102,7 @@ class FileEncoder:
         hidden = [b for b in range(256) if b not in set(visible)]
         self.letters = {b: 256 + i for i, b in enumerate(hidden)}
         self.known: dict[str, bytes] = {}
+        self.forget()
 
     def __call__(self, piece: str) -> list[int]:
         if any(token in piece for token in self.special):
@@ -100,6 +130,44 @@ class FileEncoder:
                 out[i] = np.array(self(pieces[i]), "<u4").tobytes()
         return out
 
+    def forget(self) -> None:
+        self.known.clear()
+        self.tokens, self.chunks = _Packed(self._merged), _Packed(self._split)
+
+    def _merged(self, token: str) -> bytes:
+        # Printable ASCII spells itself.
+        spelled = token
+        if not token.isascii():
+            spelled = token.encode().decode("latin-1").translate(self.letters)
+        ids = [t.id for t in self.tokenizer.model.tokenize(spelled)]
+        return pack(f"<{len(ids)}I", *ids)
+
+    def _split(self, chunk: str) -> bytes:
+        split = self.ascii if chunk.isascii() else self.latin
+        return b"".join(map(self.tokens.__getitem__, split(chunk)))
+
+    def whole(self, texts: Sequence[bytes], limit: int) -> list[bytes | None]:
+        """Packed ids of whole UTF-8 texts; None for those that are left to :meth:`packed`.
+
+        Where the vocabulary allows it a text of at most ``limit`` bytes, of Latin letters, without
+        control characters and special strings, falls apart at white space, which no token
+        crosses; ids are made once per distinct chunk, merges asked for once per distinct token.
+        """
+        out: list[bytes | None] = [None] * len(texts)
+        if not self.latin:
+            return out
+        special = [token.encode() for token in self.special]
+        for i, text in enumerate(texts):
+            if len(text) > limit or len(text.translate(None, _BEYOND)) < len(text):
+                continue
+            if any(token in text for token in special):
+                continue
+            self.tokens.shorten()
+            self.chunks.shorten()
+            chunks = text.decode().lower().split()
+            out[i] = b"".join(map(self.chunks.__getitem__, chunks))
+        return out
+
     def _together(self, pieces: list[str], which: list[int], split, out: list) -> None:
         if self.odd.search("\n".join([pieces[i] for i in which])):
             which = [i for i in which if not self.odd.search(pieces[i])]

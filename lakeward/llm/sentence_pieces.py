@@ -54,6 +54,14 @@ class Vocabulary:
         self.unused = {p for p, i in self.ids.items() if lib.is_unused(i)}
         # Words may be encoded by themselves if no piece leads from a word into the next space.
         self.apart = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.ids)
+        # Pairs of ASCII characters that stand side by side in no piece: no merge crosses them.  A
+        # cut there changes nothing where unknown symbols are spelled one by one.
+        self.never = np.zeros((256, 256), bool)
+        self.never[:128, :128] = bool(self.bytes)
+        for piece in self.ids:
+            for a, b in zip(piece, piece[1:]):
+                if a < "\x80" and b < "\x80":
+                    self.never[ord(a), ord(b)] = False
         # The first space of a text stands for none if the model puts one before every text.
         self.prefixed = lib.normalize("a").startswith(SPACE)
         surface = [p.replace(SPACE, " ").encode() for p in names]
@@ -90,6 +98,8 @@ class Vocabulary:
         for name, i in self.symbol.items():
             if len(name) == 1:
                 self.of_char[ord(name)] = i
+        # With byte pieces what a symbol gives does not depend on the ones beside it.
+        self.of_symbol = lru_cache(1 << 16)(lambda s: self._packed([self._name(s)]))
         out = [self._packed([s]) for s in self.symbol]
         self.out = np.frombuffer(b"".join(out), "<u4")
         self.out_lengths = np.fromiter(map(len, out), np.int64, len(out)) // 4
@@ -145,7 +155,11 @@ class Vocabulary:
             symbols = self._together(self.of_char[chars].astype(np.int64))
             known = (symbols < len(self.names)).all(axis=1)
             for i, row in zip(which[~known].tolist(), symbols[~known].tolist(), strict=True):
-                out[i] = self._packed([self._name(s) for s in row if s >= 0])
+                left = [s for s in row if s >= 0]
+                if self.bytes:
+                    out[i] = b"".join(map(self.of_symbol, left))
+                else:
+                    out[i] = self._packed([self._name(s) for s in left])
             symbols = symbols[known]
             flat = symbols[symbols >= 0]
             ids = gathered(self.out, self.out_starts[flat], self.out_lengths[flat]).tobytes()
@@ -218,7 +232,8 @@ class Vocabulary:
             data, mark = layout.data, SPACE.encode()
             at = np.flatnonzero(data[:-2] == mark[0])
             at = at[(data[at + 1] == mark[1]) & (data[at + 2] == mark[2])]
-            cuts = at[np.append(True, at[1:] - at[:-1] > len(mark))] if at.size else at
+            spaces = at[np.append(True, at[1:] - at[:-1] > len(mark))] if at.size else at
+            cuts = np.append(spaces, np.flatnonzero(self.never[data[:-1], data[1:]]) + 1)
         ids, counts = self.cache.ids(*layout.pieces(cuts))
         return ids.astype(np.int32), counts
 

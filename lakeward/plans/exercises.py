@@ -15,6 +15,7 @@ from lakeward.plans import entities as ent
 from lakeward.operators import rules
 from lakeward.operators.rules import VALID
 from lakeward.plans import star
+from lakeward.session import release_shuffles
 from lakeward.sources.files import ingest_csv, ingest_json, read_bronze
 from lakeward.sources.tables import optional_path, shared_folder
 from lakeward.streaming.steps import (
@@ -47,7 +48,12 @@ WATERMARK = "1 day"
 EARLY = "1995-06-17"
 # What is held back is older than the first arrival by far more than the watermark's delay.
 HELD = "1995-06-01"
+# An arrival is dealt to as many files as give each about so many rows, in every arrival as many.
 FILES_PER_ARRIVAL = 4
+ROWS_PER_FILE = 100_000
+LEAST_ROWS_PER_FILE = 1_000
+# Landed text repeats its keys in every record.
+PACKED = {"compression": "gzip"}
 
 
 def _new_folder(spark: SparkSession, name: str) -> str:
@@ -65,6 +71,12 @@ def _write_csv(df: DataFrame, path: str) -> None:
     writer.csv(path)
 
 
+def _land_json(rows: DataFrame, path: str) -> None:
+    """JSON lines as they land, packed; what the rows were shuffled for is not kept."""
+    rows.write.options(**PACKED).json(path)
+    release_shuffles(rows.sparkSession)
+
+
 def csv_drift_table(spark: SparkSession, customers: DataFrame) -> DataFrame:
     """Each customer goes to the file set whose alias column it fills."""
     landing, bronze = _new_folder(spark, "landing"), _new_folder(spark, "bronze")
@@ -142,19 +154,22 @@ def stream_dedup_table(spark: SparkSession, claims: DataFrame) -> DataFrame:
     root = _new_folder(spark, "stream")
     early = F.col("incident_date") < EARLY
     held = (F.col("incident_date") < HELD) & (F.col("number_of_vehicles_involved") == "3")
-    newest = claims.agg(F.max("incident_date")).first()[0]
+    newest, *counts = claims.agg(
+        F.max("incident_date"), F.count_if(early & ~held), F.count_if(~early), F.count_if(held)
+    ).first()
     again = F.col("incident_date") == F.lit(newest)
+    # A batch is told by its number of files, so no file of the smallest arrival may be empty.
+    files = min(max(counts) // ROWS_PER_FILE, min(counts) // LEAST_ROWS_PER_FILE)
+    files = max(FILES_PER_ARRIVAL, files)
     for number, rows in enumerate(
         [claims.where(early & ~held), claims.where(~early), claims.where(held | again)]
     ):
-        rows.repartition(FILES_PER_ARRIVAL).write.json(f"{root}/landing/claims_{number}")
+        _land_json(rows.repartition(files), f"{root}/landing/claims_{number}")
     schema = ", ".join(f"{c} string" for c in claims.columns)
     step = Step(
         "silver",
         lambda s: dedup_stream(
-            ent.clean_claims(
-                stream_json_lines(s, f"{root}/landing", schema, FILES_PER_ARRIVAL)
-            ),
+            ent.clean_claims(stream_json_lines(s, f"{root}/landing", schema, files)),
             "incident_date",
             WATERMARK,
             ent.CLAIMS.dedup_columns,
@@ -210,7 +225,7 @@ def stream_facts(spark: SparkSession, claims: DataFrame, policy_path: str) -> Da
     for number, rows in enumerate(
         [claims.where(~F.col("ClaimID").endswith("R")), claims.where(F.col("ClaimID").endswith("R"))]
     ):
-        rows.write.json(f"{root}/landing/claims_{number}")
+        _land_json(rows, f"{root}/landing/claims_{number}")
         run_steps(spark, steps, f"{root}/checkpoints", f"{root}/log")
     return spark.read.parquet(f"{root}/facts")
 
@@ -231,7 +246,7 @@ def stream_references(spark: SparkSession, claims: DataFrame, policy: DataFrame)
         (claims.where(~first), policy.where(odd)),
     ]
     for number, (some, known) in enumerate(arrivals):
-        some.write.json(f"{root}/landing/claims_{number}")
+        _land_json(some, f"{root}/landing/claims_{number}")
         known.write.mode("append").parquet(f"{root}/arrived")
         run_steps(spark, steps, f"{root}/checkpoints", f"{root}/log")
     return spark.read.parquet(f"{root}/checked")
@@ -266,9 +281,9 @@ def stream_run_log(spark: SparkSession, cars: DataFrame) -> DataFrame:
 def stream_json_lines(
     spark: SparkSession, landing: str, schema: str, files_per_batch: int | None = None
 ) -> DataFrame:
-    """JSON lines as written by Spark: one record per line, files split across tasks."""
+    """JSON lines as written by Spark, packed or not: one record per line."""
     return stream_json(
-        spark, landing, schema, "part-*.json", _run_ts(), multi_line=False,
+        spark, landing, schema, "part-*.json*", _run_ts(), multi_line=False,
         files_per_batch=files_per_batch,
     )
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -16,3 +18,13 @@ def tune(spark: SparkSession) -> SparkSession:
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
     return spark
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Delete the files of shuffles that no plan needs any more.
+
+    Spark deletes them when the driver collects its garbage, which a driver that only waits for
+    its executors rarely does: a run of several steps would keep the files of all of them.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

@@ -231,9 +231,13 @@ def json_records(texts: DataFrame, schema: str) -> DataFrame:
     value, names = F.col("value"), T.DataType.fromDDL(schema).names
     carried = [c for c in texts.columns if c != "value"]
     declared = F.from_json(value, f"array<struct<{schema}>>")
-    every = F.when(
-        value.rlike(r"^\s*\["), F.from_json(value, "array<map<string, variant>>")
-    ).otherwise(F.array(F.from_json(value, "map<string, variant>")))
+    # Most objects have declared keys only: then there is nothing to look for in them again.
+    undeclared = F.array_except(F.json_object_keys(value), F.array(*map(F.lit, names)))
+    every = (
+        F.when(value.rlike(r"^\s*\["), F.from_json(value, "array<map<string, variant>>"))
+        .when(F.size(undeclared) == 0, F.array(F.lit(None).cast("map<string, variant>")))
+        .otherwise(F.array(F.from_json(value, "map<string, variant>")))
+    )
     parsed = texts.where(value.rlike(r"\S")).select(
         *carried, declared.alias("_declared"),
         F.coalesce(every, F.array().cast("array<map<string, variant>>")).alias("_every"),

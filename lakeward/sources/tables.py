@@ -47,11 +47,13 @@ def query(spark: SparkSession, sql: str, **views: DataFrame) -> DataFrame:
 
 # The partition column of tables that are written load by load.
 LOAD = "_load_id"
+# Stored tables that only Spark reads again: about two thirds of what Spark's default takes.
+STORED = {"compression": "zstd"}
 
 
 def write_load(rows: DataFrame, path: str, load: int, partition_by: Sequence[str] = ()) -> None:
     """The partition of one load; written again, it replaces itself."""
-    writer = rows.write.mode("overwrite")
+    writer = rows.write.mode("overwrite").options(**STORED)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{path}/{LOAD}={load}")

@@ -6,7 +6,10 @@ Files go to a new folder under the shared folder on every call.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,10 +51,12 @@ WATERMARK = "1 day"
 EARLY = "1995-06-17"
 # What is held back is older than the first arrival by far more than the watermark's delay.
 HELD = "1995-06-01"
-# An arrival is dealt to as many files as give each about so many rows, in every arrival as many.
+# An arrival is dealt to files of about so many rows, in every arrival as many.
 FILES_PER_ARRIVAL = 4
 ROWS_PER_FILE = 100_000
 LEAST_ROWS_PER_FILE = 1_000
+# Other landed files have at most so many.
+LANDED_ROWS = 100_000
 # Landed text repeats its keys in every record.
 PACKED = {"compression": "gzip"}
 
@@ -72,8 +77,11 @@ def _write_csv(df: DataFrame, path: str) -> None:
 
 
 def _land_json(rows: DataFrame, path: str) -> None:
-    """JSON lines as they land, packed; what the rows were shuffled for is not kept."""
-    rows.write.options(**PACKED).json(path)
+    """JSON lines as they land, packed; what the rows were shuffled for is not kept.
+
+    A packed file is read by one task, so none is large.
+    """
+    rows.write.options(**PACKED, maxRecordsPerFile=LANDED_ROWS).json(path)
     release_shuffles(rows.sparkSession)
 
 
@@ -127,21 +135,29 @@ def json_table(spark: SparkSession, claims: DataFrame) -> DataFrame:
     second = extra.where(F.coalesce(~early, F.lit(True)))
     for number, rows in enumerate([first, second]):
         _write_documents(rows, f"{landing}/claims {number}")
-        ingest_json(spark, landing, "part-*.txt", bronze, fields, _run_ts(), path_word="claims")
+        ingest_json(spark, landing, "part-*.txt*", bronze, fields, _run_ts(), path_word="claims")
     return read_bronze(spark, bronze)
 
 
 def _write_documents(rows: DataFrame, path: str) -> None:
-    documents = max(1, rows.count() // ROWS_PER_DOCUMENT)
-    record = F.to_json(F.struct("*"), {"pretty": "true"})
-    # A document is picked by the hash of the whole record, so hot claims spread evenly.
-    placed = rows.select(record.alias("r")).withColumn(
-        "doc", F.pmod(F.xxhash64("r"), F.lit(documents))
-    )
-    arrays = placed.groupBy("doc").agg(F.collect_list("r").alias("rs"))
-    arrays.select(
-        F.concat(F.lit("[\n"), F.array_join("rs", ",\n"), F.lit("\n]")).alias("value"), "doc"
-    ).write.partitionBy("doc").text(path)
+    """One packed file per document, an array of at most ``ROWS_PER_DOCUMENT`` records.
+
+    Narrow: a task joins the records that it has anyway, and a file takes one document.
+    """
+    records = rows.select(F.to_json(F.struct("*"), {"pretty": "true"}).alias("r"))
+    documents = records.mapInArrow(_documents, "value string")
+    documents.write.options(**PACKED, maxRecordsPerFile=1).text(path)
+    release_shuffles(rows.sparkSession)
+
+
+def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Records as JSON arrays: what comes in a batch, cut by ``ROWS_PER_DOCUMENT``."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS_PER_DOCUMENT):
+            own = batch.column(0).slice(start, ROWS_PER_DOCUMENT)
+            whole = pa.ListArray.from_arrays(pa.array([0, len(own)], pa.int32()), own)
+            text = pc.binary_join_element_wise("[\n", pc.binary_join(whole, ",\n"), "\n]", "")
+            yield pa.RecordBatch.from_arrays([text], ["value"])
 
 
 def stream_dedup_table(spark: SparkSession, claims: DataFrame) -> DataFrame:
@@ -164,7 +180,9 @@ def stream_dedup_table(spark: SparkSession, claims: DataFrame) -> DataFrame:
     for number, rows in enumerate(
         [claims.where(early & ~held), claims.where(~early), claims.where(held | again)]
     ):
-        _land_json(rows.repartition(files), f"{root}/landing/claims_{number}")
+        # Not by ``_land_json``: a file more would be a batch more.
+        rows.repartition(files).write.options(**PACKED).json(f"{root}/landing/claims_{number}")
+        release_shuffles(spark)
     schema = ", ".join(f"{c} string" for c in claims.columns)
     step = Step(
         "silver",

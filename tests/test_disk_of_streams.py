@@ -90,3 +90,23 @@ def test_landed_claims_are_packed(spark, monkeypatch, tmp_path):
     names = landed(spark, monkeypatch, tmp_path, lambda: exercises.stream_dedup_table(spark, rows))
     assert len(names) == 3 * exercises.FILES_PER_ARRIVAL
     assert all(n.endswith(".json.gz") for n in names)
+
+
+def test_documents_are_packed_and_bounded(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(exercises, "ROWS_PER_DOCUMENT", 70)
+    rows, kept = claims(spark, 400), []
+    names = landed(
+        spark, monkeypatch, tmp_path,
+        lambda: kept.extend(exercises.json_table(spark, rows).select("ClaimID").collect()),
+    )
+    assert sorted(r["ClaimID"] for r in kept) == sorted(f"C{i}" for i in range(400))
+    assert all(n.endswith(".txt.gz") for n in names) and len(names) > 400 // 70
+
+
+def test_packed_files_are_many(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(exercises, "LANDED_ROWS", 30)
+    rows, policy = claims(spark, 400), spark.createDataFrame([("P1",)], "policy_number string")
+    names = landed(
+        spark, monkeypatch, tmp_path, lambda: exercises.stream_references(spark, rows, policy).count()
+    )
+    assert all(n.endswith(".json.gz") for n in names) and len(names) >= 400 // 30

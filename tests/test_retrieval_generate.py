@@ -1,5 +1,7 @@
 import hashlib
 import json
+import re
+import time
 
 import numpy as np
 import pytest
@@ -205,3 +207,43 @@ def test_response_text(spark, response, text):
     raw = json.dumps(response) if response is not None else "not json"
     df = spark.createDataFrame([(raw,)], "r string")
     assert df.select(generate.response_text(F.col("r"))).first()[0] == text
+
+
+def test_chunks_are_cut_in_one_pass(spark):
+    """Each piece once looked at the whole text again: 500,000 letters took minutes."""
+    text = "".join(chr(97 + i * i % 26) for i in range(500_000))
+    df = spark.createDataFrame([(1, text)], "id int, text string").coalesce(1)
+    began = time.monotonic()
+    rows = retrieval.chunk_documents(df, "id", "text").collect()
+    assert time.monotonic() - began < 30
+    assert [r["text"] for r in rows] == pieces(text)
+
+
+@pytest.mark.parametrize("limit", [1, 64 * 1024 * 1024])
+def test_texts_go_to_the_cells_as_buckets_of_words(spark, limit):
+    rng = np.random.default_rng(3)
+    texts = [" ".join(rng.choice(["Ab", "b1", "é", "", "C-c", "dd\nEE", "z" * 60, "9"], 7)) for _ in range(90)]
+    docs = spark.createDataFrame([(f"d{i:02d}", t) for i, t in enumerate([*texts, None, ""])], "chunk_id string, text string")
+    asked = spark.createDataFrame(list(enumerate(texts[::20] + ["nothing here", None])), "question_id int, text string")
+    asked, chunks = retrieval.text_vectors(asked, "text", docs.repartition(5), "text", dims=32)
+    found = retrieval.top_k(asked, chunks, 3, carry=["text"], max_question_bytes=limit)
+    dense = [
+        df.select(key, "embedding") for df, key in ((asked, "question_id"), (chunks, "chunk_id"))
+    ]
+    plain = retrieval.top_k(*dense, 3)
+    keep = ["question_id", "chunk_id", "score", "rank"]
+    assert sorted(found.select(*keep).collect()) == sorted(plain.select(*keep).collect())
+    # The vectors themselves are not what is moved.
+    assert "_embedding" in chunks.columns and dict(chunks.dtypes)["_embedding"] == "binary"
+
+
+def test_words_of_any_text(spark):
+    texts = ["", "a", "a a-A", "ab", "-", "xéy", "1b 1B", " a ", None, "\U0001f600q", "a" * 300]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string").coalesce(1)
+    want = {}
+    for i, t in enumerate(texts):
+        row = np.zeros(50)
+        for w in re.findall("[A-Za-z0-9]+", t or ""):
+            row[int(hashlib.md5(w.lower().encode()).hexdigest()[:8], 16) % 50] += 1
+        want[i] = row.tolist()
+    assert {r["id"]: r["counts"] for r in retrieval.term_counts(df, dims=50).collect()} == want

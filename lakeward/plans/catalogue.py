@@ -578,6 +578,9 @@ def _(layers: Layers) -> DataFrame:
     """The ten latest questions of a history of two batches, of which the second came twice."""
     path = f"{shared_folder(layers.spark)}/history-{uuid.uuid4().hex}"
     asked = _question_prompts(layers).select("question_id", "confidence_score", "source_policies")
+    # Asked once: every batch is a part of the same answers.
+    asked.write.parquet(f"{path}-asked")
+    asked = layers.spark.read.parquet(f"{path}-asked")
     second = F.col("question_id") % 2 == 1
     for batch, rows in [(1, asked.where(~second)), (2, asked.where(second)), (2, asked.where(second))]:
         stamped = rows.withColumn("timestamp", F.lit(f"2024-01-3{batch - 1} 00:00:00").cast("timestamp"))
